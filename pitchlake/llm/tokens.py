@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 import numpy as np
 
-from .shared import CACHE_WORDS
-
 #: The id that ends each document.
 END_ID = 1
-#: New words are encoded together, this many at a time, parted by a mark.
-TOGETHER = 2000
-_MARKS = "§¶¤"
+#: Words, and their parts, of which a worker remembers the ids; only speed depends on it.
+REMEMBERED = 300_000
+
+#: ASCII punctuation that can end a word; an apostrophe can begin a token of its own.
+_PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+#: Words by which encoding in parts is tried out before it is used.
+_TRIAL = "It's a 12 (x) don't! END. end.### Thner,*** Élan été, Straße!! ñandú | || a.b x-y é́é ́a 3.5% µm ÀÉÎ## ÿ. naïve...".split()
 
-_encoders: dict[str, "Encoder"] = {}
+_encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
@@ -24,64 +27,72 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+class Recent(dict):
+    """Results of a function, of which between `most` and twice as many are remembered."""
+
+    def __init__(self, make: Callable[[bytes], bytes], most: int = REMEMBERED):
+        self.make, self.most, self.before = make, most, {}
+
+    def __missing__(self, key: bytes) -> bytes:
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.before = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Encoder:
     """Ids of whole texts, exactly as the tokenizer gives them for the whole text.
 
-    The tokenizer for which this is made splits at white space before anything else and
-    drops it, and its normaliser doesn't look across a space. So a text's ids are those of
-    its words (parted by ASCII white space) in turn, and each distinct word is encoded once
-    and remembered within bounds. by_words() tells whether a tokenizer file is of that kind;
-    with any other, texts are encoded whole.
+    Many tokenizers part texts at white space before anything else and drop it, so that a
+    text's ids are those of its words (parted by ASCII white space) in turn; and of a word
+    of letters and closing punctuation, those of these two parts, whatever the case. Then
+    ids of words and parts are remembered, and new parts go straight to the tokenizer's
+    model. Both properties are tried out on a few words first; a tokenizer without the first
+    encodes whole texts, one without the second whole words.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.mark = next((m for m in _MARKS if len(self._whole(m)) == 4), None) if self.by_words() else None
-
-    def by_words(self) -> bool:
-        sample = ["It's", "a", "12", "(x)", "don't!", "É́é", "́a", "end."]
-        return self._whole("\n".join(sample)) == b"".join(map(self._whole, sample)) == self._whole("  ".join(sample))
+        self.model = self.tokenizer.model
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.byte_names = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xA1, 0x100)}
+        n_ids = max(self.tokenizer.get_vocab().values()) + 1
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(n_ids)]
+        self.parts, self.words = Recent(self._part), Recent(self._word)
+        whole = b"".join(self._whole(w) for w in _TRIAL)
+        self.by_words = self._whole("\n".join(_TRIAL)) == self._whole("  ".join(_TRIAL)) == whole
+        self.in_parts = self.by_words and all(self._word(w.encode()) == self._whole(w) for w in _TRIAL)
+        if not self.in_parts:
+            self.words = Recent(lambda word: self._whole(word.decode()))
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn(self, words: list[bytes]) -> None:
-        odd = [w for w in words if self.mark.encode() in w]
-        for w in odd:
-            self.known[w] = self._whole(w.decode())
-        words = [w for w in words if w not in self.known] if odd else words
-        joint = f" {self.mark} "
-        lots = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
-        found = self.tokenizer.encode_batch_fast([joint.join([w.decode() for w in lot]) for lot in lots], add_special_tokens=False)
-        mark = int(np.frombuffer(self._whole(self.mark), dtype="<u4")[0])
-        for lot, encoding in zip(lots, found, strict=True):
-            ids = np.array(encoding.ids, dtype="<u4")
-            at = np.flatnonzero(ids == mark)
-            ends = [*(4 * at).tolist(), 4 * len(ids)]
-            begins = [0, *(e + 4 for e in ends[:-1])]
-            raw = ids.tobytes()
-            if len(ends) == len(lot):
-                self.known.update(zip(lot, [raw[b:e] for b, e in zip(begins, ends, strict=True)], strict=True))
-            else:  # a word has the mark's id in it
-                self.known.update((w, self._whole(w.decode())) for w in lot)
+    def _part(self, part: bytes) -> bytes:
+        """Ids of letters in lower case, or of punctuation: one word to the model."""
+        text = part.decode()
+        name = text if text.isascii() else text.lower().translate(self.byte_names)
+        return b"".join([self.id_bytes[t.id] for t in self.model.tokenize(name)])
+
+    def _word(self, word: bytes) -> bytes:
+        if max(word) < 0xC4:  # ASCII and Latin-1: nothing to compose, and cases pair up
+            letters = word.rstrip(_PUNCTUATION)
+            if letters.decode().isalpha():
+                ids = self.parts[letters.lower()]
+                return ids + self.parts[word[len(letters) :]] if len(letters) < len(word) else ids
+        return self._whole(word.decode())
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Each text's ids with END_ID, as little-endian unsigned 32-bit integers."""
         end = np.array([END_ID], dtype="<u4").tobytes()
-        if self.mark is None:
+        if not self.by_words:
             return [self._whole((t or b"").decode()) + end for t in texts]
-        out = []
-        for text in texts:
-            words = (text or b"").split()
-            new = [w for w in dict.fromkeys(words) if w not in self.known]
-            if len(self.known) + len(new) > CACHE_WORDS:
-                self.known.clear()
-                new = list(dict.fromkeys(words))
-            if new:
-                self._learn(new)
-            out.append(b"".join(map(self.known.__getitem__, words)) + end)
-        return out
+        ids_of = self.words.__getitem__
+        return [b"".join(map(ids_of, (t or b"").split())) + end for t in texts]

@@ -62,9 +62,10 @@ class Block:
 def _train(spark: SparkSession, texts: DataFrame, path: str) -> bytes:
     """A dictionary from the ids of at most SAMPLE_DOCS documents, chosen by a hash of their
     ids; empty where they are too few to train one."""
-    some = texts.where("doc_id is not null and length(text) > 0").orderBy(F.xxhash64("doc_id"), "doc_id").select(F.substring("text", 1, SAMPLE_BYTES // 2).alias("text"))
+    few = texts.where("doc_id is not null and length(text) > 0").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
+    some = texts.join(F.broadcast(few.distinct()), "doc_id").select(F.substring("text", 1, SAMPLE_BYTES // 2).alias("text"))  # at most SAMPLE_DOCS ids
     encode = encoder(path).encode
-    samples = [encode([r.text.encode()])[0][:SAMPLE_BYTES] for r in some.limit(SAMPLE_DOCS).collect()]
+    samples = sorted(encode([r.text.encode()])[0][:SAMPLE_BYTES] for r in some.limit(2 * SAMPLE_DOCS).collect() if r.text)
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes() if len(samples) >= 16 else b""
     except zstandard.ZstdError:

@@ -10,7 +10,7 @@ import numpy as np
 #: The id that ends each document.
 END_ID = 1
 #: Words, and their parts, of which a worker remembers the ids; only speed depends on it.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 
 #: ASCII punctuation that can end a word; an apostrophe can begin a token of its own.
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import SPACES, materialize
+from .shared import SPACES, materialize, salt_bit, salt_of, spread_over_salts
 
 #: Salts among which the rows of one text are spread. At most 62: they are bits of a long.
 SALTS = 16
@@ -17,7 +17,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, salts: int, digest: Calla
     text = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), SPACES, " ")
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("norm"))
     rows = rows.withColumn("sha", F.unhex(F.sha2("norm", 256)))
-    return rows.withColumn("key", digest(F.col("sha"))).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
+    return rows.withColumn("key", digest(F.col("sha"))).withColumn("salt", salt_of("doc_id", salts))
 
 
 def _combined(rows: DataFrame) -> DataFrame:
@@ -31,18 +31,10 @@ def _combined(rows: DataFrame) -> DataFrame:
     return salted.groupBy("key", "norm").agg(
         F.min("keep_id").alias("keep_id"),
         F.sum("n").alias("group_size"),
-        F.sum(F.expr("shiftleft(1L, salt)")).alias("salt_bits"),
+        F.sum(salt_bit()).alias("salt_bits"),
     )
 
 
-def _spread(winners: DataFrame, salts: int) -> DataFrame:
-    """One row for each salt that has rows of the winner's text."""
-    present = F.filter(
-        F.sequence(F.lit(0), F.lit(salts - 1)), lambda s: F.expr("salt_bits").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), s)) != 0
-    )
-    return winners.withColumn("salt", F.explode(present)).drop("salt_bits")
-
-
 def exact_groups(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -70,11 +62,11 @@ def exact_groups(
     )
     by_key = materialize(by_key, "exact-groups")
     shared = by_key.where("texts > 1").select("key")
-    one_text = _spread(by_key.where("texts = 1").drop("texts"), salts)
+    one_text = spread_over_salts(by_key.where("texts = 1").drop("texts"), salts)
     found = rows.select("doc_id", "sha", "key", "salt").join(one_text, ["key", "salt"]).drop("key")
     if shared.limit(1).count():
         few = rows.join(shared, "key", "left_semi")
-        found = found.unionByName(few.join(_spread(_combined(few), salts), ["key", "norm", "salt"]).drop("key", "norm"))
+        found = found.unionByName(few.join(spread_over_salts(_combined(few), salts), ["key", "norm", "salt"]).drop("key", "norm"))
     twin = F.row_number().over(Window.partitionBy("sha", "salt", "doc_id").orderBy(F.lit(0)))
     return found.select(
         "doc_id",

@@ -88,3 +88,19 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
     """A string column's values as UTF-8 bytes, without decoding them."""
     column = batch.column(batch.schema.get_field_index(name))
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
+
+
+def salt_of(column: str, salts: int) -> Column:
+    """A salt, the same for each value of the column."""
+    return F.pmod(F.xxhash64(column), F.lit(salts)).cast("int")
+
+
+def salt_bit() -> Column:
+    """The bit of the column salt; sums over distinct salts tell which there are (62 at most)."""
+    return F.expr("shiftleft(1L, salt)")
+
+
+def spread_over_salts(winners: DataFrame, salts: int) -> DataFrame:
+    """winners with salt_bits, as one row for each of their salts."""
+    present = F.filter(F.sequence(F.lit(0), F.lit(salts - 1)), lambda s: F.col("salt_bits").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), s)) != 0)
+    return winners.withColumn("salt", F.explode(present)).drop("salt_bits")

@@ -11,13 +11,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import WordHashes, gram_hashes, materialize, small_batches, texts_of
+from .shared import WordHashes, gram_hashes, materialize, salt_bit, salt_of, small_batches, spread_over_salts, texts_of
 
 #: Words in a window, and in the grams of which a window's least hash is its minimiser.
 WINDOW, GRAM = 50, 10
 #: Super-k-mers of a minimiser that one bucket group sorts; windows of more frequent
 #: minimisers go one by one to an aggregation that combines before it shuffles.
 BUCKET_ROWS = 2000
+SALTS = 32
 
 _words = WordHashes()
 _PLACE = "doc_id long, text_key long"
@@ -192,8 +193,12 @@ def _removed(docs: DataFrame, id_col: str, text_col: str, bucket_rows: int) -> t
     gone = bucketed.mapInArrow(_counted, f"{_PLACE}, start int, n int")
     single = packed(True).mapInArrow(_split_windows, f"{_PLACE}, start int, window binary")
     single = materialize(single, "passage-windows")
-    first = single.groupBy("window").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    later = single.join(first.select("window", "low"), "window").where("doc_id > low").select("doc_id", "text_key", "start", F.lit(1).alias("n"))
+    # A window that very many documents have is combined, and looked up, by salts of their ids.
+    single = single.withColumn("salt", salt_of("doc_id", SALTS))
+    ends = [F.min("low").alias("low"), F.max("high").alias("high")]
+    first = single.groupBy("window", "salt").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    first = first.groupBy("window").agg(*ends, F.sum(salt_bit()).alias("salt_bits")).where("low < high").drop("high")
+    later = single.join(spread_over_salts(first, SALTS), ["window", "salt"]).where("doc_id > low").select("doc_id", "text_key", "start", F.lit(1).alias("n"))
     gone = gone.unionByName(later).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "n")).alias("gone"))
     losing = chosen.select("doc_id", "text_key", "text").distinct().join(gone, ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "gone")
     cut = losing.mapInArrow(_cut, f"{_PLACE}, n_removed long, kept_sha binary, kept_text string")

@@ -86,7 +86,9 @@ def check_mix(found, rows, block):
 
 def test_mix_of_awkward_rows(awkward, nothing):
     found = mixed(awkward).collect()
-    check_mix([r for r in found if r.doc_id is not None], [(r[0], r[1], r[3]) for r in awkward_rows() if r[0] is not None], 500)
+    assert Counter((r.doc_id, r.size) for r in found) == Counter((r[0], n_words(r[1])) for r in awkward_rows())
+    named = awkward.where("doc_id is not null")
+    check_mix(mixed(named).collect(), [(r[0], r[1], r[3]) for r in awkward_rows() if r[0] is not None], 500)
     assert sorted(map(str, found)) == sorted(map(str, mixed(awkward.repartition(2)).collect()))
     assert mixed(nothing).count() == taken_documents(nothing).count() == 0
 

@@ -81,6 +81,7 @@ QUERIES = {
 
 ORACLES = {
     "op3_repeated_passages": oracles.SUBSTRING_DEDUP,
+    "op4_source_mix": oracles.SOURCE_MIX,
     "op6_exact_top_k": oracles.TOP_K,
     "op7_exact_dedup": oracles.EXACT_DEDUP,
     "op8_near_dedup": oracles.NEAR_DEDUP,

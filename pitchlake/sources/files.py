@@ -56,7 +56,7 @@ def read_instances_xml(spark: SparkSession, path: str, types: dict[str, str] | N
     """Tagged actions of an XML file of <instance> elements with start (seconds) and code:
     t_s and type_name, codes by `types` or as they are in lower case."""
     rows = spark.read.format("xml").option("rowTag", "instance").schema("start double, code string").load(path)
-    code = F.lower(F.regexp_replace("code", r"\s+", "_"))
+    rows, code = rows.withColumn("code", F.lower(F.regexp_replace("code", r"\s+", "_"))), F.col("code")
     if types:
         known = F.create_map(*(F.lit(x) for pair in types.items() for x in pair))
         code = F.coalesce(F.try_element_at(known, F.col("code")), code)

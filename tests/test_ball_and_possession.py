@@ -1,0 +1,157 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from pitchlake.operators import ball, events, possession
+
+DET = "match_id string, frame long, det_id long, cls string, conf double, x1 double, y1 double, x2 double, y2 double"
+WIDTH, FPS = 768.0, 25.0
+
+
+def balls(points):
+    return [("m", f, i, "ball", conf, x - 6, y - 6, x + 6, y + 6) for i, (f, x, y, conf) in enumerate(points)]
+
+
+def run(spark, points, frames, **options):
+    det = spark.createDataFrame(balls(points), DET)
+    grid = spark.createDataFrame([("m", i, f) for i, f in enumerate(frames)], "match_id string, pos long, frame long")
+    out = ball.trajectory(det, grid, FPS, WIDTH, **options)
+    return out.orderBy("frame").collect(), ball.coverage(out, grid).first(), det
+
+
+STEADY = [(f, 100.0 + 10 * f, 200.0, 0.8) for f in range(20)]
+
+
+def test_steady_ball(spark):
+    rows, cover, _ = run(spark, STEADY, range(20))
+    assert len(rows) == 20 and not any(r.interpolated for r in rows) and cover.coverage_fraction == 1.0 and rows[4].t_s == 0.16
+
+
+def test_teleport_is_rejected_and_refilled(spark):
+    points = [p if p[0] != 5 else (5, 700.0, 40.0, 0.99) for p in STEADY]
+    rows, _, det = run(spark, points, range(20))
+    assert ball.speed_gate(ball.best_candidates(det), FPS, ball.gate_limit(WIDTH)).where("not accepted").count() == 1
+    assert rows[5].interpolated and (rows[5].x_px, rows[5].y_px, rows[5].conf) == (150.0, 200.0, None)
+
+
+def test_short_gaps_are_filled_and_long_ones_stay(spark):
+    rows, _, _ = run(spark, [(f, 100.0 + f, 200.0, 0.8) for f in [*range(9), 13, 30]], range(31))
+    assert [r.frame for r in rows if r.interpolated] == [9, 10, 11, 12] and {r.frame for r in rows} == {*range(14), 30}
+
+
+def test_gaps_are_counted_on_the_grid(spark):
+    rows, cover, _ = run(spark, [(f, 100.0 + f, 200.0, 0.8) for f in (0, 2, 4, 6, 26, 28)], range(0, 80, 2))
+    assert [r.frame for r in rows if r.interpolated] == list(range(8, 26, 2)) and all(r.frame % 2 == 0 for r in rows) and cover.coverage_fraction <= 1
+
+
+def test_a_long_absence_accepts_anything(spark):
+    rows, _, _ = run(spark, [(f, 100.0 + f, 200.0, 0.8) for f in range(5)] + [(65, 700.0, 40.0, 0.9)], range(70))
+    assert [r.frame for r in rows] == [0, 1, 2, 3, 4, 65]
+
+
+def test_metres_and_no_candidates(spark):
+    h = [[105 / WIDTH, 0, 0], [0, -68 / 432, 68], [0, 0, 1]]
+    rows, _, _ = run(spark, STEADY, range(20), homography=h)
+    assert abs(rows[0].x_m - 100 * 105 / WIDTH) < 1e-9 and abs(rows[0].y_m - (68 - 200 * 68 / 432)) < 1e-9
+    rows, cover, _ = run(spark, [], range(10))
+    assert rows == [] and cover.coverage_fraction == 0.0 and cover.n_frames == 10
+
+
+def gate_by_hand(points, limit, reacquire=1.0):
+    last, out = None, []
+    for f, x, y in points:
+        ok = last is None
+        if not ok:
+            dt = (f - last[0]) / FPS
+            ok = dt > 0 and (dt > reacquire or ((x - last[1]) ** 2 + (y - last[2]) ** 2) ** 0.5 / dt <= limit)
+        if ok:
+            last = (f, x, y)
+        out.append((f, ok))
+    return out
+
+
+def test_islands_gate_as_the_whole_sequence(spark):
+    rng, rows, want = random.Random(2), [], {}
+    for m in range(12):
+        frame, points = 0, []
+        for _ in range(150):
+            frame += rng.choice([1, 1, 2, 5, 25, 26, 40])
+            points.append((frame, rng.uniform(0, 300), rng.uniform(0, 300)))
+        rows += [(f"m{m}", f, x, y, 0.5) for f, x, y in points]
+        want |= {(f"m{m}", f): ok for f, ok in gate_by_hand(points, 500.0)}
+    found = ball.speed_gate(spark.createDataFrame(rows, "match_id string, frame long, x_px double, y_px double, conf double").repartition(3), FPS, 500.0)
+    assert {(r.match_id, r.frame): r.accepted for r in found.collect()} == want
+
+
+def test_the_gates_limit_is_inclusive(spark):
+    df = spark.createDataFrame([("m", 0, 0.0, 0.0, 1.0), ("m", 25, 100.0, 0.0, 1.0)], "match_id string, frame long, x_px double, y_px double, conf double")
+    assert ball.speed_gate(df, FPS, 100.0).where("accepted").count() == 2
+    assert ball.speed_gate(df, FPS, 99.999).where("accepted").count() == 1
+
+
+def test_grids(spark):
+    det = spark.createDataFrame(balls([(3, 0.0, 0.0, 1.0), (6, 0.0, 0.0, 1.0)]), DET)
+    assert [(r.pos, r.frame) for r in ball.frame_grid(det).orderBy("pos").collect()] == [(0, 3), (1, 4), (2, 5), (3, 6)]
+    assert [(r.pos, r.frame) for r in ball.processed_grid(det).orderBy("pos").collect()] == [(0, 3), (1, 6)]
+    assert [r.frame for r in ball.off_grid(det, ball.processed_grid(det.where("frame = 3"))).collect()] == [6]
+
+
+TRACKS = "match_id string, frame long, track_id long, team string, x_m double, y_m double"
+
+
+def held(spark, rows, **options):
+    at = spark.createDataFrame([("m", f, 0.0, 0.0) for f in range(10)], "match_id string, frame long, x_m double, y_m double")
+    return {r.frame: r for r in possession.assign_possession(spark.createDataFrame(rows, TRACKS), at, **options).collect()}
+
+
+def test_possession_rules(spark):
+    rows = [
+        ("m", 0, 1, "home", 2.0, 0.0), ("m", 0, 2, "away", 3.0, 0.0),
+        ("m", 1, 1, "home", 2.001, 0.0),
+        ("m", 2, 5, "away", 1.0, 0.0), ("m", 2, 4, "home", 0.0, 1.0),
+        ("m", 3, 1, "home", None, 0.0),
+        ("m", 4, -1, "ball", 0.0, 0.0), ("m", 4, 7, "referee", 0.1, 0.0), ("m", 4, 2, "away", 1.5, 0.0),
+        ("m", 99, 1, "home", 0.0, 0.0),
+    ]
+    out = held(spark, rows)
+    assert (out[0].possessor_track_id, out[0].team, out[0].dist_m) == (1, "home", 2.0)
+    assert (out[1].possessor_track_id, out[1].team) == (None, None) and out[1].dist_m > 2
+    assert out[2].possessor_track_id == 4 and out[4].possessor_track_id == 2 and set(out) == {0, 1, 2, 3, 4}
+    assert (out[3].possessor_track_id, out[3].dist_m) == (None, None)
+    assert held(spark, rows, include_all=True)[4].team == "ball"
+
+
+def test_share_hysteresis_and_changes(spark):
+    who = [1, 1, 1, 2, 1, 1, None, 2, 2, 2, 7, 7, 7]
+    team = {1: "home", 2: "home", 7: "away", None: None}
+    df = spark.createDataFrame([("m", f, t, team[t], 1.0) for f, t in enumerate(who)], "match_id string, frame long, possessor_track_id long, team string, dist_m double")
+    assert {r.team: round(r.share, 6) for r in possession.possession_share(df).collect()} == {"home": 0.75, "away": 0.25}
+    settled = possession.settled_possession(df)
+    assert [r.settled_track_id for r in settled.orderBy("frame").collect()] == [1] * 7 + [2] * 3 + [7] * 3
+    assert [(r.frame, r.from_track_id, r.to_track_id, r.type_name) for r in possession.possession_changes(settled).orderBy("frame").collect()] == [(7, 1, 2, "pass"), (10, 2, 7, "turnover")]
+
+
+def test_action_types_and_tags(spark, tmp_path):
+    from pitchlake.sources import files
+
+    df = spark.createDataFrame([("corner",), ("pass",), ("header",), (None,)], "type_name string")
+    assert [r.type_name for r in events.map_types(df).collect()] == ["corner_crossed", "pass", "header", None]
+    assert events.no_events(spark).count() == 0
+    path = f"file://{tmp_path}/tags"
+    files.write_tagging_template(spark, path)
+    out = events.to_actions(events.from_tags(files.read_tags(spark, path), "m")).orderBy("t_s").collect()
+    assert [(r.t_s, r.player, r.type_name) for r in out] == [(205.0, "9", "shot"), (430.0, "4", "pass")]
+
+
+def test_ball_spikes(spark):
+    df = spark.createDataFrame([("m", f, f / 25, s) for f, s in enumerate([5.0, 20.0, 25.0, 3.0, 19.0])], "match_id string, frame long, t_s double, speed_ms double")
+    assert [r.frame for r in events.ball_spikes(df).orderBy("frame").collect()] == [1, 4]
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_speed_of_a_filled_ball(spark, partitions):
+    df = spark.createDataFrame([("m", f, f / 25, 0.4 * f, 0.0) for f in range(5)], "match_id string, frame long, t_s double, x_m double, y_m double").repartition(partitions)
+    assert [None if r.speed_ms is None else round(r.speed_ms, 6) for r in ball.ball_speed(df).orderBy(F.col("frame")).collect()] == [None, 10.0, 10.0, 10.0, 10.0]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -13,6 +14,8 @@ from ..functions.geometry import chroma_of_hex, distance
 
 SAMPLE_STRIDE, MIN_CROPS, MIN_BOX_H = 5, 3, 16.0
 OUTLIER_DIST, SPECIAL_DIST = 25.0, 40.0
+#: Points of which all pairs start a run of two-means.
+STARTS = 6
 # Grass in 8-bit HSV (hue of 0 to 179), the torso's part of a box, least sizes.
 GRASS_HUE, GRASS_SATURATION = (35, 90), 60
 TORSO_Y, TORSO_X = (0.15, 0.50), (0.25, 0.75)
@@ -97,10 +100,13 @@ def track_chroma(samples: DataFrame, min_crops: int = MIN_CROPS) -> DataFrame:
 
 
 def _two_means(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Centroids and labels of the best of a few runs from fixed starts: the two points
-    farthest apart, and each with the one farthest from it in the order of the points."""
+    """Centroids and labels of the best of a few runs from fixed starts: all pairs of points
+    that lie far from each other, found by taking the one farthest from those taken."""
     far = ((points[:, None] - points[None]) ** 2).sum(axis=2)
-    starts = [np.unravel_index(int(far.argmax()), far.shape), *((i, int(far[i].argmax())) for i in range(0, len(points), max(1, len(points) // 9)))]
+    apart = [int(far.sum(axis=1).argmax())]
+    while len(apart) < min(STARTS, len(points)):
+        apart.append(int(far[apart].min(axis=0).argmax()))
+    starts = list(combinations(apart, 2))
     best = None
     for start in starts:
         centres = points[list(start)].astype(np.float64)

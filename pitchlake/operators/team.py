@@ -142,7 +142,7 @@ def team_centroids(chroma: DataFrame, outlier_dist: float = OUTLIER_DIST) -> Dat
     def fit(match: pd.DataFrame) -> pd.DataFrame:
         rows = match.sort_values("track_id")
         if len(rows) < 2:
-            return pd.DataFrame({"match_id": [], "cluster": [], "a": [], "b": []})
+            return pd.DataFrame({c: pd.Series(dtype=t) for c, t in (("match_id", "str"), ("cluster", "int32"), ("a", "float64"), ("b", "float64"))})
         centres = peeled_centroids(rows[["a", "b"]].to_numpy(dtype=np.float64), outlier_dist)
         return pd.DataFrame({"match_id": rows["match_id"].iloc[0], "cluster": [0, 1], "a": centres[:, 0], "b": centres[:, 1]})
 

@@ -33,6 +33,11 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: Rows of ids and counts can take this many times their size in compressed files. Spark
+#: decides by file sizes what is small enough to broadcast before a query runs.
+UNPACKED = 20
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back.
 
@@ -41,6 +46,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if float(spark.conf.get("spark.sql.sources.fileCompressionFactor")) < UNPACKED:
+        spark.conf.set("spark.sql.sources.fileCompressionFactor", UNPACKED)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

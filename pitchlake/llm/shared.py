@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -14,8 +16,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
 
-#: Entries that a worker's word cache holds before it is emptied; only speed depends on it.
-CACHE_WORDS = 400_000
+#: Words of which a worker remembers hashes or ids (up to twice as many); only speed depends on it.
+REMEMBERED = 100_000
 
 U64 = np.uint64
 
@@ -52,7 +54,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, size: str = "16m") -> None:
+def small_batches(spark: SparkSession, size: str = "8m") -> None:
     """Bound the bytes of an Arrow batch, since single texts can be very long."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
@@ -68,15 +70,29 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered within bounds."""
+class Recent(dict):
+    """Results of a function, of which between `most` and twice as many are remembered."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
+    def __init__(self, make: Callable[[bytes], Any], most: int):
+        self.make, self.most, self.before = make, most, {}
+
+    def __missing__(self, key: bytes) -> Any:
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.before = dict(self)
             self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
+        self[key] = value
         return value
 
+
+class WordHashes(Recent):
+    """64-bit hashes of words."""
+
+    def __init__(self):
+        super().__init__(xxhash.xxh3_64_intdigest, REMEMBERED)
+
     def of(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
 
 import numpy as np
 
+from .shared import Recent
+
 #: The id that ends each document.
 END_ID = 1
-#: Words, and their parts, of which a worker remembers the ids; only speed depends on it.
-REMEMBERED = 400_000
+#: Words, and parts of words, of which a worker remembers the ids (up to twice as many).
+WORDS, PARTS = 150_000, 200_000
 
 #: ASCII punctuation that can end a word; an apostrophe can begin a token of its own.
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
@@ -27,23 +28,6 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-class Recent(dict):
-    """Results of a function, of which between `most` and twice as many are remembered."""
-
-    def __init__(self, make: Callable[[bytes], bytes], most: int = REMEMBERED):
-        self.make, self.most, self.before = make, most, {}
-
-    def __missing__(self, key: bytes) -> bytes:
-        value = self.before.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(self) >= self.most:
-            self.before = dict(self)
-            self.clear()
-        self[key] = value
-        return value
-
-
 class Encoder:
     """Ids of whole texts, exactly as the tokenizer gives them for the whole text.
 
@@ -65,12 +49,12 @@ class Encoder:
         self.byte_names = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xA1, 0x100)}
         n_ids = max(self.tokenizer.get_vocab().values()) + 1
         self.id_bytes = [i.to_bytes(4, "little") for i in range(n_ids)]
-        self.parts, self.words = Recent(self._part), Recent(self._word)
+        self.parts, self.words = Recent(self._part, PARTS), Recent(self._word, WORDS)
         whole = b"".join(self._whole(w) for w in _TRIAL)
         self.by_words = self._whole("\n".join(_TRIAL)) == self._whole("  ".join(_TRIAL)) == whole
         self.in_parts = self.by_words and all(self._word(w.encode()) == self._whole(w) for w in _TRIAL)
         if not self.in_parts:
-            self.words = Recent(lambda word: self._whole(word.decode()))
+            self.words = Recent(lambda word: self._whole(word.decode()), WORDS)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()

@@ -12,8 +12,9 @@ from tokenizers import Tokenizer
 
 from pitchlake.llm import token_files
 from pitchlake.llm.packing import packed
+from pitchlake.llm.shared import Recent
 from pitchlake.llm.token_files import Block, pack_block, read_document, read_token_files, token_files_round_trip, write_token_files
-from pitchlake.llm.tokens import Recent, encoder
+from pitchlake.llm.tokens import encoder
 
 from .conftest import awkward_rows
 

@@ -28,10 +28,9 @@ _words = WordHashes()
 
 def shingle_set(text: bytes | None) -> np.ndarray:
     """Sorted distinct hashes of a text's shingles (a shorter text is one shingle)."""
-    words = (text or b"").lower().split()
-    if not words:
-        return np.empty(0, dtype=np.uint64)
-    x = _words.of(words)
+    x = _words.of_text(text or b"", lower=True)
+    if not len(x):
+        return x
     return np.unique(gram_hashes(x, min(SHINGLE, len(x))))
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
@@ -71,22 +72,41 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Recent(dict):
-    """Results of a function, of which between `most` and twice as many are remembered."""
+    """Results of a function for keys that have come twice, of which between `most` and twice
+    as many are remembered. Words that come once are many, and not worth a place."""
+
+    _MARKS = 1 << 21
 
     def __init__(self, make: Callable[[bytes], Any], most: int):
-        self.make, self.most, self.before = make, most, {}
+        self.make, self.most, self.before, self.came = make, most, {}, bytearray(self._MARKS)
 
     def __missing__(self, key: bytes) -> Any:
         value = self.before.get(key)
         if value is None:
-            value = self.make(key)
+            value, mark = self.make(key), hash(key) % self._MARKS
+            if not self.came[mark]:
+                self.came[mark] = 1
+                return value
         if len(self) >= self.most:
-            self.before = dict(self)
+            self.before, self.came = dict(self), bytearray(self._MARKS)
             self.clear()
         self[key] = value
         return value
 
 
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def pieces(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """A text in pieces of about size bytes, cut at white space: the words of a very long
+    text are not all held at once."""
+    at = 0
+    while len(text) - at > size and (space := _SPACE.search(text, at + size)):
+        yield text[at : space.start()]
+        at = space.end()
+    yield text[at:]
+
+
 class WordHashes(Recent):
     """64-bit hashes of words."""
 
@@ -96,6 +116,11 @@ class WordHashes(Recent):
     def of(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
+    def of_text(self, text: bytes, lower: bool = False) -> np.ndarray:
+        """The hashes of a text's words, in ASCII lower case if asked for."""
+        found = [self.of((p.lower() if lower else p).split()) for p in pieces(text)]
+        return found[0] if len(found) == 1 else np.concatenate(found)
+
 
 def gram_hashes(x: np.ndarray, k: int) -> np.ndarray:
     """Hashes of all runs of k consecutive word hashes."""

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import WordHashes, gram_hashes, materialize, salt_bit, salt_of, small_batches, spread_over_salts, texts_of
+from .shared import WordHashes, gram_hashes, materialize, pieces, salt_bit, salt_of, small_batches, spread_over_salts, texts_of
 
 #: Words in a window, and in the grams of which a window's least hash is its minimiser.
 WINDOW, GRAM = 50, 10
@@ -24,9 +24,9 @@ _words = WordHashes()
 _PLACE = "doc_id long, text_key long"
 
 
-def minimisers(words: list[bytes]) -> np.ndarray:
-    """The minimiser of each window: the least hash among its grams."""
-    low = gram_hashes(_words.of(words), GRAM)
+def minimisers(hashes: np.ndarray) -> np.ndarray:
+    """The minimiser of each window of words with these hashes: the least among its grams."""
+    low = gram_hashes(hashes, GRAM)
     grams, span = WINDOW - GRAM + 1, 1
     while 2 * span <= grams:
         low, span = np.minimum(low[:-span], low[span:]), 2 * span
@@ -39,13 +39,15 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n, sha, keys, starts, counts = [], [], [], [], []
         for text in texts_of(batch):
-            words = (text or b"").split()
-            n.append(len(words))
-            sha.append(hashlib.sha256(b" ".join(words)).digest())
-            if len(words) < WINDOW:
+            hashes, joined = _words.of_text(text or b""), hashlib.sha256()
+            for i, words in enumerate(filter(None, (p.split() for p in pieces(text or b"")))):
+                joined.update(b" " * (i > 0) + b" ".join(words))
+            n.append(len(hashes))
+            sha.append(joined.digest())
+            if len(hashes) < WINDOW:
                 keys.append(None), starts.append(None), counts.append(None)
                 continue
-            low = minimisers(words)
+            low = minimisers(hashes)
             first = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
             keys.append(low[first].view(np.int64))
             starts.append(first.astype(np.int32))

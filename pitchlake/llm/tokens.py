@@ -6,12 +6,12 @@ import os
 
 import numpy as np
 
-from .shared import Recent
+from .shared import Recent, pieces
 
 #: The id that ends each document.
 END_ID = 1
 #: Words, and parts of words, of which a worker remembers the ids (up to twice as many).
-WORDS, PARTS = 150_000, 200_000
+WORDS, PARTS = 120_000, 150_000
 
 #: ASCII punctuation that can end a word; an apostrophe can begin a token of its own.
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
@@ -79,4 +79,4 @@ class Encoder:
         if not self.by_words:
             return [self._whole((t or b"").decode()) + end for t in texts]
         ids_of = self.words.__getitem__
-        return [b"".join(map(ids_of, (t or b"").split())) + end for t in texts]
+        return [b"".join([b"".join(map(ids_of, p.split())) for p in pieces(t or b"")]) + end for t in texts]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pitchlake.llm.components import components
 from pitchlake.llm.exact_dedup import drop_exact_copies, exact_groups
 from pitchlake.llm.near_dedup import BANDS, BAND_SIZE, drop_near_copies, linked, near_duplicates, sketch
+from pitchlake.llm.shared import pieces
 from pitchlake.llm.substring_dedup import repeated_passages, windows, without_repeated_passages
 
 from .conftest import SCHEMA, awkward_rows, row, words
@@ -178,6 +179,14 @@ def test_texts_without_repeated_passages(awkward):
     assert by_id[5].split()[:70] == words(6, 70).split() and len(by_id[5].split()) == 80
 
 
+def test_pieces_keep_words_whole():
+    rng = random.Random(0)
+    for _ in range(200):
+        text = bytes(rng.choice(b"ab \n\tc") for _ in range(rng.randint(0, 60)))
+        for size in (1, 3, 10, 100):
+            assert sum((p.split() for p in pieces(text, size)), []) == text.split()
+
+
 def test_windows_of_a_packed_super_k_mer():
     ws = words(9, 55).encode().split()
     assert windows(b" ".join(ws)) == [b" ".join(ws[i : i + 50]) for i in range(6)]

@@ -19,12 +19,16 @@ def team_split(tracks: DataFrame) -> DataFrame:
     return counts.withColumn("team", F.coalesce("team", F.lit("(unassigned)")))
 
 
-def run_summary(stages: dict[str, DataFrame]) -> DataFrame:
-    """One row for each stage that ran: stage, n_rows."""
-    tables = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(i).alias("place"), F.lit(name).alias("stage"), "n_rows") for i, (name, df) in enumerate(stages.items())]
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
+def run_summary(stages: dict[str, DataFrame], stats: dict[str, DataFrame] | None = None) -> DataFrame:
+    """One row for each stage that ran: stage, n_rows, and if stats are given (tables of one
+    row a match) those as JSON text."""
+    out = None
+    for i, (name, df) in enumerate(stages.items()):
+        row = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(i).alias("place"), F.lit(name).alias("stage"), "n_rows")
+        if stats is not None:
+            text = stats[name].agg(F.to_json(F.collect_list(F.struct("*"))).alias("stats")) if name in stats else None
+            row = row.withColumn("stats", F.lit(None).cast("string")) if text is None else row.join(text)  # one row each
+        out = row if out is None else out.unionByName(row)
     return out
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import RunConfig
 from ..contracts import enforce
-from ..operators import ball, calibrate, events, identity, physical, report, team, tracking
+from ..operators import ball, calibrate, detect, events, identity, physical, report, team, tracking
 from ..sources.files import write_table
 
 #: Stages in the order in which they run, whatever the configuration's order.
@@ -35,6 +35,7 @@ class Inputs:
 @dataclass
 class Run:
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    stats: dict[str, DataFrame] = field(default_factory=dict)
     outputs: dict[str, str] = field(default_factory=dict)
 
     def upstream(self, stage: str, *names: str) -> DataFrame:
@@ -88,11 +89,15 @@ def build(config: RunConfig, inputs: Inputs) -> Run:
         )
     if on["events"]:
         run.tables["events"] = events.no_events(inputs.detections.sparkSession)
+    of = {"detect": detect.class_counts, "track": tracking.tracking_stats, "identity": identity.identity_coverage, "calibrate": calibrate.fraction_on_pitch}
+    run.stats = {s: f(run.tables[s]) for s, f in of.items() if s in run.tables}
+    if on["ball"]:
+        run.stats["ball"] = ball.coverage(run.tables["ball"], grid)
     return run
 
 
 def report_tables(run: Run) -> dict[str, DataFrame]:
-    tables = {"Stages": report.run_summary(run.tables)}
+    tables = {"Stages": report.run_summary(run.tables, run.stats)}
     for name in ("identity", "team"):
         if name in run.tables:
             tables["Teams"] = report.team_split(run.tables[name])

@@ -94,6 +94,8 @@ def test_run_writes_its_outputs(spark, inputs, tmp_path):
     assert tracks.where("track_id = -1 and speed_ms is not null").count() == 0
     assert spark.read.parquet(run.outputs["tracks_px"]).where("cls <> 'ball' and track_id < 0").count() == 0
     page = (tmp_path / "final" / "report.html").read_text()
+    stages = {r.stage: r for r in match_run.report_tables(run)["Stages"].collect()}
+    assert stages["ball"].n_rows == 10 and '"coverage_fraction":1.0' in stages["ball"].stats and stages["team"].stats is None
     assert "final" in page and "<h2>Ball</h2>" in page and "Physical per player" in page
 
 

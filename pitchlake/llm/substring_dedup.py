@@ -39,9 +39,11 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n, sha, keys, starts, counts = [], [], [], [], []
         for text in texts_of(batch):
-            hashes, joined = _words.of_text(text or b""), hashlib.sha256()
-            for i, words in enumerate(filter(None, (p.split() for p in pieces(text or b"")))):
-                joined.update(b" " * (i > 0) + b" ".join(words))
+            parts, joined = [], hashlib.sha256()
+            for words in filter(None, map(bytes.split, pieces(text or b""))):
+                joined.update(b" " * bool(parts) + b" ".join(words))
+                parts.append(_words.of(words))
+            hashes = np.concatenate(parts) if parts else np.empty(0, dtype=np.uint64)
             n.append(len(hashes))
             sha.append(joined.digest())
             if len(hashes) < WINDOW:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import U64, WordHashes, gram_hashes, materialize, mix, small_batches, texts_of
+from .shared import U64, gram_hashes, materialize, mix, pieces, small_batches, texts_of, word_hashes
 
 SHINGLE = 5
 #: Bands of coordinates. Two sets of similarity 0.75 share none of 40 bands of 4 with
@@ -23,12 +23,11 @@ BLOCK = 256
 
 _EMPTY = U64(0xFFFFFFFFFFFFFFFF)
 _LOW = U64((1 << 40) - 1)
-_words = WordHashes()
 
 
 def shingle_set(text: bytes | None) -> np.ndarray:
     """Sorted distinct hashes of a text's shingles (a shorter text is one shingle)."""
-    x = _words.of_text(text or b"", lower=True)
+    x = np.concatenate([word_hashes(p.lower().split()) for p in pieces(text or b"")])
     if not len(x):
         return x
     return np.unique(gram_hashes(x, min(SHINGLE, len(x))))

@@ -17,9 +17,6 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
 
-#: Words of which a worker remembers hashes or ids (up to twice as many); only speed depends on it.
-REMEMBERED = 100_000
-
 U64 = np.uint64
 
 
@@ -107,19 +104,9 @@ def pieces(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
     yield text[at:]
 
 
-class WordHashes(Recent):
+def word_hashes(words: list[bytes]) -> np.ndarray:
     """64-bit hashes of words."""
-
-    def __init__(self):
-        super().__init__(xxhash.xxh3_64_intdigest, REMEMBERED)
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
-
-    def of_text(self, text: bytes, lower: bool = False) -> np.ndarray:
-        """The hashes of a text's words, in ASCII lower case if asked for."""
-        found = [self.of((p.lower() if lower else p).split()) for p in pieces(text)]
-        return found[0] if len(found) == 1 else np.concatenate(found)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
 
 
 def gram_hashes(x: np.ndarray, k: int) -> np.ndarray:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import WordHashes, gram_hashes, materialize, pieces, salt_bit, salt_of, small_batches, spread_over_salts, texts_of
+from .shared import gram_hashes, materialize, pieces, salt_bit, salt_of, small_batches, spread_over_salts, texts_of, word_hashes
 
 #: Words in a window, and in the grams of which a window's least hash is its minimiser.
 WINDOW, GRAM = 50, 10
@@ -20,7 +20,6 @@ WINDOW, GRAM = 50, 10
 BUCKET_ROWS = 2000
 SALTS = 32
 
-_words = WordHashes()
 _PLACE = "doc_id long, text_key long"
 
 
@@ -42,7 +41,7 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts, joined = [], hashlib.sha256()
             for words in filter(None, map(bytes.split, pieces(text or b""))):
                 joined.update(b" " * bool(parts) + b" ".join(words))
-                parts.append(_words.of(words))
+                parts.append(word_hashes(words))
             hashes = np.concatenate(parts) if parts else np.empty(0, dtype=np.uint64)
             n.append(len(hashes))
             sha.append(joined.digest())

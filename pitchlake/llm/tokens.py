@@ -11,7 +11,7 @@ from .shared import Recent, pieces
 #: The id that ends each document.
 END_ID = 1
 #: Words, and parts of words, of which a worker remembers the ids (up to twice as many).
-WORDS, PARTS = 120_000, 150_000
+WORDS, PARTS = 220_000, 260_000
 
 #: ASCII punctuation that can end a word; an apostrophe can begin a token of its own.
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
@@ -66,6 +66,8 @@ class Encoder:
         return b"".join([self.id_bytes[t.id] for t in self.model.tokenize(name)])
 
     def _word(self, word: bytes) -> bytes:
+        if word.isalpha():  # ASCII letters alone
+            return self.parts[word.lower()]
         if max(word) < 0xC4:  # ASCII and Latin-1: nothing to compose, and cases pair up
             letters = word.rstrip(_PUNCTUATION)
             if letters.decode().isalpha():

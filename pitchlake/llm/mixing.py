@@ -80,9 +80,18 @@ def mixed(
     gives no rows. The driver holds one number for each source.
     """
     source = F.col(source_col).cast("string")
-    rows = docs.select(F.col(id_col).alias("doc_id"), source.alias("source"), n_words(F.col(text_col)).alias("size"))
-    rows = rows.withColumn("shuffle", F.md5(F.concat(F.lit("mix "), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+    rows = docs.select(F.col(id_col).alias("doc_id"), source.alias("source"), n_words(F.col(text_col)).alias("size"), _shuffle(id_col).alias("shuffle"))
     rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "mix-rows")
+    return _mixed_rows(rows, weights, most).drop("row")
+
+
+def _shuffle(id_col: str) -> Column:
+    return F.md5(F.concat(F.lit("mix "), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+
+
+def _mixed_rows(rows: DataFrame, weights: Sequence[float], most: int) -> DataFrame:
+    """What mixed() returns, with row, of a table of (row, doc_id, source, size, shuffle)
+    whose row numbers are written, so that they are the same each time it is read."""
     sizes = {r.source: r.size for r in rows.groupBy("source").agg(F.sum("size").alias("size")).collect()}
     target, total = targets(sizes, weights, most), sum(sizes.values())
     names, block = list(target), max(1, min(BLOCK_WORDS, total // SLOTS))
@@ -91,7 +100,7 @@ def mixed(
         passed += target[s]
         bounds.append(round(passed / max(total, 1) * RING))
 
-    spark = docs.sparkSession
+    spark = rows.sparkSession
     known = spark.createDataFrame(
         [(i, s, sizes[s], target[s], -(-sizes[s] // block)) for i, s in enumerate(names)],
         "number int, name string, source_size long, target double, blocks long",
@@ -117,7 +126,7 @@ def mixed(
     times = slots.groupBy("number", (F.col("rank") % blocks).alias("block")).agg(F.count(F.lit(1)).alias("times"))
     taken = pieces.join(times, ["number", "block"]).groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     return rows.join(taken, "row", "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
+        "row", "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
     )
 
 
@@ -125,10 +134,14 @@ def taken_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows of docs as often as the mix takes them: taken / size times, rounded.
 
     Only the document in which a source's last slot ends is taken in part, so rounding
-    shifts a source by half a document at most. Documents without words are not taken. Of
-    rows that repeat an id, each is taken as often as their mean.
+    shifts a source by half a document at most. Documents without words are not taken. Each
+    row is taken as mixed() says of that row, whether it has an id, repeats one or not.
     """
-    plan = mixed(docs, id_col, text_col, source_col).where("size > 0 and doc_id is not null")
-    plan = plan.groupBy(F.col("doc_id").alias("__id")).agg(F.round(F.sum("taken") / F.sum("size")).cast("int").alias("__times")).where("__times > 0")
-    found = docs.where(n_words(F.col(text_col)) > 0).join(plan, F.col(id_col) == F.col("__id"))
+    source = F.col(source_col).cast("string")
+    numbered = docs.withColumns({"__size": n_words(F.col(text_col)), "__row": F.monotonically_increasing_id()})
+    numbered = materialize(numbered, "mix-documents")
+    rows = numbered.select(F.col("__row").alias("row"), F.col(id_col).alias("doc_id"), source.alias("source"), F.col("__size").alias("size"), _shuffle(id_col).alias("shuffle"))
+    plan = _mixed_rows(rows, WEIGHTS, MOST).where("size > 0")
+    plan = plan.select(F.col("row").alias("__row"), F.round(F.col("taken") / F.col("size")).cast("int").alias("__times")).where("__times > 0")
+    found = numbered.where("__size > 0").join(plan, "__row")
     return found.withColumn("__time", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pitchlake.llm.mixing import MOST, mixed, taken_documents, targets
 from pitchlake.llm.sharding import balanced_shards, schedule
 
-from .conftest import awkward_rows
+from .conftest import awkward_rows, words
 
 
 def n_words(text):
@@ -104,3 +104,18 @@ def test_taken_documents_repeat_rows(small):
     times = Counter(r.doc_id for r in taken.collect())
     for doc, (words_taken, size) in plan.items():
         assert abs(times[doc] - (words_taken / size if size else 0)) <= 0.5
+
+
+def test_rows_without_ids_are_taken(spark):
+    rows = [(None if i % 3 else i, f"{words(i, 40 + i % 50)} {i}", "ab"[i % 2]) for i in range(300)]
+    rows += [(7, words(1000, 900), "b"), (7, words(1001, 30), "a"), (None, "", "a"), (None, None, None)]
+    found = taken_documents(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3))
+    times, sizes, taken = Counter(map(tuple, found.collect())), Counter(), Counter()
+    for r in rows:
+        sizes[r[2]] += n_words(r[1])
+        taken[r[2]] += times[r] * n_words(r[1])
+    assert set(times) <= {r for r in rows if n_words(r[1])} and any(r[0] is None for r in times)
+    target = targets(dict(sizes))
+    assert all(abs(taken[s] - t) <= 900 for s, t in target.items())
+    # A source that is taken whole several times has each of its rows as often.
+    assert target["a"] >= sizes["a"] and all(times[r] >= 1 for r in rows if r[2] == "a" and n_words(r[1]))

@@ -133,10 +133,49 @@ def _roots(anchors: DataFrame) -> DataFrame:
     return now.select("conv_id", "turn", F.col("root").alias("root_turn"), F.col("steps").alias("depth"))
 
 
+def _previous(rows: DataFrame, keys: list[str], place: str, value: str) -> DataFrame:
+    """rows with previous, the value of the row of the same keys before each by place. As in
+    _over_turns, ranges of places are put in order apart."""
+    rows = rows.withColumn("range", F.floor(F.col(place) / TURN_RANGE))
+    ranges = rows.groupBy(*keys, "range").agg(F.max_by(value, place).alias("top"))
+    ranges = ranges.select(*keys, "range", F.lag("top").over(Window.partitionBy(*keys).orderBy("range")).alias("held"))
+    rows = rows.withColumn("within", F.lag(value).over(Window.partitionBy(*keys, "range").orderBy(place)))
+    return rows.join(ranges, [*keys, "range"]).withColumn("previous", F.coalesce("within", "held")).drop("range", "within", "held")
+
+
+def _starts(anchors: DataFrame) -> DataFrame:
+    """(conv_id, turn, start) of anchors (conv_id, turn, pos, up_pos, up_anchor_pos, n_rows)
+    of conversations with more than one: the messages before the anchor in reply order.
+
+    An anchor's run, itself and what follows up to the next anchor, is a chain of replies.
+    After it come the anchors that reply to its last turn, by turn, each with all below it,
+    then those that reply to the turn before, and so on. A walk through this tree enters
+    each anchor (2 * pos) and leaves it (2 * pos + 1); the steps before each are summed by
+    doubling pointers to them, so neither depth nor width is one task's."""
+    children = anchors.where("up_pos is not null").select("conv_id", "pos", "up_pos", "up_anchor_pos")
+    together = _previous(children, ["conv_id", "up_pos"], "pos", "pos").select("conv_id", "pos", "up_pos", "up_anchor_pos", "previous")
+    answered = children.groupBy("conv_id", "up_anchor_pos", "up_pos").agg(F.max("pos").alias("last")).withColumn("back", -F.col("up_pos"))
+    answered = _previous(answered, ["conv_id", "up_anchor_pos"], "back", "last").select("conv_id", "up_anchor_pos", "up_pos", "last", F.col("previous").alias("other"))
+    sibling = together.join(answered.drop("last"), ["conv_id", "up_anchor_pos", "up_pos"]).select("conv_id", "pos", F.coalesce("previous", "other").alias("sibling"))
+    lowest = answered.groupBy("conv_id", F.col("up_anchor_pos").alias("pos")).agg(F.min_by("last", "up_pos").alias("child"))
+    some = anchors.join(children.select("conv_id").distinct(), "conv_id", "left_semi")
+    some = some.join(sibling, ["conv_id", "pos"], "left").join(lowest, ["conv_id", "pos"], "left")
+    enter = F.struct((2 * F.col("pos")).alias("step"), F.coalesce(2 * F.col("sibling") + 1, 2 * F.col("up_anchor_pos")).alias("up"), F.col("n_rows").alias("total"))
+    leave = F.struct((2 * F.col("pos") + 1).alias("step"), F.coalesce(2 * F.col("child") + 1, 2 * F.col("pos")).alias("up"), F.lit(0).cast("long").alias("total"))
+    now = materialize(some.select("conv_id", F.explode(F.array(enter, leave)).alias("s")).select("conv_id", "s.*"), "reply-steps")
+    while now.where("up is not null").limit(1).count():
+        above = now.select("conv_id", F.col("step").alias("up"), F.col("up").alias("up_up"), F.col("total").alias("up_total"))
+        moved = now.where("up is not null").join(above, ["conv_id", "up"])
+        moved = moved.select("conv_id", "step", F.col("up_up").alias("up"), (F.col("total") + F.col("up_total")).alias("total"))
+        now = materialize(moved.unionByName(now.where("up is null")), "reply-steps")
+    ends = now.where("step % 2 = 0").select("conv_id", F.expr("step div 2").alias("pos"), "total")
+    return anchors.join(ends, ["conv_id", "pos"]).select("conv_id", "turn", (F.col("total") - F.col("n_rows")).alias("start"))
+
+
 def reply_ordered(messages: DataFrame) -> DataFrame:
     """One row per message of (conv_id, turn, role, text), ready to be read in reply order:
-    conv_id, position, turn, role, body, reply_to_turn, root_turn, depth, n_quotes,
-    quote_levels, n_linked, sources.
+    conv_id, position, reply_position, turn, role, body, reply_to_turn, root_turn, depth,
+    n_quotes, quote_levels, n_linked, sources.
 
     body is the text without quoted lines (lines that begin with `>`). Runs of lines of one
     level are passages; each is linked to the first message that says it, by a hash of its
@@ -145,11 +184,13 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
     sources lists (passage, level, conv_id, turn) of the n_linked linked passages. A message
     replies to the latest message of its conversation that its outermost quotes are from;
     without such it replies to the message before it. position numbers a conversation's
-    messages from 0 by turn, so that each comes after what it replies to; root_turn and
-    depth tell where its thread begins and how many replies lie between.
+    messages from 0 by turn, so that each comes after what it replies to; reply_position
+    numbers them from 0 along the tree of replies: after a message come the replies to it by
+    turn, each with all that follows from it, so that branches are not interleaved.
+    root_turn and depth tell where a thread begins and how many replies lie between.
 
     Null texts count as empty; their body is empty. Rows without conv_id or turn are returned
-    with null position, replies, root and depth, and are no sources. Rows that repeat a turn
+    with null positions, replies, root and depth, and are no sources. Rows that repeat a turn
     are all returned, in order of role and body, with the replies of the turn. Other columns
     are not read. An empty table gives no rows.
     """
@@ -160,18 +201,25 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
     links = materialize(_links(placed), "quotes-links")
     outer = links.where("from_conv = conv_id").groupBy("conv_id", "turn").agg(F.min_by("from_turn", F.struct("level", -F.col("from_turn"))).alias("linked_turn"))
 
-    turns = placed.select("conv_id", "turn").distinct().join(outer, ["conv_id", "turn"], "left").withColumn("role", F.lit("")).withColumn("body", F.lit(""))
+    turns = _over_turns(placed.select("conv_id", "turn", F.lit("").alias("role"), F.lit("").alias("body")), F.lit(False))
+    turns = turns.groupBy("conv_id", "turn").agg(F.min("pos").alias("row_pos"), F.count(F.lit(1)).alias("n_rows"))
+    turns = turns.join(outer, ["conv_id", "turn"], "left").withColumn("role", F.lit("")).withColumn("body", F.lit(""))
     first_turn = turns.groupBy("conv_id").agg(F.min("turn").alias("first_turn"))
     turns = turns.join(first_turn, "conv_id")
     is_anchor = F.col("linked_turn").isNotNull() | (F.col("turn") == F.col("first_turn"))
-    turns = materialize(_over_turns(turns, is_anchor).select("conv_id", "turn", "linked_turn", "pos", "anchor_turn"), "reply-turns")
+    turns = materialize(_over_turns(turns, is_anchor).select("conv_id", "turn", "linked_turn", "pos", "anchor_turn", "row_pos", "n_rows"), "reply-turns")
     place = turns.select("conv_id", F.col("turn").alias("linked_turn"), F.col("anchor_turn").alias("up"), F.col("pos").alias("up_pos"))
-    start = turns.where("turn = anchor_turn").select("conv_id", "turn", "linked_turn", "pos")
+    runs = turns.groupBy("conv_id", F.col("anchor_turn").alias("turn")).agg(F.sum("n_rows").alias("n_rows"))
+    start = turns.where("turn = anchor_turn").select("conv_id", "turn", "linked_turn", "pos", "row_pos").join(runs, ["conv_id", "turn"])
     anchor_pos = start.select("conv_id", F.col("turn").alias("up"), F.col("pos").alias("up_anchor_pos"))
     anchors = start.join(place, ["conv_id", "linked_turn"], "left").join(anchor_pos, ["conv_id", "up"], "left")
     steps = F.coalesce(F.col("up_pos") - F.col("up_anchor_pos") + 1, F.lit(0))
-    anchors = materialize(anchors.select("conv_id", "turn", "up", steps.alias("steps"), F.when(F.col("up").isNull(), F.col("turn")).alias("root"), "pos"), "reply-anchors")
-    roots = _roots(anchors.drop("pos")).join(anchors.select("conv_id", "turn", F.col("pos").alias("anchor_pos")), ["conv_id", "turn"])
+    root = F.when(F.col("up").isNull(), F.col("turn")).alias("root")
+    anchors = materialize(anchors.select("conv_id", "turn", "up", steps.alias("steps"), root, "pos", "up_pos", "up_anchor_pos", "row_pos", "n_rows"), "reply-anchors")
+    roots = _roots(anchors.select("conv_id", "turn", "up", "steps", "root"))
+    starts = anchors.join(_starts(anchors), ["conv_id", "turn"], "left")
+    starts = starts.select("conv_id", "turn", F.col("pos").alias("anchor_pos"), (F.coalesce("start", F.lit(0)) - F.col("row_pos")).alias("shift"))
+    roots = roots.join(starts, ["conv_id", "turn"])
     roots = roots.withColumnRenamed("turn", "anchor_turn")
     before = turns.select("conv_id", F.col("turn").alias("before_turn"), (F.col("pos") + 1).alias("pos"))
     threads = turns.join(roots, ["conv_id", "anchor_turn"]).join(before, ["conv_id", "pos"], "left").select(
@@ -180,6 +228,7 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
         F.coalesce("linked_turn", "before_turn").alias("reply_to_turn"),
         "root_turn",
         (F.col("depth") + F.col("pos") - F.col("anchor_pos")).alias("depth"),
+        "shift",
     )
     source = F.struct("passage", "level", F.col("from_conv").alias("conv_id"), F.col("from_turn").alias("turn"))
     sources = links.groupBy("conv_id", "turn").agg(F.array_sort(F.collect_set(source)).alias("sources"))  # of one turn's own passages
@@ -192,6 +241,7 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
     return everything.select(
         "conv_id",
         F.col("pos").alias("position"),
+        (F.col("pos") + F.col("shift")).alias("reply_position"),
         "turn",
         "role",
         "body",

@@ -73,3 +73,35 @@ def test_common_quotes_are_not_multiplied(spark):
     rows = [(c, 0, "user", "the same first words") for c in range(300)] + [(c, 1, "user", "> the same first words\nyes") for c in range(300)]
     out = reply_ordered(messages(spark, rows)).collect()
     assert len(out) == 600 and all(r.reply_to_turn == 0 and [(s.conv_id, s.turn) for s in r.sources] == [(r.conv_id, 0)] for r in out if r.turn == 1)
+
+
+def walked(rows):
+    """Turns along the tree of replies, by hand."""
+    below, out, left = {}, [], [None]
+    for r in sorted({(r.turn, r.reply_to_turn) for r in rows}):
+        below.setdefault(r[1], []).append(r[0])
+    while left:
+        turn = left.pop()
+        out += [turn] * (turn is not None)
+        left += reversed(below.get(turn, []))
+    return out
+
+
+def test_reply_position_keeps_branches_together(spark):
+    quote = {3: 1, 5: 2, 6: 1, 7: 3, 9: 0, 11: 5}
+    rows = [(1, t, "user", f"what number {t} has to say" + (f"\n> what number {quote[t]} has to say" if t in quote else "")) for t in range(13)]
+    rows += [(1, 3, "assistant", "once more"), (2, 0, "user", "alone"), (2, 1, "user", "not alone")]
+    out = reply_ordered(messages(spark, rows)).collect()
+    one = sorted((r for r in out if r.conv_id == 1), key=lambda r: r.reply_position)
+    assert [r.reply_position for r in one] == list(range(14))
+    assert [r.turn for r in one] == [0, 1, 2, 5, 11, 12, 3, 3, 4, 7, 8, 6, 9, 10]
+    assert [r.reply_position for r in sorted(out) if r.conv_id == 2] == [0, 1]
+
+
+def test_reply_position_of_wide_and_deep_trees(spark):
+    rows = [(1, t, "user", f"message number {t} of many here" + (f"\n> message number {u} of many here" if t else "")) for t in range(6000) for u in [0 if t % 2 else max(0, t - 2)]]
+    rows += [(2, t, "user", f"other number {t} of many here" + (f"\n> other number {t * 7 % 11 * t // 11} of many here" if t % 4 == 1 else "")) for t in range(200)]
+    out = reply_ordered(messages(spark, rows)).collect()
+    for conv in (1, 2):
+        here = sorted((r for r in out if r.conv_id == conv), key=lambda r: r.reply_position)
+        assert [r.reply_position for r in here] == list(range(len(here))) and [r.turn for r in here] == walked(here)

@@ -40,36 +40,52 @@ def digest(passage: str) -> bytes | None:
     return hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest() if words else None
 
 
+def parts(passage: str) -> list[tuple[int, int, bytes]]:
+    """The whole, its paragraphs and their lines: (kind, number of the paragraph, hash). A
+    part that says the same as the larger one it is in is not listed again."""
+    whole, out = digest(passage), []
+    if whole is not None:
+        out.append((WHOLE, -1, whole))
+    paragraphs = [list(p) for blank, p in groupby(passage.split("\n"), lambda x: not x.strip()) if not blank]
+    for i, lines in enumerate(paragraphs):
+        inside, text = {whole}, "\n".join(lines)
+        for kind, part in [(PARAGRAPH, text), *((LINE, x) for x in lines)]:
+            key = digest(part) if len(part.split()) >= LEAST_WORDS else None
+            if key is not None and key not in inside:
+                inside.add(key)
+                out.append((kind, i, key))
+    return out
+
+
 def digests(passage: str) -> list[tuple[int, bytes]]:
     """Hashes by which a passage is found: of the whole, its paragraphs and its lines."""
-    paragraphs = ["\n".join(p) for blank, p in groupby(passage.split("\n"), lambda x: not x.strip()) if not blank]
-    parts = [(WHOLE, passage), *((PARAGRAPH, p) for p in paragraphs), *((LINE, x) for x in passage.split("\n"))]
     found = {}
-    for kind, part in parts:
-        if kind == WHOLE or len(part.split()) >= LEAST_WORDS:
-            key = digest(part)
-            if key is not None:
-                found.setdefault(key, kind)
+    for kind, _, key in sorted(parts(passage), key=lambda x: x[0]):
+        found.setdefault(key, kind)
     return [(kind, key) for key, kind in found.items()]
 
 
 _KEYS = pa.list_(pa.struct([("kind", pa.int32()), ("key", pa.binary())]))
-_QUOTES = pa.list_(pa.struct([("passage", pa.int32()), ("level", pa.int32()), ("keys", _KEYS)]))
-_PARSED = "conv_id long, turn long, role string, body string, own array<struct<kind:int,key:binary>>, quotes array<struct<passage:int,level:int,keys:array<struct<kind:int,key:binary>>>>"
+_PARTS = pa.list_(pa.struct([("kind", pa.int32()), ("paragraph", pa.int32()), ("key", pa.binary())]))
+_QUOTES = pa.list_(pa.struct([("passage", pa.int32()), ("level", pa.int32()), ("keys", _PARTS)]))
+_PARSED = "conv_id long, turn long, role string, body string, own array<struct<kind:int,key:binary>>, quotes array<struct<passage:int,level:int,keys:array<struct<kind:int,paragraph:int,key:binary>>>>"
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def keys(passage: str) -> list[dict]:
         return [{"kind": kind, "key": key} for kind, key in digests(passage)]
 
+    def quoted(passage: str) -> list[dict]:
+        return [{"kind": kind, "paragraph": i, "key": key} for kind, i, key in parts(passage)]
+
     for batch in batches:
         bodies, own, quotes = [], [], []
         for raw in texts_of(batch):
-            parts = passages((raw or b"").decode())
-            body = "\n".join(text for level, text in parts if not level).strip("\n")
+            found = passages((raw or b"").decode())
+            body = "\n".join(text for level, text in found if not level).strip("\n")
             bodies.append(body)
             own.append(keys(body))
-            quotes.append([{"passage": i, "level": level, "keys": keys(text)} for i, (level, text) in enumerate(parts) if level])
+            quotes.append([{"passage": i, "level": level, "keys": quoted(text)} for i, (level, text) in enumerate(found) if level])
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[:3], pa.array(bodies, pa.string()), pa.array(own, _KEYS), pa.array(quotes, _QUOTES)],
             names=["conv_id", "turn", "role", "body", "own", "quotes"],
@@ -77,27 +93,47 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _links(parsed: DataFrame) -> DataFrame:
-    """Each quoted passage's original: (conv_id, turn, passage, level, from_conv, from_turn).
+    """Each quoted passage's originals: (conv_id, turn, passage, level, from_conv, from_turn).
 
     A hash's original within a conversation is the first message that has it, and elsewhere
     the first of all; both are one row a hash, so a common passage is not multiplied.
     """
     own = parsed.select("conv_id", "turn", F.explode("own").alias("own")).select("conv_id", "turn", "own.key")
     quoted = parsed.select("conv_id", "turn", F.explode("quotes").alias("q"))
-    quoted = quoted.select("conv_id", "turn", "q.passage", "q.level", F.explode("q.keys").alias("k")).select("conv_id", "turn", "passage", "level", "k.kind", "k.key")
+    quoted = quoted.select("conv_id", "turn", "q.passage", "q.level", F.explode("q.keys").alias("k")).select("conv_id", "turn", "passage", "level", "k.*")
     asked = quoted.select("key").distinct()
     said = own.join(asked, "key", "left_semi")
     here = said.groupBy("key", "conv_id").agg(F.min("turn").alias("here_turn"))
     first = said.groupBy("key").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
     found = quoted.join(here, ["key", "conv_id"], "left").join(first, "key", "left")
-    is_here = F.col("here_turn") < F.col("turn")
+    here = F.when(F.col("here_turn") < F.col("turn"), F.struct(F.col("conv_id"), F.col("here_turn").alias("turn")))
     away = F.when(F.col("first.conv_id") != F.col("conv_id"), F.col("first"))
-    source = F.when(is_here, F.struct(F.col("conv_id"), F.col("here_turn").alias("turn"))).otherwise(away)
-    found = found.withColumn("source", source).where("source is not null")
-    # In the same conversation before elsewhere, then the larger part, then the later message.
-    choice = F.struct((~F.coalesce(is_here, F.lit(False))).cast("int").alias("away"), "kind", (-F.col("source.turn")).alias("turn_back"), F.col("source"))
-    best = found.groupBy("conv_id", "turn", "passage", "level").agg(F.min(choice).alias("choice"))
-    return best.select("conv_id", "turn", "passage", "level", F.col("choice.source.conv_id").alias("from_conv"), F.col("choice.source.turn").alias("from_turn"))
+    found = found.select("conv_id", "turn", "passage", "level", "kind", "paragraph", here.alias("here"), away.alias("away")).where("here is not null or away is not null")
+    return _chosen(found)
+
+
+def _chosen(found: DataFrame) -> DataFrame:
+    """One source for each part, the largest parts first: the whole, else each paragraph,
+    else each line of the other paragraphs. In the same conversation comes before elsewhere,
+    so what is said in another one is taken for a part only if none within it is here."""
+    is_here, is_away = F.col("here").isNotNull(), F.col("away").isNotNull()
+    passage, paragraph = Window.partitionBy("conv_id", "turn", "passage"), Window.partitionBy("conv_id", "turn", "passage", "paragraph")
+    whole, block = F.col("kind") == WHOLE, F.col("kind") == PARAGRAPH
+    found = found.withColumns({
+        "whole_here": F.max(whole & is_here).over(passage),
+        "whole_away": F.max(whole & is_away).over(passage) & ~F.max(~whole & is_here).over(passage),
+    })
+    found = found.withColumns({
+        "block_here": F.max(block & is_here).over(paragraph),
+        "block_away": F.max(block & is_away).over(paragraph) & ~F.max((F.col("kind") == LINE) & is_here).over(paragraph),
+    })
+    of_whole, of_block = F.col("whole_here") | F.col("whole_away"), F.col("block_here") | F.col("block_away")
+    # Where the larger part has no source, or this is it.
+    free = whole | (~of_whole & (block | ~of_block))
+    away = is_away & F.when(whole, F.col("whole_away")).when(block, F.col("block_away")).otherwise(F.lit(True))
+    source = F.when(free & is_here, F.col("here")).when(free & away, F.col("away"))
+    links = found.withColumn("source", source).where("source is not null")
+    return links.select("conv_id", "turn", "passage", "level", F.col("source.conv_id").alias("from_conv"), F.col("source.turn").alias("from_turn")).distinct()
 
 
 def _over_turns(rows: DataFrame, anchor: Column) -> DataFrame:
@@ -179,9 +215,10 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
 
     body is the text without quoted lines (lines that begin with `>`). Runs of lines of one
     level are passages; each is linked to the first message that says it, by a hash of its
-    words in lower case: the whole passage, else its paragraphs, else its lines (of three
-    words or more), in the same conversation before the quoting turn, else in another one.
-    sources lists (passage, level, conv_id, turn) of the n_linked linked passages. A message
+    words in lower case: the whole passage, else each of its paragraphs, else each line of
+    the others (of three words or more), in the same conversation before the quoting turn,
+    else in another one. sources lists the n_linked distinct (passage, level, conv_id, turn):
+    a passage put together from several messages has one for each. A message
     replies to the latest message of its conversation that its outermost quotes are from;
     without such it replies to the message before it. position numbers a conversation's
     messages from 0 by turn, so that each comes after what it replies to; reply_position

@@ -105,3 +105,21 @@ def test_reply_position_of_wide_and_deep_trees(spark):
     for conv in (1, 2):
         here = sorted((r for r in out if r.conv_id == conv), key=lambda r: r.reply_position)
         assert [r.reply_position for r in here] == list(range(len(here))) and [r.turn for r in here] == walked(here)
+
+
+def test_a_passage_has_a_source_for_each_part(spark):
+    rows = [
+        (1, 0, "user", "the first paragraph is here\nwith a second line of it\n\nand more of the same message"),
+        (1, 1, "user", "a different paragraph said later"),
+        (1, 2, "user", "one more line of text"),
+        (1, 3, "user", "> the first paragraph is here\n> with a second line of it\n>\n> a different paragraph said later\n\nBoth."),
+        (1, 4, "user", "> with a second line of it\n> one more line of text\n> never said by anyone at all\n>\n> said in another conversation only\n\nLines."),
+        (1, 5, "user", "> a different paragraph said later\n\nWhole."),
+        (2, 0, "user", "said in another conversation only"),
+        (2, 1, "user", "> with a second line of it\n> said in another conversation only"),
+        (3, 0, "user", "> one more line of text\n> said in another conversation only"),
+    ]
+    by = {(r.conv_id, r.turn): r for r in reply_ordered(messages(spark, rows)).collect()}
+    sources = {k: [(s.conv_id, s.turn) for s in r.sources] for k, r in by.items() if r.n_quotes}
+    assert sources == {(1, 3): [(1, 0), (1, 1)], (1, 4): [(1, 0), (1, 2), (2, 0)], (1, 5): [(1, 1)], (2, 1): [(1, 0), (2, 0)], (3, 0): [(1, 2), (2, 0)]}
+    assert by[1, 3].n_quotes == 1 and by[1, 3].n_linked == 2 and by[1, 3].reply_to_turn == 1 and by[1, 4].reply_to_turn == 2

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from .shared import materialize, small_batches, texts_of
 
-#: Paragraphs and lines with fewer words are too common to say where they come from.
-LEAST_WORDS = 3
+#: Paragraphs and lines with fewer characters are too common to be quotes of another
+#: conversation. Three words have as many at least.
+LEAST_CHARS = 5
 #: Turns of a conversation that are put in order together.
 TURN_RANGE = 4096
 #: What a passage can be a quote of, from the most to the least certain.
@@ -40,35 +41,40 @@ def digest(passage: str) -> bytes | None:
     return hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest() if words else None
 
 
-def parts(passage: str) -> list[tuple[int, int, bytes]]:
-    """The whole, its paragraphs and their lines: (kind, number of the paragraph, hash). A
-    part that says the same as the larger one it is in is not listed again."""
+def is_short(part: str) -> bool:
+    return len(" ".join(part.split())) < LEAST_CHARS
+
+
+def parts(passage: str) -> list[tuple[int, int, bytes, bool]]:
+    """The whole, its paragraphs and their lines: (kind, number of the paragraph, hash, and
+    whether it is a paragraph or line too short to be known elsewhere). A part that says the
+    same as the larger one it is in is not listed again."""
     whole, out = digest(passage), []
     if whole is not None:
-        out.append((WHOLE, -1, whole))
+        out.append((WHOLE, -1, whole, False))
     paragraphs = [list(p) for blank, p in groupby(passage.split("\n"), lambda x: not x.strip()) if not blank]
     for i, lines in enumerate(paragraphs):
         inside, text = {whole}, "\n".join(lines)
         for kind, part in [(PARAGRAPH, text), *((LINE, x) for x in lines)]:
-            key = digest(part) if len(part.split()) >= LEAST_WORDS else None
+            key = digest(part)
             if key is not None and key not in inside:
                 inside.add(key)
-                out.append((kind, i, key))
+                out.append((kind, i, key, is_short(part)))
     return out
 
 
 def digests(passage: str) -> list[tuple[int, bytes]]:
     """Hashes by which a passage is found: of the whole, its paragraphs and its lines."""
     found = {}
-    for kind, _, key in sorted(parts(passage), key=lambda x: x[0]):
+    for kind, _, key, _ in sorted(parts(passage), key=lambda x: x[0]):
         found.setdefault(key, kind)
     return [(kind, key) for key, kind in found.items()]
 
 
 _KEYS = pa.list_(pa.struct([("kind", pa.int32()), ("key", pa.binary())]))
-_PARTS = pa.list_(pa.struct([("kind", pa.int32()), ("paragraph", pa.int32()), ("key", pa.binary())]))
+_PARTS = pa.list_(pa.struct([("kind", pa.int32()), ("paragraph", pa.int32()), ("key", pa.binary()), ("short", pa.bool_())]))
 _QUOTES = pa.list_(pa.struct([("passage", pa.int32()), ("level", pa.int32()), ("keys", _PARTS)]))
-_PARSED = "conv_id long, turn long, role string, body string, own array<struct<kind:int,key:binary>>, quotes array<struct<passage:int,level:int,keys:array<struct<kind:int,paragraph:int,key:binary>>>>"
+_PARSED = "conv_id long, turn long, role string, body string, own array<struct<kind:int,key:binary>>, quotes array<struct<passage:int,level:int,keys:array<struct<kind:int,paragraph:int,key:binary,short:boolean>>>>"
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,7 +82,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return [{"kind": kind, "key": key} for kind, key in digests(passage)]
 
     def quoted(passage: str) -> list[dict]:
-        return [{"kind": kind, "paragraph": i, "key": key} for kind, i, key in parts(passage)]
+        return [{"kind": kind, "paragraph": i, "key": key, "short": short} for kind, i, key, short in parts(passage)]
 
     for batch in batches:
         bodies, own, quotes = [], [], []
@@ -93,7 +99,8 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _links(parsed: DataFrame) -> DataFrame:
-    """Each quoted passage's originals: (conv_id, turn, passage, level, from_conv, from_turn).
+    """Each quoted passage's originals: (conv_id, turn, passage, level, from_conv, from_turn,
+    short), short where only short parts of it are from there.
 
     A hash's original within a conversation is the first message that has it, and elsewhere
     the first of all; both are one row a hash, so a common passage is not multiplied.
@@ -101,31 +108,32 @@ def _links(parsed: DataFrame) -> DataFrame:
     own = parsed.select("conv_id", "turn", F.explode("own").alias("own")).select("conv_id", "turn", "own.key")
     quoted = parsed.select("conv_id", "turn", F.explode("quotes").alias("q"))
     quoted = quoted.select("conv_id", "turn", "q.passage", "q.level", F.explode("q.keys").alias("k")).select("conv_id", "turn", "passage", "level", "k.*")
-    asked = quoted.select("key").distinct()
-    said = own.join(asked, "key", "left_semi")
+    asked = quoted.groupBy("key").agg(F.min("short").alias("short"))
+    said = own.join(asked, "key")
     here = said.groupBy("key", "conv_id").agg(F.min("turn").alias("here_turn"))
-    first = said.groupBy("key").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
+    first = said.where("not short").groupBy("key").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
     found = quoted.join(here, ["key", "conv_id"], "left").join(first, "key", "left")
     here = F.when(F.col("here_turn") < F.col("turn"), F.struct(F.col("conv_id"), F.col("here_turn").alias("turn")))
-    away = F.when(F.col("first.conv_id") != F.col("conv_id"), F.col("first"))
-    found = found.select("conv_id", "turn", "passage", "level", "kind", "paragraph", here.alias("here"), away.alias("away")).where("here is not null or away is not null")
+    away = F.when((F.col("first.conv_id") != F.col("conv_id")) & ~F.col("short"), F.col("first"))
+    found = found.select("conv_id", "turn", "passage", "level", "kind", "paragraph", "short", here.alias("here"), away.alias("away")).where("here is not null or away is not null")
     return _chosen(found)
 
 
 def _chosen(found: DataFrame) -> DataFrame:
     """One source for each part, the largest parts first: the whole, else each paragraph,
     else each line of the other paragraphs. In the same conversation comes before elsewhere,
-    so what is said in another one is taken for a part only if none within it is here."""
+    so what is said in another one is taken for a part only if none within it is here that
+    is not short."""
     is_here, is_away = F.col("here").isNotNull(), F.col("away").isNotNull()
     passage, paragraph = Window.partitionBy("conv_id", "turn", "passage"), Window.partitionBy("conv_id", "turn", "passage", "paragraph")
     whole, block = F.col("kind") == WHOLE, F.col("kind") == PARAGRAPH
     found = found.withColumns({
         "whole_here": F.max(whole & is_here).over(passage),
-        "whole_away": F.max(whole & is_away).over(passage) & ~F.max(~whole & is_here).over(passage),
+        "whole_away": F.max(whole & is_away).over(passage) & ~F.max(~whole & is_here & ~F.col("short")).over(passage),
     })
     found = found.withColumns({
         "block_here": F.max(block & is_here).over(paragraph),
-        "block_away": F.max(block & is_away).over(paragraph) & ~F.max((F.col("kind") == LINE) & is_here).over(paragraph),
+        "block_away": F.max(block & is_away).over(paragraph) & ~F.max((F.col("kind") == LINE) & is_here & ~F.col("short")).over(paragraph),
     })
     of_whole, of_block = F.col("whole_here") | F.col("whole_away"), F.col("block_here") | F.col("block_away")
     # Where the larger part has no source, or this is it.
@@ -133,7 +141,8 @@ def _chosen(found: DataFrame) -> DataFrame:
     away = is_away & F.when(whole, F.col("whole_away")).when(block, F.col("block_away")).otherwise(F.lit(True))
     source = F.when(free & is_here, F.col("here")).when(free & away, F.col("away"))
     links = found.withColumn("source", source).where("source is not null")
-    return links.select("conv_id", "turn", "passage", "level", F.col("source.conv_id").alias("from_conv"), F.col("source.turn").alias("from_turn")).distinct()
+    link = ["conv_id", "turn", "passage", "level", F.col("source.conv_id").alias("from_conv"), F.col("source.turn").alias("from_turn")]
+    return links.groupBy(*link).agg(F.min("short").alias("short"))
 
 
 def _over_turns(rows: DataFrame, anchor: Column) -> DataFrame:
@@ -216,10 +225,11 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
     body is the text without quoted lines (lines that begin with `>`). Runs of lines of one
     level are passages; each is linked to the first message that says it, by a hash of its
     words in lower case: the whole passage, else each of its paragraphs, else each line of
-    the others (of three words or more), in the same conversation before the quoting turn,
-    else in another one. sources lists the n_linked distinct (passage, level, conv_id, turn):
+    the others, in the same conversation before the quoting turn, else in another one
+    (paragraphs and lines of LEAST_CHARS characters or more). sources lists the n_linked distinct (passage, level, conv_id, turn):
     a passage put together from several messages has one for each. A message
-    replies to the latest message of its conversation that its outermost quotes are from;
+    replies to the latest message of its conversation that its outermost quotes are from,
+    by their longer parts if those have one;
     without such it replies to the message before it. position numbers a conversation's
     messages from 0 by turn, so that each comes after what it replies to; reply_position
     numbers them from 0 along the tree of replies: after a message come the replies to it by
@@ -236,7 +246,7 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
     parsed = materialize(rows.mapInArrow(_parsed, _PARSED), "quotes-parsed")
     placed = parsed.where("conv_id is not null and turn is not null")
     links = materialize(_links(placed), "quotes-links")
-    outer = links.where("from_conv = conv_id").groupBy("conv_id", "turn").agg(F.min_by("from_turn", F.struct("level", -F.col("from_turn"))).alias("linked_turn"))
+    outer = links.where("from_conv = conv_id").groupBy("conv_id", "turn").agg(F.min_by("from_turn", F.struct("level", "short", -F.col("from_turn"))).alias("linked_turn"))
 
     turns = _over_turns(placed.select("conv_id", "turn", F.lit("").alias("role"), F.lit("").alias("body")), F.lit(False))
     turns = turns.groupBy("conv_id", "turn").agg(F.min("pos").alias("row_pos"), F.count(F.lit(1)).alias("n_rows"))

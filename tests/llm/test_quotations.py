@@ -123,3 +123,25 @@ def test_a_passage_has_a_source_for_each_part(spark):
     sources = {k: [(s.conv_id, s.turn) for s in r.sources] for k, r in by.items() if r.n_quotes}
     assert sources == {(1, 3): [(1, 0), (1, 1)], (1, 4): [(1, 0), (1, 2), (2, 0)], (1, 5): [(1, 1)], (2, 1): [(1, 0), (2, 0)], (3, 0): [(1, 2), (2, 0)]}
     assert by[1, 3].n_quotes == 1 and by[1, 3].n_linked == 2 and by[1, 3].reply_to_turn == 1 and by[1, 4].reply_to_turn == 2
+
+
+def test_short_parts_and_scripts_without_spaces(spark):
+    rows = [
+        (1, 0, "user", "今天天气很好。\n我们去公园散步吧。\n\n晚上一起吃饭怎么样?"),
+        (1, 1, "user", "Agreed!\n\nOr another time"),
+        (1, 2, "user", "something else is said here"),
+        (1, 3, "user", "> 我们去公园散步吧。\n\n好"),
+        (1, 4, "user", "> Agreed!\n\nFine."),
+        (1, 5, "user", "> 晚上一起吃饭怎么样?\n\n好"),
+        (2, 0, "user", "hm\nnothing like the others"),
+        (2, 1, "user", "> 晚上一起吃饭怎么样?\n> not known\n\n?"),
+        (3, 0, "user", "> hm\n> not known\n\n?"),
+        (4, 0, "user", "hm\nfirst of four"),
+        (4, 1, "user", "next of four"),
+        (4, 2, "user", "> hm\n> nothing like the others\n\nElsewhere as a whole."),
+        (4, 3, "user", "> hm\n> next of four\n\nBoth."),
+    ]
+    by = {(r.conv_id, r.turn): r for r in reply_ordered(messages(spark, rows)).collect()}
+    sources = {k: [(s.conv_id, s.turn) for s in r.sources] for k, r in by.items() if r.n_quotes}
+    assert sources == {(1, 3): [(1, 0)], (1, 4): [(1, 1)], (1, 5): [(1, 0)], (2, 1): [(1, 0)], (3, 0): [], (4, 2): [(2, 0)], (4, 3): [(4, 0), (4, 1)]}
+    assert [by[1, t].reply_to_turn for t in (3, 4, 5)] == [0, 1, 0] and by[4, 2].reply_to_turn == by[4, 3].reply_to_turn == 1

@@ -103,18 +103,22 @@ def _links(parsed: DataFrame) -> DataFrame:
     short), short where only short parts of it are from there.
 
     A hash's original within a conversation is the first message that has it, and elsewhere
-    the first of all; both are one row a hash, so a common passage is not multiplied.
+    that of the first other conversation, one of the first two. Both are one row a hash, so
+    a common passage is not multiplied.
     """
     own = parsed.select("conv_id", "turn", F.explode("own").alias("own")).select("conv_id", "turn", "own.key")
     quoted = parsed.select("conv_id", "turn", F.explode("quotes").alias("q"))
     quoted = quoted.select("conv_id", "turn", "q.passage", "q.level", F.explode("q.keys").alias("k")).select("conv_id", "turn", "passage", "level", "k.*")
     asked = quoted.groupBy("key").agg(F.min("short").alias("short"))
     said = own.join(asked, "key")
-    here = said.groupBy("key", "conv_id").agg(F.min("turn").alias("here_turn"))
-    first = said.where("not short").groupBy("key").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
-    found = quoted.join(here, ["key", "conv_id"], "left").join(first, "key", "left")
+    here = said.groupBy("key", "conv_id").agg(F.min("turn").alias("here_turn"), F.first("short").alias("short"))
+    two = here.where("not short").withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("conv_id"))).where("rank <= 2")
+    place = F.struct("conv_id", F.col("here_turn").alias("turn"))
+    two = two.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("second"))
+    found = quoted.join(here.drop("short"), ["key", "conv_id"], "left").join(two, "key", "left")
     here = F.when(F.col("here_turn") < F.col("turn"), F.struct(F.col("conv_id"), F.col("here_turn").alias("turn")))
-    away = F.when((F.col("first.conv_id") != F.col("conv_id")) & ~F.col("short"), F.col("first"))
+    other = F.when(F.col("first.conv_id") != F.col("conv_id"), F.col("first")).when(F.col("second.conv_id") != F.col("conv_id"), F.col("second"))
+    away = F.when(~F.col("short"), other)
     found = found.select("conv_id", "turn", "passage", "level", "kind", "paragraph", "short", here.alias("here"), away.alias("away")).where("here is not null or away is not null")
     return _chosen(found)
 

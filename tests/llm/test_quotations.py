@@ -145,3 +145,19 @@ def test_short_parts_and_scripts_without_spaces(spark):
     sources = {k: [(s.conv_id, s.turn) for s in r.sources] for k, r in by.items() if r.n_quotes}
     assert sources == {(1, 3): [(1, 0)], (1, 4): [(1, 1)], (1, 5): [(1, 0)], (2, 1): [(1, 0)], (3, 0): [], (4, 2): [(2, 0)], (4, 3): [(4, 0), (4, 1)]}
     assert [by[1, t].reply_to_turn for t in (3, 4, 5)] == [0, 1, 0] and by[4, 2].reply_to_turn == by[4, 3].reply_to_turn == 1
+
+
+def test_the_first_conversation_that_says_it_quotes_another(spark):
+    rows = [
+        (1, 0, "user", "begins with something"),
+        (1, 1, "user", "> well known words of many\n\nSee.\n\nwell known words of many"),
+        (1, 2, "user", "well known words of many"),
+        (2, 0, "user", "hm"),
+        (2, 4, "user", "well known words of many"),
+        (2, 5, "user", "well known words of many"),
+        (3, 0, "user", "well known words of many"),
+        (4, 0, "user", "> well known words of many\n\nSee."),
+        (5, 0, "user", "> only said here\n\nonly said here"),
+    ]
+    by = {(r.conv_id, r.turn): r for r in reply_ordered(messages(spark, rows)).collect()}
+    assert [[(s.conv_id, s.turn) for s in by[k].sources] for k in ((1, 1), (4, 0), (5, 0))] == [[(2, 4)], [(1, 1)], []]

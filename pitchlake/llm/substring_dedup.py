@@ -13,26 +13,33 @@ from pyspark.sql import functions as F
 
 from .shared import gram_hashes, materialize, pieces, salt_bit, salt_of, small_batches, spread_over_salts, texts_of, word_hashes
 
-#: Words in a window, and in the grams of which a window's least hash is its minimiser.
-WINDOW, GRAM = 50, 10
-#: Super-k-mers of a minimiser that one bucket group sorts; windows of more frequent
-#: minimisers go one by one to an aggregation that combines before it shuffles.
+#: Words in a window, and in the grams of which a window's least hash is its minimiser; of
+#: the longer grams, its second minimiser.
+WINDOW, GRAM, LONG_GRAM = 50, 10, 30
+#: Super-k-mers that one bucket sorts. Fuller buckets are split by the second minimiser, and
+#: what is still fuller by the window itself.
 BUCKET_ROWS = 2000
 SALTS = 32
 
 _PLACE = "doc_id long, text_key long"
 
 
-def minimisers(hashes: np.ndarray) -> np.ndarray:
+def minimisers(hashes: np.ndarray, gram: int = GRAM) -> np.ndarray:
     """The minimiser of each window of words with these hashes: the least among its grams."""
-    low = gram_hashes(hashes, GRAM)
-    grams, span = WINDOW - GRAM + 1, 1
+    low = gram_hashes(hashes, gram)
+    grams, span = WINDOW - gram + 1, 1
     while 2 * span <= grams:
         low, span = np.minimum(low[:-span], low[span:]), 2 * span
     rest = grams - span
     return np.minimum(low[: len(low) - rest], low[rest:]) if rest else low
 
 
+def _changes(low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of one value begin, and their lengths."""
+    first = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+    return first, np.diff(np.append(first, len(low)))
+
+
 def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text's word count, the hash of all its words, and its super-k-mers."""
     for batch in batches:
@@ -49,10 +56,10 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keys.append(None), starts.append(None), counts.append(None)
                 continue
             low = minimisers(hashes)
-            first = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+            first, lengths = _changes(low)
             keys.append(low[first].view(np.int64))
             starts.append(first.astype(np.int32))
-            counts.append(np.diff(np.append(first, len(low))).astype(np.int32))
+            counts.append(lengths.astype(np.int32))
         yield pa.RecordBatch.from_pydict(
             {
                 "doc_id": batch.column(0),
@@ -67,18 +74,27 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words of each wanted super-k-mer as one string."""
+    """The words of each wanted super-k-mer as one string. Those of full buckets are parted
+    where the second minimiser, key2, changes."""
     for batch in batches:
-        out = {"key": [], "doc_id": [], "text_key": [], "start": [], "packed": []}
+        out = {"key": [], "key2": [], "doc_id": [], "text_key": [], "start": [], "packed": []}
         rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist(), texts_of(batch), strict=True)
         for doc, text_key, runs, text in rows:
             words = text.split()
             for run in runs:
-                out["key"].append(run["key"])
-                out["doc_id"].append(doc)
-                out["text_key"].append(text_key)
-                out["start"].append(run["start"])
-                out["packed"].append(b" ".join(words[run["start"] : run["start"] + run["n"] + WINDOW - 1]))
+                begin, n = run["start"], run["n"]
+                parts = [(None, 0, n)]
+                if run["full"]:
+                    low = minimisers(word_hashes(words[begin : begin + n + WINDOW - 1]), LONG_GRAM)
+                    first, lengths = _changes(low)
+                    parts = zip(low[first].view(np.int64).tolist(), first.tolist(), lengths.tolist(), strict=True)
+                for key2, at, length in parts:
+                    out["key"].append(run["key"])
+                    out["key2"].append(key2)
+                    out["doc_id"].append(doc)
+                    out["text_key"].append(text_key)
+                    out["start"].append(begin + at)
+                    out["packed"].append(b" ".join(words[begin + at : begin + at + length + WINDOW - 1]))
         kinds = {"start": pa.int32(), "packed": pa.binary()}
         yield pa.RecordBatch.from_pydict({k: pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items()})
 
@@ -98,11 +114,12 @@ def _runs(places: list[int]) -> Iterator[tuple[int, int]]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (key, doc_id). Windows of a key's rows are sorted with their
-    document; each that is not in its first document is to be removed."""
+    """Rows (doc_id, text_key, start, packed, key, key2) come sorted by key, key2 and doc_id.
+    Windows of a bucket's rows are sorted with their document; each that is not in its first
+    document is to be removed."""
 
     def repeated(rows: list[tuple]) -> list[tuple[int, int, int, int]]:
-        found = [(w, doc, r, i) for r, (_, doc, _, _, packed) in enumerate(rows) for i, w in enumerate(windows(packed))]
+        found = [(w, doc, r, i) for r, (doc, _, _, packed, *_) in enumerate(rows) for i, w in enumerate(windows(packed))]
         found.sort()
         gone: dict[int, list[int]] = {}
         window = first = None
@@ -111,13 +128,13 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 window, first = w, doc
             elif doc > first:
                 gone.setdefault(r, []).append(i)
-        return [(rows[r][1], rows[r][2], rows[r][3] + at, n) for r, places in gone.items() for at, n in _runs(sorted(places))]
+        return [(rows[r][0], rows[r][1], rows[r][2] + at, n) for r, places in gone.items() for at, n in _runs(sorted(places))]
 
     held: list[tuple] = []
     for batch in batches:
         done: list[tuple[int, int, int, int]] = []
-        for row in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-            if held and row[0] != held[0][0]:
+        for row in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+            if held and row[4:] != held[0][4:]:
                 done += repeated(held)
                 held = []
             held.append(row)
@@ -132,17 +149,17 @@ def _removals(rows: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
 
 
 def _split_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per window, known by a 128-bit digest of its words."""
+    """One row per window of rows (doc_id, text_key, start, packed, ...)."""
     for batch in batches:
-        ids, keys, starts, digests = [], [], [], []
-        for doc, text_key, start, packed in zip(*(batch.column(i).to_pylist() for i in range(1, 5)), strict=True):
+        ids, keys, starts, words = [], [], [], []
+        for doc, text_key, start, packed in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
             found = windows(packed)
-            digests += [hashlib.blake2b(w, digest_size=16).digest() for w in found]
+            words += found
             starts += range(start, start + len(found))
             ids += [doc] * len(found)
             keys += [text_key] * len(found)
         yield pa.RecordBatch.from_pydict(
-            {"doc_id": pa.array(ids, pa.int64()), "text_key": pa.array(keys, pa.int64()), "start": pa.array(starts, pa.int32()), "window": pa.array(digests, pa.binary())}
+            {"doc_id": pa.array(ids, pa.int64()), "text_key": pa.array(keys, pa.int64()), "start": pa.array(starts, pa.int32()), "window": pa.array(words, pa.binary())}
         )
 
 
@@ -172,40 +189,47 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _met(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Those of rows whose keys are in two documents or more, with low, the first of these,
+    and rows, how many there are. Both ways are salted by document, so that a key which very
+    many rows have is combined before it meets, and no task holds all of it."""
+    salted = rows.withColumn("salt", salt_of("doc_id", SALTS))
+    ends = [F.min("low").alias("low"), F.max("high").alias("high"), F.sum("rows").alias("rows"), F.sum(salt_bit()).alias("salt_bits")]
+    some = salted.groupBy(*keys, "salt").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("rows"))
+    known = some.groupBy(*keys).agg(*ends).where("low < high").drop("high")
+    return salted.join(spread_over_salts(known, SALTS), [*keys, "salt"]).drop("salt")
+
+
 def _removed(docs: DataFrame, id_col: str, text_col: str, bucket_rows: int) -> tuple[DataFrame, DataFrame]:
     """All documents (doc_id, text_key, n_words, sha), and what is left of those that lose words."""
     small_batches(docs.sparkSession)
+    place = ["doc_id", "text_key"]
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
     marked = materialize(
         texts.mapInArrow(_marked, f"{_PLACE}, n_words long, sha binary, keys array<long>, starts array<int>, counts array<int>"), "passage-marks"
     )
-    runs = marked.where("doc_id is not null").select("doc_id", "text_key", F.explode(F.arrays_zip("keys", "starts", "counts")).alias("run"))
-    runs = runs.select("doc_id", "text_key", F.col("run.keys").alias("key"), F.col("run.starts").alias("start"), F.col("run.counts").alias("n"))
-    shared = runs.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("rows")).where("low < high")
-    wanted = runs.join(shared.select("key", "rows"), "key").select(
-        "doc_id", "text_key", F.struct("key", "start", "n", (F.col("rows") > bucket_rows).alias("frequent")).alias("run")
-    )
-    wanted = wanted.groupBy("doc_id", "text_key").agg(F.collect_list("run").alias("runs"))
-    chosen = materialize(texts.join(wanted, ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "runs"), "passage-texts")
-
-    def packed(frequent: bool) -> DataFrame:
-        some = chosen.withColumn("runs", F.filter("runs", lambda r: r["frequent"] == F.lit(frequent))).where(F.size("runs") > 0)
-        return some.mapInArrow(_packed, f"key long, {_PLACE}, start int, packed binary")
-
-    bucketed = packed(False).repartition("key").sortWithinPartitions("key", "doc_id")
+    runs = marked.where("doc_id is not null").select(*place, F.explode(F.arrays_zip("keys", "starts", "counts")).alias("run"))
+    runs = runs.select(*place, F.col("run.keys").alias("key"), F.col("run.starts").alias("start"), F.col("run.counts").alias("n"))
+    wanted = _met(runs, ["key"]).select(*place, F.struct("key", "start", "n", (F.col("rows") > bucket_rows).alias("full")).alias("run"))
+    wanted = wanted.groupBy(*place).agg(F.collect_set("run").alias("runs"))  # of one text
+    chosen = texts.join(wanted, place).select(*place, "text", "runs").dropDuplicates(place)  # of repeated rows, one
+    chosen = materialize(chosen, "passage-texts")
+
+    def packed(full: bool) -> DataFrame:
+        some = chosen.withColumn("runs", F.filter("runs", lambda r: r["full"] == F.lit(full))).where(F.size("runs") > 0)
+        return some.mapInArrow(_packed, f"key long, key2 long, {_PLACE}, start int, packed binary")
+
+    row = [*place, "start", "packed", "key", "key2"]
+    parted = materialize(_met(materialize(packed(True), "passage-parts"), ["key", "key2"]).select(*row, "rows"), "passage-parted")
+    bucketed = packed(False).select(*row).unionByName(parted.where(F.col("rows") <= bucket_rows).select(*row))
+    bucketed = bucketed.repartition("key", "key2").sortWithinPartitions("key", "key2", "doc_id")
     gone = bucketed.mapInArrow(_counted, f"{_PLACE}, start int, n int")
-    single = packed(True).mapInArrow(_split_windows, f"{_PLACE}, start int, window binary")
-    single = materialize(single, "passage-windows")
-    # A window that very many documents have is combined, and looked up, by salts of their ids.
-    single = single.withColumn("salt", salt_of("doc_id", SALTS))
-    ends = [F.min("low").alias("low"), F.max("high").alias("high")]
-    first = single.groupBy("window", "salt").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    first = first.groupBy("window").agg(*ends, F.sum(salt_bit()).alias("salt_bits")).where("low < high").drop("high")
-    later = single.join(spread_over_salts(first, SALTS), ["window", "salt"]).where("doc_id > low").select("doc_id", "text_key", "start", F.lit(1).alias("n"))
-    gone = gone.unionByName(later).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "n")).alias("gone"))
-    losing = chosen.select("doc_id", "text_key", "text").distinct().join(gone, ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "gone")
+    single = parted.where(F.col("rows") > bucket_rows).select(*row).mapInArrow(_split_windows, f"{_PLACE}, start int, window binary")
+    later = _met(materialize(single, "passage-windows"), ["window"]).where("doc_id > low").select(*place, "start", F.lit(1).alias("n"))
+    gone = gone.unionByName(later).groupBy(*place).agg(F.collect_list(F.struct("start", "n")).alias("gone"))
+    losing = chosen.select(*place, "text").join(gone, place).select(*place, "text", "gone")
     cut = losing.mapInArrow(_cut, f"{_PLACE}, n_removed long, kept_sha binary, kept_text string")
-    return marked.select("doc_id", "text_key", "n_words", "sha"), cut
+    return marked.select(*place, "n_words", "sha"), cut
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -215,14 +239,18 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     WINDOW words that covers it also starts in a document with a smaller id. kept_sha256 is
     of the kept words, joined by one space. Windows are judged on the input. Null, empty and
     short texts have no window. Rows without an id lose nothing and take nothing. Rows that
-    repeat an id and text are all returned alike; two texts with one id are judged apart and
-    take nothing from each other. Other columns are not read. An empty table gives no rows.
+    repeat an id and text are all returned alike, and are judged once; two texts with one id
+    are judged apart and take nothing from each other. Very long texts are hashed in pieces
+    and judged whole. Other columns are not read. An empty table gives no rows.
 
     Consecutive windows with the same minimiser form a super-k-mer. Equal windows have equal
     minimisers, so only super-k-mers whose minimiser occurs in two documents travel, each as
     one packed string, to its minimiser's bucket, where windows are sorted and counted by
-    their words. Minimisers with more than bucket_rows super-k-mers would overfill a bucket:
-    their windows are counted one by one, by digest, in an aggregation.
+    their words. A bucket of more than bucket_rows super-k-mers is split by a second
+    minimiser, of longer grams: its super-k-mers are parted where that changes, and those
+    parts whose two minimisers are in one document only go no further. Where such a bucket
+    is too full again, as by a passage of very many documents, the parts are single windows,
+    combined by their words before they are shuffled.
     """
     marked, cut = _removed(docs, id_col, text_col, bucket_rows)
     found = marked.join(cut.drop("kept_text"), ["doc_id", "text_key"], "left")
@@ -235,9 +263,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def without_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """docs, of which texts that lose words are replaced by their kept words."""
+    """docs, of which texts that lose words are replaced by their kept words, joined by one
+    space. See repeated_passages: rows that lose nothing, null and empty texts, and rows
+    without an id stay as they are; all columns stay."""
     _, cut = _removed(docs, id_col, text_col, bucket_rows)
-    kept = cut.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("kept_text").alias("__kept"))
-    same = (F.col(id_col) == F.col("__id")) & (F.xxhash64(text_col) == F.col("__key"))
-    text = F.coalesce("__kept", F.col(text_col))
-    return docs.join(kept, same, "left").select(*(text.alias(c) if c == text_col else F.col(c) for c in docs.columns))
+    docs, kept = docs.alias("docs"), cut.alias("kept")
+    same = (F.col(f"docs.{id_col}") == F.col("kept.doc_id")) & (F.xxhash64(f"docs.{text_col}") == F.col("kept.text_key"))
+    text = F.coalesce("kept.kept_text", F.col(f"docs.{text_col}"))
+    return docs.join(kept, same, "left").select(*(text.alias(c) if c == text_col else F.col(f"docs.{c}") for c in docs.columns))

@@ -81,43 +81,62 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 
 SOURCE_MIX = r"""
 WITH d AS (
-    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5('mix ' || doc_id) AS shuffle FROM documents
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+           md5(concat_ws(' ', 'mix', doc_id, md5(text))) AS shuffle
+    FROM documents
 ), s AS (
     SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS number
     FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source)
 ), w AS (
     SELECT *, [5e0, 2e0, 1e0][number % 3 + 1] AS weight, CAST(3 * source_size AS DOUBLE) AS most FROM s
 ), t AS (
-    SELECT CAST(sum(source_size) AS BIGINT) AS total, greatest(1, least(64, CAST(sum(source_size) AS BIGINT) // 65536)) AS block FROM s
+    SELECT CAST(sum(source_size) AS BIGINT) AS total, count(*) AS n_sources, 1024 AS block FROM s
 ), level AS (
     SELECT *, (total - coalesce(sum(most) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
               / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS unit
     FROM w, t WINDOW o AS (ORDER BY most / weight, number)
 ), target AS (
-    SELECT w.*, total, block, (source_size + block - 1) // block AS blocks,
+    SELECT w.*, block, n_sources, (source_size + block - 1) // block AS blocks,
            least(most, weight * (SELECT arg_min(unit, most / weight) FROM level WHERE unit * weight <= most)) AS target
     FROM w, t
+), pass AS (
+    SELECT *, CAST(floor(target) AS BIGINT) // greatest(source_size, 1) AS times,
+           CASE WHEN source_size > 0 THEN CAST(floor(target) AS BIGINT) % source_size ELSE 0 END AS rest
+    FROM target
+), need AS (
+    SELECT *, times * blocks + (rest + block - 1) // block AS needed FROM pass
+), n AS (
+    SELECT CAST(sum(needed) AS BIGINT) AS n_slots FROM need
 ), part AS (
-    SELECT *, round(coalesce(sum(target) OVER (ORDER BY number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / total * 2147483648e0) AS low,
+    SELECT *, floor(coalesce(sum(needed) OVER (ORDER BY number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / n_slots * 2147483648e0) AS low,
            CASE WHEN number = max(number) OVER () THEN 2147483648e0
-                ELSE round(sum(target) OVER (ORDER BY number ROWS UNBOUNDED PRECEDING) / total * 2147483648e0) END AS high
-    FROM target
+                ELSE floor(sum(needed) OVER (ORDER BY number ROWS UNBOUNDED PRECEDING) / n_slots * 2147483648e0) END AS high
+    FROM need, n
+), point AS (
+    SELECT i, ((i % 2147483648) * 1327217885) % 2147483648 AS point FROM (SELECT unnest(range(n_slots)) AS i FROM n)
+), drawn AS (
+    SELECT i AS slot, number, row_number() OVER (PARTITION BY number ORDER BY i) - 1 AS rank FROM point JOIN part ON point >= low AND point < high
+), have AS (
+    SELECT part.*, coalesce(c, 0) AS have FROM part LEFT JOIN (SELECT number, count(*) AS c FROM drawn GROUP BY number) USING (number)
 ), slot AS (
-    SELECT i, ((i % 2147483648) * 1327217885) % 2147483648 AS point FROM (SELECT unnest(range((total + block // 2) // block)) AS i FROM t)
-), ranked AS (
-    SELECT number, blocks, row_number() OVER (PARTITION BY number ORDER BY i) - 1 AS rank FROM slot JOIN part ON point >= low AND point < high
-), times AS (
-    SELECT number, rank % blocks AS block_number, count(*) AS times FROM ranked WHERE rank < 3 * blocks GROUP BY ALL
+    SELECT slot, number, rank FROM drawn
+    UNION ALL
+    SELECT n_slots + (rank - have) * n_sources + number, number, rank FROM (SELECT *, unnest(range(have, needed)) AS rank FROM have)
+), taking AS (
+    SELECT slot, number, rank % blocks AS block_number, CASE WHEN rank // blocks < times THEN source_size ELSE rest END AS ends
+    FROM slot JOIN part USING (number) WHERE rank < needed
 ), laid AS (
     SELECT doc_id, number, block, size, CAST(coalesce(sum(size) OVER (
         PARTITION BY number ORDER BY shuffle, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS at_word
     FROM d JOIN part ON d.source IS NOT DISTINCT FROM part.source
 ), piece AS (
     SELECT *, unnest(range(at_word // block, (at_word + size - 1) // block + 1)) AS block_number FROM laid WHERE size > 0
+), got AS (
+    SELECT doc_id, slot, least(at_word + size, (block_number + 1) * block, ends) - greatest(at_word, block_number * block) AS words
+    FROM piece JOIN taking USING (number, block_number)
 ), taken AS (
-    SELECT doc_id, CAST(sum(times * (least(at_word + size, (block_number + 1) * block) - greatest(at_word, block_number * block))) AS BIGINT) AS taken
-    FROM piece JOIN times USING (number, block_number) GROUP BY doc_id
+    SELECT doc_id, CAST(sum(words) AS BIGINT) AS taken, min(slot) AS first_slot FROM got WHERE words > 0 GROUP BY doc_id
 )
-SELECT d.doc_id, size, source_size, target, coalesce(taken, 0) AS taken
+SELECT d.doc_id, size, source_size, target, coalesce(taken, 0) AS taken, CAST(first_slot AS BIGINT) AS first_slot
 FROM d JOIN part ON d.source IS NOT DISTINCT FROM part.source LEFT JOIN taken USING (doc_id)
 """

@@ -48,7 +48,7 @@ def exact_groups(
     to carriage return) is replaced by one space; a null text counts as empty. Of equal
     texts the smallest doc_id stays. A null id never stays beside another id; a group that
     has null ids only keeps one row. Of rows repeated with one id and text, one is kept; all
-    count in group_size. Other columns of docs are not read. An empty table gives no rows.
+    count in group_size. Texts of any length are compared whole. Other columns of docs are not read. An empty table gives no rows.
 
     Texts that share a digest but differ (digest can be replaced to test this) are told
     apart by their content; this needs no further work while no digest is shared.
@@ -78,10 +78,15 @@ def exact_groups(
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that exact_groups keeps, with all their columns."""
-    kept = exact_groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha"))
-    sha = F.unhex(F.sha2(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), SPACES, " "), 256))
-    keyed = docs.withColumn("__own_sha", sha)
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own_sha") == F.col("__sha"))
-    first = F.row_number().over(Window.partitionBy(id_col, "__own_sha").orderBy(F.lit(0)))
-    return keyed.join(kept, same, "left_semi").withColumn("__first", first).where("__first = 1").select(*docs.columns)
+    """The rows of docs that exact_groups keeps, with all their columns, whatever their names.
+
+    Of rows that repeat an id and text, which are combined before they are shuffled, one
+    stays. Null ids, null, empty and very long texts: see exact_groups. An empty table gives
+    no rows. Texts are shuffled once here; what is kept is known by id and digest.
+    """
+    sha = F.hex(F.unhex(F.sha2(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), SPACES, " "), 256)))
+    one = docs.select(F.struct("*").alias("doc"), F.concat_ws(" ", sha, F.col(id_col).cast("string")).alias("pick"))
+    one = one.groupBy("pick").agg(F.first("doc").alias("doc"))
+    kept = exact_groups(docs, id_col, text_col).where("kept")
+    kept = kept.select(F.concat_ws(" ", F.upper("text_sha256"), F.col("doc_id").cast("string")).alias("pick"))
+    return one.join(kept, "pick", "left_semi").select("doc.*")

@@ -24,8 +24,8 @@ def packed(docs: DataFrame, tokenizer: str, length: int = LENGTH, id_col: str =
     partition, and are cut every `length` ids: every sequence but the last is full. A
     document that crosses a cut has a piece on either side of it. start counts its ids
     before the piece, offset the sequence's. A null text counts as empty: its only id is the
-    end id. Null ids and repeated rows are documents like others. Other columns are not
-    read. An empty table gives no rows.
+    end id. Null ids, repeated rows and texts of any length are documents like others. Other
+    columns are not read. An empty table gives no rows.
 
     The first pass encodes, counts ids within each partition and writes both; prefix sums
     over the partitions' totals (one row each) then give each partition its place, and the

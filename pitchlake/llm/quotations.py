@@ -240,7 +240,7 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
     turn, each with all that follows from it, so that branches are not interleaved.
     root_turn and depth tell where a thread begins and how many replies lie between.
 
-    Null texts count as empty; their body is empty. Rows without conv_id or turn are returned
+    Null texts count as empty; their body is empty. Texts of any length are parsed whole. Rows without conv_id or turn are returned
     with null positions, replies, root and depth, and are no sources. Rows that repeat a turn
     are all returned, in order of role and body, with the replies of the turn. Other columns
     are not read. An empty table gives no rows.

@@ -23,13 +23,17 @@ U64 = np.uint64
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: the session's checkpoint folder.
 
-    Only where the session has none (as in tests) one is set under the warehouse folder.
+    Spark makes one folder for each application in it, which holds all tables that the
+    operators write on their way and can be removed when the application has ended. Where
+    the session names none, a local session (as in tests) takes one under its warehouse;
+    on a cluster that is an error, since local folders are not shared.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints"
-        )
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(path or spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints")
     return context.getCheckpointDir()
 
 
@@ -53,7 +57,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, size: str = "8m") -> None:
-    """Bound the bytes of an Arrow batch, since single texts can be very long."""
+    """Bound the bytes of an Arrow batch, since single texts can be very long. This is set for
+    the session: Spark reads it when the operator's result is evaluated."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 

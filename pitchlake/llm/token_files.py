@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from .shared import shared_folder, small_batches, texts_of
 from .tokens import encoder
 
-#: Documents and bytes of each, at most, from which the dictionary is trained, and its size.
-SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 8192, 65536
+#: Documents, and characters of a stretch of each and bytes of its ids, at most, from which
+#: the dictionary is trained, and its size.
+SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 4096, 8192, 65536
 LEVEL = 3
 #: A file's block ends with the document that brings it to so many compressed bytes.
 BLOCK_BYTES = 1 << 20
@@ -61,9 +62,11 @@ class Block:
 
 def _train(spark: SparkSession, texts: DataFrame, path: str) -> bytes:
     """A dictionary from the ids of at most SAMPLE_DOCS documents, chosen by a hash of their
-    ids; empty where they are too few to train one."""
+    ids, of each a stretch from a hashed place on; empty where they are too few to train one."""
     few = texts.where("doc_id is not null and length(text) > 0").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    some = texts.join(F.broadcast(few.distinct()), "doc_id").select(F.substring("text", 1, SAMPLE_BYTES // 2).alias("text"))  # at most SAMPLE_DOCS ids
+    spare = F.greatest(F.lit(1), F.length("text") - SAMPLE_CHARS + 1)
+    place = F.pmod(F.xxhash64("doc_id", F.lit("stretch")), spare).cast("int") + 1
+    some = texts.join(F.broadcast(few.distinct()), "doc_id").select(F.substr("text", place, F.lit(SAMPLE_CHARS)).alias("text"))  # at most SAMPLE_DOCS ids
     encode = encoder(path).encode
     samples = sorted(encode([r.text.encode()])[0][:SAMPLE_BYTES] for r in some.limit(2 * SAMPLE_DOCS).collect() if r.text)
     try:
@@ -78,8 +81,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, id_col: str =
     path/blocks is a table of blocks (see pack_block): part and block number them in order,
     low and high bound their ids, n_tokens counts their tokens. A block's first_token counts
     the tokens of its part before it. path/dictionary holds the dictionary and its hash.
-    A null text counts as empty; its ids are the end id alone. Rows without an id come
-    first; rows that repeat an id are all written. Both tables are written by Spark, so a
+    A null text counts as empty; its ids are the end id alone. Texts of any length are
+    encoded whole; an empty table gives no blocks. Rows without an id come first; rows that repeat an id are all written. Both tables are written by Spark, so a
     lost executor's blocks are made anew and no half-written block is seen.
     """
     spark = docs.sparkSession

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
@@ -18,6 +19,14 @@ _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c
 #: Words by which encoding in parts is tried out before it is used.
 _TRIAL = "It's a 12 (x) don't! END. end.### Thner,*** Élan été, Straße!! ñandú | || a.b x-y é́é ́a 3.5% µm ÀÉÎ## ÿ. naïve...".split()
 
+# What a tokenizer file must declare for its texts to be encoded in parts.
+# White space is made one space and parts texts before the model, and no token holds any.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_PRE_TOKENIZERS = [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
 _encoders: dict[str, Encoder] = {}
 
 
@@ -28,6 +37,19 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def declares_words(tokenizer_json: str) -> bool:
+    """Whether a tokenizer file's own declarations say that the ids of a text are those of its
+    words in turn, and of a word's letters and closing punctuation: the normalizers and
+    pre-tokenizers above, a byte-pair model without dropout or unknown token, nothing added
+    after it, and no added token that has white space or takes it up."""
+    file = json.loads(tokenizer_json)
+    model = file["model"]
+    plain = model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges"))
+    whole = [t for t in file["added_tokens"] if t["lstrip"] or t["rstrip"] or t["single_word"] or len(t["content"].split()) != 1]
+    normalizer, parts = file["normalizer"] or {}, file["pre_tokenizer"] or {}
+    return plain and not whole and file["post_processor"] is None and normalizer.get("normalizers") == _NORMALIZERS and parts.get("pretokenizers") == _PRE_TOKENIZERS
+
+
 class Encoder:
     """Ids of whole texts, exactly as the tokenizer gives them for the whole text.
 
@@ -35,8 +57,8 @@ class Encoder:
     text's ids are those of its words (parted by ASCII white space) in turn; and of a word
     of letters and closing punctuation, those of these two parts, whatever the case. Then
     ids of words and parts are remembered, and new parts go straight to the tokenizer's
-    model. Both properties are tried out on a few words first; a tokenizer without the first
-    encodes whole texts, one without the second whole words.
+    model. This is done only if the file declares just such components (declares_words), and
+    is tried out on a few words besides; any other tokenizer encodes whole texts.
     """
 
     def __init__(self, path: str):
@@ -51,7 +73,7 @@ class Encoder:
         self.id_bytes = [i.to_bytes(4, "little") for i in range(n_ids)]
         self.parts, self.words = Recent(self._part, PARTS), Recent(self._word, WORDS)
         whole = b"".join(self._whole(w) for w in _TRIAL)
-        self.by_words = self._whole("\n".join(_TRIAL)) == self._whole("  ".join(_TRIAL)) == whole
+        self.by_words = declares_words(self.tokenizer.to_str()) and self._whole("\n".join(_TRIAL)) == self._whole("  ".join(_TRIAL)) == whole
         self.in_parts = self.by_words and all(self._word(w.encode()) == self._whole(w) for w in _TRIAL)
         if not self.in_parts:
             self.words = Recent(lambda word: self._whole(word.decode()), WORDS)

@@ -18,8 +18,10 @@ SHINGLE = 5
 #: probability (1 - 0.75^4)^40, or 3 in 10 million.
 BANDS, BAND_SIZE = 40, 4
 PERCENT = 75
-#: Members of a leader, and of a bucket's block, that are compared in one group of a task.
+#: Members of a leader that are compared in one group of a task.
 BLOCK = 256
+#: Buckets of at most so many classes are settled pair by pair, each in one group of a task.
+SMALL = 64
 
 _EMPTY = U64(0xFFFFFFFFFFFFFFFF)
 _LOW = U64((1 << 40) - 1)
@@ -112,8 +114,8 @@ def _against_leader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _within_block(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links between the two sides of a cell of a bucket, for members not yet joined."""
+def _within_bucket(_: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links within a small bucket, between members not yet joined."""
     members, parent = [], {}
 
     def root(x):
@@ -122,21 +124,29 @@ def _within_block(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch])
         return x
 
     for batch in batches:
-        sides, docs, comps = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("side", "doc", "comp"))
-        members += [(s, d, c, shingle_set(t)) for s, d, c, t in zip(sides, docs, comps, texts_of(batch), strict=True)]
-    members.sort(key=lambda m: len(m[3]))
-    same, a, b = key[1].as_py() == key[2].as_py(), [], []
-    for i, (side, doc, comp, own) in enumerate(members):
-        for other_side, other, other_comp, s in members[i + 1 :]:
+        docs, comps = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("doc", "comp"))
+        members += [(d, c, shingle_set(t)) for d, c, t in zip(docs, comps, texts_of(batch), strict=True)]
+    members.sort(key=lambda m: len(m[2]))
+    a, b = [], []
+    for i, (doc, comp, own) in enumerate(members):
+        for other, other_comp, s in members[i + 1 :]:
             if 100 * len(own) < PERCENT * len(s):
                 break
-            if (same or side != other_side) and root(comp) != root(other_comp) and linked(own, s):
+            if root(comp) != root(other_comp) and linked(own, s):
                 parent[root(comp)] = root(other_comp)
                 a.append(doc)
                 b.append(other)
     yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of (doc, comp, text) with the text's set instead of the text."""
+    for batch in batches:
+        sets = [shingle_set(t).view(np.int64) for t in texts_of(batch)]
+        kinds = {"size": pa.array([len(s) for s in sets], pa.int64()), "grams": pa.array(sets, pa.list_(pa.int64()))}
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *kinds.values()], names=["doc", "comp", *kinds])
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept.
 
@@ -149,10 +159,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for the id. Other columns of docs are not read. An empty table gives no rows.
 
     Documents with one and the same set are one class. A bucket is a band's key that several
-    classes have. First each bucket's classes are verified against its smallest; where that
-    leaves a bucket in more than one component, all of its pairs that are in different
-    components are compared, in blocks within tasks. So each pair that shares a bucket has
-    been verified or is joined already; none is capped.
+    classes have; its leader is the class that meets most others in all its buckets, which in
+    a group of edited copies is one with few edits. First each bucket's classes are verified
+    against its leader. What that leaves in more than one component is settled exactly, with
+    rows that grow with the documents: small buckets pair by pair in one group each, the
+    classes of all larger ones by a join on the rare ends of their sets (see _candidates).
+    So each linked pair that shares a bucket has been verified or is joined already.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -164,24 +176,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = sets.groupBy("set_key").agg(F.min("doc_id").alias("doc"))
     banded = sets.select(F.col("doc_id").alias("doc"), "set_key", "bands").join(classes, ["doc", "set_key"])
     keyed = banded.select("doc", F.explode("bands").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min("doc").alias("lead"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("doc")).alias("print"))
-    members = materialize(keyed.join(buckets.where("lead < last"), "key"), "near-buckets")
-
-    edges = members.where("doc <> lead").select("lead", "doc").distinct()
-    links = materialize(_verified(texts, edges), "near-links")
+    # Rows that repeat an id and text only make n larger than it is.
+    some = [F.min("doc").alias("low"), F.max("doc").alias("high"), F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("doc")).alias("print")]
+    buckets = keyed.groupBy("key").agg(*some).where("low < high").drop("low", "high")
+    shared = materialize(keyed.join(buckets, "key").distinct(), "near-buckets")
+    meets = shared.groupBy("doc").agg(F.sum("n").alias("meets"))
+    leads = shared.join(meets, "doc").groupBy("key").agg(F.max_by("doc", F.struct("meets", -F.col("doc"))).alias("lead"))
+    members = materialize(shared.join(leads, "key"), "near-members")
+
+    links = materialize(_verified(texts, members.where("doc <> lead").select("lead", "doc").distinct()), "near-links")
     comps = components(links)
 
-    own = F.coalesce("comp", "doc")
-    labelled = members.where("n > 2").join(comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn("comp", own)
+    labelled = members.where("n > 2").join(comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
     open_ = (
-        labelled.groupBy("key", "lead", "last", "n", "print")
+        labelled.groupBy("key", "lead", "n", "print")
         .agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
         .where("low < high")
-        .groupBy("lead", "last", "n", "print")
+        .groupBy("lead", "n", "print")  # of buckets of the same classes, one is enough
         .agg(F.min("key").alias("key"))
-        .select("key")
     )
-    more = materialize(_exhaustive(texts, labelled.join(open_, "key")), "near-more")
+    still = materialize(labelled.join(open_.select("key"), "key").select("key", "doc", "comp", "n"), "near-open")
+    by_doc = texts.withColumnRenamed("doc_id", "doc")
+    within = still.where(F.col("n") <= SMALL).join(by_doc, "doc").select("key", "doc", "comp", "text")
+    within = within.groupBy("key").applyInArrow(_within_bucket, "a long, b long")
+    large = still.where(F.col("n") > SMALL).select("doc", "comp").distinct()
+    across = _verified(texts, _candidates(by_doc, large))
+    more = materialize(within.unionByName(across), "near-more")
     if more.limit(1).count():
         named = comps.select("node", "comp")
         ends = more
@@ -213,24 +233,49 @@ def _verified(texts: DataFrame, edges: DataFrame) -> DataFrame:
     return rows.mapInArrow(_against_leader, "a long, b long")
 
 
-def _exhaustive(texts: DataFrame, members: DataFrame) -> DataFrame:
-    """Links among all members (key, doc, comp, n) of each bucket, block against block."""
-    blocks = F.ceil(F.col("n") / BLOCK)
-    own = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")))
-    cells = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        "key",
-        F.least("own", "other").alias("i"),
-        F.greatest("own", "other").alias("j"),
-        (F.col("own") <= F.col("other")).cast("int").alias("side"),
-        "doc",
-        "comp",
+def _candidates(by_doc: DataFrame, members: DataFrame) -> DataFrame:
+    """The pairs (lead, doc) of members (doc, comp) of different components that can be linked.
+
+    Each set is ordered: first the shingles that only its own component has, then by rarity.
+    If sets x and y, x the smaller, are linked, they have 3/7 of |x| + |y| shingles in common,
+    so the first common one is among the first seventh of x and the first quarter of y, and
+    as many follow in both (prefix and position filters: Bayardo et al. 2007, Xiao et al.
+    2008). Documents that differ in their own shingles, as edits or pages of one template
+    do, have no rows here, and a shingle pairs what is outside its commonest component only.
+    """
+    sets = materialize(members.join(by_doc, "doc").select("doc", "comp", "text").mapInArrow(_grams, "doc long, comp long, size long, grams array<long>"), "near-grams")
+    each = sets.select("doc", "comp", F.explode("grams").alias("gram"))
+    known = each.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
+    common = each.select("doc", "gram").join(known.select("gram", "n"), "gram")
+    common = common.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("common"))  # of one text
+    ranked = sets.select("doc", "comp", "size").join(common, "doc").withColumn("own", F.col("size") - F.size("common"))
+    quarter, seventh = F.expr("size - (3 * size + 3) div 4 + 1"), F.expr("size - (6 * size + 6) div 7 + 1")
+    first = F.slice("common", F.lit(1), F.greatest(F.lit(0), quarter - F.col("own")).cast("int"))
+    posts = ranked.select("doc", "comp", "size", "own", F.posexplode(first).alias("at", "c"))
+    posts = posts.select("doc", "comp", "size", (F.col("own") + F.col("at")).alias("at"), F.col("c.gram").alias("gram"))
+    posts = materialize(posts.withColumn("early", F.col("at") < seventh), "near-posts")
+    shares = posts.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("n"))
+    major = shares.groupBy("gram").agg(F.max_by("comp", F.struct("n", "comp")).alias("major"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    posts = posts.join(major.select("gram", "major"), "gram")
+    x, y = posts.where("comp <> major").alias("x"), posts.alias("y")
+    smaller = F.struct("x.size", "x.doc") < F.struct("y.size", "y.doc")
+    low, high = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
+    rest = F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at"))
+    can = (
+        (F.col("x.gram") == F.col("y.gram"))
+        & (F.col("x.comp") != F.col("y.comp"))
+        & (100 * low >= PERCENT * high)
+        & (7 * rest >= 3 * (low + high))
+        & F.when(smaller, F.col("x.early")).otherwise(F.col("y.early"))
     )
-    rows = cells.join(texts.withColumnRenamed("doc_id", "doc"), "doc")
-    return rows.groupBy("key", "i", "j").applyInArrow(_within_block, "a long, b long")
+    return x.join(y, can).select(F.least("x.doc", "y.doc").alias("lead"), F.greatest("x.doc", "y.doc").alias("doc")).distinct()
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs of which near_duplicates keeps the id, with all their columns."""
-    kept = near_duplicates(docs, id_col, text_col).where("kept and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
-    keep = docs.join(kept, F.col(id_col) == F.col("__id"), "left_semi")
+    """The rows of docs of which near_duplicates keeps the id, with all their columns,
+    whatever their names. Rows without an id stay, and so do all rows that repeat an id that
+    stays. Null, empty and very long texts: see near_duplicates. An empty table gives no rows.
+    """
+    kept = near_duplicates(docs, id_col, text_col).where("kept and doc_id is not null").select("doc_id").distinct()
+    keep = docs.alias("docs").join(kept.alias("kept"), F.col(f"docs.{id_col}") == F.col("kept.doc_id"), "left_semi")
     return keep.unionByName(docs.where(F.col(id_col).isNull()))

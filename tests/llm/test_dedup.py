@@ -99,6 +99,56 @@ def test_near_groups_with_chains_and_hot_buckets_equal_brute_force(spark):
     assert sorted(map(tuple, near_duplicates(docs).collect())) == sorted(near_by_hand(rows))
 
 
+def test_a_hot_group_of_edited_copies_equals_brute_force(spark):
+    """5,000 edits of one text: sets are bit masks of what is left of it, and private rest."""
+    rng, base, rows, masks = random.Random(6), words(200, 100).split(), [], []
+    for d in range(5000):
+        edited, mask = list(base), (1 << 96) - 1
+        for at in rng.sample(range(100), rng.choice([0, 1, 2, 3, 4, 5, 6, 8])):
+            edited[at] = f"w{d}x{at}"
+            for i in range(max(0, at - 4), min(95, at) + 1):
+                mask &= ~(1 << i)
+        rows.append((d, " ".join(edited)))
+        masks.append(mask)
+    comp = list(range(5000))
+
+    def root(x):
+        while comp[x] != x:
+            comp[x] = comp[comp[x]]
+            x = comp[x]
+        return x
+
+    for a, m in enumerate(masks):
+        for b in range(a):
+            if root(a) != root(b) and 100 * (both := (m & masks[b]).bit_count()) >= 75 * (192 - both):
+                x, y = sorted((root(a), root(b)))
+                comp[y] = x
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert {r.doc_id: r.component_id for r in found} == {d: root(d) for d in range(5000)} and len({root(d) for d in range(5000)}) > 50
+    assert all(r.n_shingles == 96 for r in found)
+
+
+def test_near_copies_of_a_shared_template_and_repeated_rows(spark):
+    """Pages that share two thirds of their words are not alike; repeated rows are one class."""
+    template = words(300, 80)
+    rows = [(d, f"{template} {words(1000 + d, 40)}") for d in range(150)]
+    rows += [(7, rows[7][1])] * 200 + [(500, rows[3][1].replace(" ", "  "))]
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(d, 3 if d == 500 else d) for d, _ in rows} and len(found) == len(rows)
+
+
+CLASHES = "doc_id long, text string, __id long, __sha string, __own_sha string, __first int, __times int, __time int, doc string, pick string, row int, kept boolean, at int"
+
+
+@pytest.mark.parametrize("drop", [drop_exact_copies, drop_near_copies])
+def test_dropping_stands_clashing_names_and_empty_tables(spark, drop):
+    rows = [(i, f"{words(i, 30)}", 1, "a", "b", 2, 3, 4, "d", "p", 5, False, 6) for i in range(4)]
+    rows += [(9, rows[0][1], *rows[0][2:]), (9, rows[0][1], *rows[0][2:]), (None, None, *rows[0][2:])]
+    table = spark.createDataFrame(rows, CLASHES)
+    assert sorted(map(str, drop(table).collect())) == sorted(map(str, table.where("doc_id is null or doc_id < 9").collect()))
+    assert drop(table.limit(0)).columns == table.columns and drop(table.limit(0)).count() == 0
+
+
 def test_dropping_near_copies(awkward):
     kept = drop_near_copies(awkward)
     assert kept.columns == awkward.columns
@@ -171,6 +221,22 @@ def test_repeated_passages_of_the_given_documents(small):
         assert sorted(map(tuple, repeated_passages(small, bucket_rows=bucket_rows).collect())) == sorted(passages_by_hand(rows))
 
 
+def test_a_passage_of_very_many_documents(spark):
+    """All of 20,000 documents say a passage of 60 words: the first keeps it."""
+    passage = words(50, 60)
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("u"), "id", F.lit(f" v {passage} w"), "id").alias("text"))
+    found = repeated_passages(docs.repartition(6)).groupBy("n_words", "n_removed").agg(F.count("*").alias("n"), F.min("doc_id").alias("low")).collect()
+    assert sorted((r.n_words, r.n_removed, r.n, r.low) for r in found) == [(63, 0, 1, 0), (63, 61, 19_999, 1)]
+
+
+def test_repeated_rows_are_judged_once(spark):
+    rows = [(1, f"{words(1, 30)} {words(3, 60)}"), (0, f"{words(2, 30)} {words(3, 60)} {words(4, 10)}")]
+    docs = spark.createDataFrame(rows[:1] * 1000 + rows[1:], "doc_id long, text string").repartition(3)
+    for bucket_rows in (2000, 1):
+        found = repeated_passages(docs, bucket_rows=bucket_rows).collect()
+        assert len(found) == 1001 and {tuple(r) for r in found} == set(passages_by_hand(rows))
+
+
 def test_texts_without_repeated_passages(awkward):
     kept = without_repeated_passages(awkward)
     assert kept.columns == awkward.columns and kept.count() == awkward.count()

@@ -140,11 +140,11 @@ def _within_bucket(_: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch])
 
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of (doc, comp, text) with the text's set instead of the text."""
+    """Rows of (doc, comp, minor, text) with the text's set instead of the text."""
     for batch in batches:
         sets = [shingle_set(t).view(np.int64) for t in texts_of(batch)]
         kinds = {"size": pa.array([len(s) for s in sets], pa.int64()), "grams": pa.array(sets, pa.list_(pa.int64()))}
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *kinds.values()], names=["doc", "comp", *kinds])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], *kinds.values()], names=["doc", "comp", "minor", *kinds])
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -199,8 +199,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by_doc = texts.withColumnRenamed("doc_id", "doc")
     within = still.where(F.col("n") <= SMALL).join(by_doc, "doc").select("key", "doc", "comp", "text")
     within = within.groupBy("key").applyInArrow(_within_bucket, "a long, b long")
-    large = still.where(F.col("n") > SMALL).select("doc", "comp").distinct()
-    across = _verified(texts, _candidates(by_doc, large))
+    large = still.where(F.col("n") > SMALL).select("key", "doc", "comp")
+    shares = large.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("docs"))
+    major = shares.groupBy("key").agg(F.max_by("comp", F.struct("docs", "comp")).alias("major"))
+    minor = F.max(F.col("comp") != F.col("major")).alias("minor")
+    across = _verified(texts, _candidates(by_doc, large.join(major, "key").groupBy("doc", "comp").agg(minor)))
     more = materialize(within.unionByName(across), "near-more")
     if more.limit(1).count():
         named = comps.select("node", "comp")
@@ -234,39 +237,39 @@ def _verified(texts: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _candidates(by_doc: DataFrame, members: DataFrame) -> DataFrame:
-    """The pairs (lead, doc) of members (doc, comp) of different components that can be linked.
-
-    Each set is ordered: first the shingles that only its own component has, then by rarity.
-    If sets x and y, x the smaller, are linked, they have 3/7 of |x| + |y| shingles in common,
-    so the first common one is among the first seventh of x and the first quarter of y, and
-    as many follow in both (prefix and position filters: Bayardo et al. 2007, Xiao et al.
-    2008). Documents that differ in their own shingles, as edits or pages of one template
-    do, have no rows here, and a shingle pairs what is outside its commonest component only.
+    """The pairs (lead, doc) of members (doc, comp, minor) of different components that can
+    be linked; minor are those outside the commonest component of some bucket, of which each
+    pair that shares a bucket has one.
+
+    The set of each minor member is ordered: first the shingles that only its own component
+    has, then by rarity. Linked sets x and y have 3/7 of |x| + |y| shingles in common, so the
+    first common one is among the first quarter of x, and as many are from there on (prefix
+    and position filters: Bayardo et al. 2007, Xiao et al. 2008). Documents that differ in
+    their own shingles, as edits or pages of one template do, have no rows here.
     """
-    sets = materialize(members.join(by_doc, "doc").select("doc", "comp", "text").mapInArrow(_grams, "doc long, comp long, size long, grams array<long>"), "near-grams")
-    each = sets.select("doc", "comp", F.explode("grams").alias("gram"))
-    known = each.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-    common = each.select("doc", "gram").join(known.select("gram", "n"), "gram")
+    sets = members.join(by_doc, "doc").select("doc", "comp", "minor", "text")
+    sets = materialize(sets.mapInArrow(_grams, "doc long, comp long, minor boolean, size long, grams array<long>"), "near-grams")
+    each = sets.select("doc", "comp", "size", F.explode("grams").alias("gram"))
+    known = each.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("doc").alias("doc"))
+    known = materialize(known, "near-known")
+    # A quarter of shingles that no other member has is found without a look at the rest.
+    alone = known.where("n = 1").groupBy("doc").agg(F.count(F.lit(1)).alias("alone"))
+    quarter = F.expr("size - (3 * size + 3) div 4 + 1")
+    few = sets.where("minor").join(alone, "doc", "left").where(F.coalesce("alone", F.lit(0)) < quarter)
+    few = materialize(few.select("doc", "comp", "size", "grams"), "near-few")
+    common = few.select("doc", F.explode("grams").alias("gram")).join(known.where("low < high").select("gram", "n"), "gram")
     common = common.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("common"))  # of one text
-    ranked = sets.select("doc", "comp", "size").join(common, "doc").withColumn("own", F.col("size") - F.size("common"))
-    quarter, seventh = F.expr("size - (3 * size + 3) div 4 + 1"), F.expr("size - (6 * size + 6) div 7 + 1")
+    ranked = few.select("doc", "comp", "size").join(common, "doc").withColumn("own", F.col("size") - F.size("common"))
     first = F.slice("common", F.lit(1), F.greatest(F.lit(0), quarter - F.col("own")).cast("int"))
     posts = ranked.select("doc", "comp", "size", "own", F.posexplode(first).alias("at", "c"))
-    posts = posts.select("doc", "comp", "size", (F.col("own") + F.col("at")).alias("at"), F.col("c.gram").alias("gram"))
-    posts = materialize(posts.withColumn("early", F.col("at") < seventh), "near-posts")
-    shares = posts.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("n"))
-    major = shares.groupBy("gram").agg(F.max_by("comp", F.struct("n", "comp")).alias("major"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-    posts = posts.join(major.select("gram", "major"), "gram")
-    x, y = posts.where("comp <> major").alias("x"), posts.alias("y")
-    smaller = F.struct("x.size", "x.doc") < F.struct("y.size", "y.doc")
+    posts = materialize(posts.select("doc", "comp", (F.col("size") - F.col("own") - F.col("at")).alias("rest"), "size", F.col("c.gram").alias("gram")), "near-posts")
+    x, y = posts.alias("x"), each.alias("y")
     low, high = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
-    rest = F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at"))
     can = (
         (F.col("x.gram") == F.col("y.gram"))
         & (F.col("x.comp") != F.col("y.comp"))
         & (100 * low >= PERCENT * high)
-        & (7 * rest >= 3 * (low + high))
-        & F.when(smaller, F.col("x.early")).otherwise(F.col("y.early"))
+        & (7 * F.least("x.rest", "y.size") >= 3 * (low + high))
     )
     return x.join(y, can).select(F.least("x.doc", "y.doc").alias("lead"), F.greatest("x.doc", "y.doc").alias("doc")).distinct()
 

@@ -15,13 +15,22 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="pitchlake")
     commands = p.add_subparsers(dest="command", required=True)
     run = commands.add_parser("run", help="run the stages over detections")
-    run.add_argument("--detections", required=True, help="a parquet table of detections")
+    source = run.add_mutually_exclusive_group(required=True)
+    source.add_argument("--detections", help="a parquet table of detections")
+    source.add_argument("--raw", help="a parquet table of a model's raw output")
+    for name, what in (("frames", "(match_id, frame) of all frames of the recordings"), ("readings", "shirt numbers read"), ("chroma", "colours of boxes")):
+        run.add_argument(f"--{name}", help=f"a parquet table of {what}")
+    run.add_argument("--images", help="a folder of the frames as images, for colours")
+    run.add_argument("--fps", type=float, default=25.0)
+    run.add_argument("--width", type=float, help="of the images in pixels; 1280 unless --images tells")
     run.add_argument("--config", required=True)
     run.add_argument("--match")
     run.add_argument("--out", default="outputs")
     run.add_argument("--max-frames", type=int)
     inspect = commands.add_parser("inspect", help="count a detections table's frames and boxes")
-    inspect.add_argument("--detections", required=True)
+    inspect.add_argument("--detections")
+    inspect.add_argument("--images", help="a folder of frames as images")
+    inspect.add_argument("--fps", type=float, default=0.0)
     calibrate = commands.add_parser("calibrate", help="solve a homography from landmark points")
     calibrate.add_argument("--points", required=True)
     calibrate.add_argument("--out", required=True)
@@ -39,27 +48,34 @@ def main(args: list[str] | None = None) -> int:
             print(f"{len(pairs)} points; at least 4 are needed")
             return 1
         h, error = solve_homography(pairs)
-        files.write_homography(a.out, h, error)
+        files.write_homography(a.out, h, error, pairs)
         print(f"error {error:.3f} m" + (", more than it should be" if error > WARN_M else ""))
         return 0
     spark = SparkSession.builder.appName("pitchlake").getOrCreate()
     if a.command == "inspect":
         from .operators.detect import class_counts
 
-        class_counts(spark.read.parquet(a.detections)).orderBy("match_id", "cls").show(100, False)
+        if a.images:
+            print(files.probe_frames(spark, a.images, a.fps))
+        if a.detections:
+            class_counts(spark.read.parquet(a.detections)).orderBy("match_id", "cls").show(100, False)
     elif a.command == "fit-xg":
         from .operators.xg import fit_local
 
         print("intercept and weights:", *fit_local(spark, a.shots, a.out))
     else:
-        from .operators.detect import stride
         from .plans.match_run import Inputs, execute
 
         config = resolve(a.config, a.match)
-        io = config.section("io")
-        found = stride(spark.read.parquet(a.detections), io.get("frame_stride", 1), a.max_frames or io.get("max_frames"))
-        saved = files.read_homography(config.section("camera").get("solved_homography", "")) if config.section("camera").get("solved_homography") else None
-        print(execute(config, Inputs(found, homography=(saved or {}).get("homography")), a.out).outputs)
+        if a.max_frames is not None:
+            config["io"] = {**config.section("io"), "max_frames": a.max_frames}
+        tables = {name: spark.read.parquet(path) if path else None for name, path in vars(a).items() if name in ("detections", "raw", "frames", "readings", "chroma")}
+        images = files.read_frames(spark, a.images, a.fps, config.match_id) if a.images else None
+        width = a.width or (files.probe_frames(spark, a.images, a.fps)["width"] if a.images else 1280.0)
+        inputs = Inputs(
+            tables["detections"], chroma_samples=tables["chroma"], readings=tables["readings"], fps=a.fps, image_width=float(width), frames_read=tables["frames"], raw=tables["raw"], images=images
+        )
+        print(execute(config, inputs, a.out).outputs)
     return 0
 
 

@@ -47,12 +47,16 @@ def resolve(pipeline: str | Path, match: str | Path | None = None) -> RunConfig:
 
 
 def squad(spark: SparkSession, config: RunConfig) -> DataFrame:
-    """The dimension (match_id, side, shirt, name); a player without a name gets side and shirt."""
-    rows = []
+    """The dimension (match_id, side, shirt, name); a player without a name gets side and
+    shirt. A squad is a mapping from shirts to players or a list of players with their
+    shirts; of players with one shirt the last counts."""
+    names = {}
     for side in ("home", "away"):
-        for player in (config.section("match").get(side) or {}).get("squad") or []:
-            shirt = int(player["shirt"])
-            rows.append((config.match_id, side, shirt, player.get("name") or f"{side} #{shirt}"))
+        players = (config.section("match").get(side) or {}).get("squad") or {}
+        listed = players.items() if isinstance(players, dict) else [(p["shirt"], p) for p in players]
+        for shirt, player in listed:
+            names[side, int(shirt)] = (player or {}).get("name") or f"{side} #{int(shirt)}"
+    rows = [(config.match_id, side, shirt, name) for (side, shirt), name in names.items()]
     return spark.createDataFrame(rows, "match_id string, side string, shirt short, name string")
 
 

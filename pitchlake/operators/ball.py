@@ -63,7 +63,8 @@ def speed_gate(candidates: DataFrame, fps: float, max_px_per_s: float, reacquire
 
 
 def frame_grid(detections: DataFrame) -> DataFrame:
-    """A grid for runs that kept none: each match's frames from first to last, all of them."""
+    """A grid for runs that kept none and read every frame: each match's frames from the first
+    with a box to the last, all of them."""
     span = detections.groupBy("match_id").agg(F.min("frame").alias("low"), F.max("frame").alias("high"))
     return span.select("match_id", F.posexplode(F.sequence("low", "high")).alias("pos", "frame")).withColumn("pos", F.col("pos").cast("long"))
 

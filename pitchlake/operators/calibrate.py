@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+import math
+import random
 from collections.abc import Sequence
 from itertools import combinations
 
@@ -14,8 +16,9 @@ from ..contracts import with_nulls
 from ..functions.geometry import ground_point, on_pitch, project, seconds
 
 INLIER_M, WARN_M, WARN_ON_PITCH = 1.0, 2.0, 0.9
-#: Landmark pairs that are searched for the best four by trying all; a pitch has eleven.
-MOST_PAIRS = 20
+#: Fours of landmark pairs that are tried: all those of up to 20 pairs, and as many drawn
+#: with a fixed seed of more pairs.
+FOURS, SEED = 4845, 7
 log = logging.getLogger(__name__)
 
 Pair = tuple[tuple[float, float], tuple[float, float]]
@@ -51,18 +54,20 @@ def _residuals(h: np.ndarray, pixels: np.ndarray, metres: np.ndarray) -> np.ndar
 def solve_homography(pairs: Sequence[Pair], inlier_m: float = INLIER_M) -> tuple[np.ndarray, float]:
     """(homography, error) from ((pixel x, y), (metre x, y)) pairs, four or more.
 
-    Of the homographies of all fours of pairs the one that most pairs agree with within
+    Of the homographies of the fours of pairs (see FOURS) the one that most pairs agree with within
     inlier_m is refitted to those; error is their largest residual in metres, or all pairs'
     if none agree. Pairs that don't agree are reported. This runs on the driver: a pitch has
     a dozen landmarks.
     """
     if len(pairs) < 4:
         raise ValueError(f"a homography needs at least 4 landmark pairs, not {len(pairs)}")
-    if len(pairs) > MOST_PAIRS:
-        raise ValueError(f"at most {MOST_PAIRS} landmark pairs are searched, not {len(pairs)}")
     pixels, metres = (np.array([p[i] for p in pairs], dtype=np.float64) for i in (0, 1))
     best = None
-    for four in combinations(range(len(pairs)), 4):
+    fours = combinations(range(len(pairs)), 4)
+    if math.comb(len(pairs), 4) > FOURS:
+        draw = random.Random(SEED)
+        fours = (draw.sample(range(len(pairs)), 4) for _ in range(FOURS))
+    for four in fours:
         h = _direct(pixels[list(four)], metres[list(four)])
         if h is None:
             continue
@@ -85,8 +90,10 @@ def solve_homography(pairs: Sequence[Pair], inlier_m: float = INLIER_M) -> tuple
 
 
 def homography_for(config: dict, saved: dict | None) -> list[list[float]] | None:
-    """The matrix that a calibration section asks for: mode `static` uses the saved one,
-    `per_frame` (the default) has none, and so does `static` before anything is saved."""
+    """The matrix that a camera's section asks for, or its part `homography` if it has one:
+    mode `static` uses the saved one, `per_frame` (the default) has none, and so does
+    `static` before anything is saved."""
+    config = config.get("homography") or config
     if config.get("mode", "per_frame") != "static":
         log.warning("per-frame calibration is not available: metres stay null")
         return None

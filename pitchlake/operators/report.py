@@ -59,8 +59,9 @@ def ball_preview(ball: DataFrame, rows: int = BALL_ROWS) -> DataFrame:
     return ball.orderBy("match_id", "frame").limit(rows)
 
 
-def html_report(title: str, identity_coverage: float, tables: dict[str, DataFrame], path: str | Path) -> Path:
-    """A page with a caveat and the first SHOWN_ROWS rows of each table."""
+def html_report(title: str, identity_coverage: float, tables: dict[str, DataFrame], path: str | Path) -> Path | str:
+    """A page with a caveat and the first SHOWN_ROWS rows of each table. At a URI that is not
+    a local file's it is written by Spark, as the only part of a folder of that name."""
     parts = [
         f"<h1>{html.escape(title)}</h1>",
         f"<p>Players are known in {round(identity_coverage * 100)}% of the rows. Positions are estimates from one camera; what is unknown is left empty.</p>",
@@ -69,7 +70,13 @@ def html_report(title: str, identity_coverage: float, tables: dict[str, DataFram
         head = "".join(f"<th>{html.escape(c)}</th>" for c in df.columns)
         body = "".join("<tr>" + "".join(f"<td>{'' if v is None else html.escape(str(v))}</td>" for v in row) + "</tr>" for row in df.limit(SHOWN_ROWS).collect())
         parts.append(f"<h2>{html.escape(name)}</h2><table><tr>{head}</tr>{body}</table>")
-    file = Path(path)
+    page = f"<!doctype html><html><head><meta charset='utf-8'><title>{html.escape(title)}</title></head><body>{''.join(parts)}</body></html>"
+    scheme, _, rest = str(path).partition(":")
+    if rest and scheme != "file":
+        spark = next(iter(tables.values())).sparkSession
+        spark.createDataFrame([(page,)], "value string").coalesce(1).write.mode("overwrite").text(str(path))
+        return str(path)
+    file = Path("/" + rest.lstrip("/") if rest else path)
     file.parent.mkdir(parents=True, exist_ok=True)
-    file.write_text(f"<!doctype html><html><head><meta charset='utf-8'><title>{html.escape(title)}</title></head><body>{''.join(parts)}</body></html>")
+    file.write_text(page)
     return file

@@ -54,6 +54,25 @@ def assignment(cost: np.ndarray) -> list[tuple[int, int]]:
     return [(int(row_of[j]) - 1, j - 1) for j in range(1, m + 1) if row_of[j]]
 
 
+def matches(score: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Pairs of rows and columns that score `least` or more, of greatest total score. Only
+    rows and columns that compete for each other are solved; most pairs stand alone."""
+    can = score >= least
+    sure = can & (can.sum(axis=1, keepdims=True) == 1) & (can.sum(axis=0, keepdims=True) == 1)
+    found = list(zip(*map(np.ndarray.tolist, np.nonzero(sure)), strict=True))
+    rows, columns = np.flatnonzero((can & ~sure).any(axis=1)), np.flatnonzero((can & ~sure).any(axis=0))
+    if len(rows):
+        own = np.where(can, score, 0.0)[np.ix_(rows, columns)]
+        found += [(int(rows[r]), int(columns[c])) for r, c in assignment(1 - own) if own[r, c] >= least]
+    return found
+
+
+def lost_frames_at(fps: float, buffer: int = LOST_FRAMES) -> int:
+    """Places of the grid that a track is kept unseen, when `buffer` is counted at 30 frames a
+    second and the grid has fps, the recording's rate over its stride."""
+    return max(1, int(max(1, round(fps)) / 30 * buffer))
+
+
 @dataclass
 class _Track:
     id: int
@@ -90,11 +109,10 @@ def associate(rows: pd.DataFrame, activation: float, lost_frames: int, matching:
             taken = set()
             if some and open_tracks:
                 score = overlaps(np.array([t.at(place) for t in open_tracks]), boxes[some])
-                for r, c in assignment(1 - score):
-                    if score[r, c] >= least:
-                        open_tracks[r].update(boxes[some[c]], place)
-                        out[some[c]] = open_tracks[r].id
-                        taken.add(r)
+                for r, c in matches(score, least):
+                    open_tracks[r].update(boxes[some[c]], place)
+                    out[some[c]] = open_tracks[r].id
+                    taken.add(r)
                 open_tracks = [t for r, t in enumerate(open_tracks) if r not in taken]
             if strong:
                 free = [i for i in some if out[i] < 0]

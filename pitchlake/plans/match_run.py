@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import RunConfig
+from ..config import RunConfig, kit_colours, squad
 from ..contracts import enforce
+from ..functions.geometry import PITCH_LENGTH_M
 from ..operators import ball, calibrate, detect, events, identity, physical, report, team, tracking
-from ..sources.files import write_table
+from ..sources.files import read_homography, write_matches, write_table
 
 #: Stages in the order in which they run, whatever the configuration's order.
 ORDER = ("detect", "track", "team", "identity", "calibrate", "ball", "events")
@@ -19,9 +20,13 @@ ORDER = ("detect", "track", "team", "identity", "calibrate", "ball", "events")
 
 @dataclass
 class Inputs:
-    """What a run starts from. Only detections are needed."""
+    """What a run starts from: detections, or a model's raw output, or frames and a model.
 
-    detections: DataFrame
+    grid is what was read (match_id, pos, frame); without it, the configuration's stride and
+    number of frames are applied to frames_read (match_id, frame), or else to all frames
+    between a match's first and last detection."""
+
+    detections: DataFrame | None = None
     grid: DataFrame | None = None
     chroma_samples: DataFrame | None = None
     references: DataFrame | None = None
@@ -30,6 +35,10 @@ class Inputs:
     homography: Sequence[Sequence[float]] | None = None
     fps: float = 25.0
     image_width: float = 1280.0
+    frames_read: DataFrame | None = None
+    raw: DataFrame | None = None
+    images: DataFrame | None = None
+    load_model: Callable[[], detect.Model] | None = None
 
 
 @dataclass
@@ -37,6 +46,7 @@ class Run:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     stats: dict[str, DataFrame] = field(default_factory=dict)
     outputs: dict[str, str] = field(default_factory=dict)
+    grid: DataFrame | None = None
 
     def upstream(self, stage: str, *names: str) -> DataFrame:
         """The first of the named stages' tables that there is."""
@@ -51,44 +61,92 @@ def final_tracks(tracks: DataFrame) -> DataFrame:
     return enforce(physical.add_kinematics(tracks), "tracks_m", strict=True)
 
 
-def build(config: RunConfig, inputs: Inputs) -> Run:
-    """The tables of the stages that are switched on, unevaluated."""
+def _detections(config: RunConfig, inputs: Inputs) -> DataFrame:
+    """The detections that are given, or those of the model's output by the detector's section."""
+    if inputs.detections is not None:
+        return inputs.detections
+    section, raw = config.section("detector"), inputs.raw
+    if raw is None:
+        if inputs.images is None:
+            raise ValueError("a run needs detections, a model's raw output, or images and a model")
+        load = detect.backend(section.get("name", "rtdetr_coco"), section.get("weights"), inputs.load_model)
+        raw = detect.infer(inputs.images, load, config.section("runtime").get("batch_size", detect.BATCH))
+    classes = section.get("class_map") or {c: c for c in section.get("classes") or (*tracking.TRACKABLE, "ball")}
+    return detect.postprocess(raw, classes, section.get("conf_threshold", detect.CONF_THRESHOLD))
+
+
+def build(config: RunConfig, inputs: Inputs, keep: Callable[[str, DataFrame], DataFrame] = lambda name, table: table) -> Run:
+    """The tables of the stages that are switched on. Each is given to keep(name, table),
+    which can store it; what it returns is what later stages read. The grid is kept too."""
     run, on = Run(), {s: config.enabled("stages", s) for s in ORDER}
-    grid = inputs.grid if inputs.grid is not None else ball.frame_grid(inputs.detections)
+    io = config.section("io")
+    step = max(1, io.get("frame_stride") or 1)
+    found = _detections(config, inputs)
+    if inputs.grid is None:
+        frames = inputs.frames_read if inputs.frames_read is not None else ball.frame_grid(found)
+        frames = detect.stride(frames.select("match_id", "frame"), step, io.get("max_frames"))
+    grid = keep("grid", inputs.grid if inputs.grid is not None else ball.processed_grid(frames))
+    run.grid = grid
+    found = keep("detect", enforce(found, "detections").join(grid.select("match_id", "frame"), ["match_id", "frame"], "left_semi"))
+    spark = found.sparkSession
     if on["detect"]:
-        run.tables["detect"] = enforce(inputs.detections, "detections")
+        run.tables["detect"] = found
     if on["track"]:
-        tracker = config.section("tracker")
-        tracking.check_backend(tracker.get("backend", "bytetrack"))
-        run.tables["track"] = tracking.track(run.upstream("track", "detect"), grid)
+        section = config.section("tracker")
+        tracking.check_backend(section.get("backend", section.get("name", "bytetrack")))
+        tracks = tracking.track(
+            run.upstream("track", "detect"),
+            grid,
+            tuple(section.get("track_classes") or tracking.TRACKABLE),
+            section.get("track_activation_threshold", tracking.ACTIVATION),
+            tracking.lost_frames_at((inputs.fps or 25.0) / step, section.get("lost_track_buffer", tracking.LOST_FRAMES)),
+            section.get("minimum_matching_threshold", tracking.MATCHING),
+        )
+        run.tables["track"] = keep("track", tracks)
     if on["team"]:
         section, tracks = config.section("team"), run.upstream("team", "track")
         team.check_method(section.get("method", "kit_colour"))
-        if inputs.chroma_samples is None or inputs.references is None:
-            run.tables["team"] = team.with_teams(tracks, tracks.select("match_id", "track_id").limit(0).withColumn("team", F.lit(None).cast("string")))
+        samples, kits = inputs.chroma_samples, inputs.references
+        if samples is None and inputs.images is not None:
+            boxes = team.sampled_boxes(tracks, section.get("sample_stride", team.SAMPLE_STRIDE), section.get("min_box_h", team.MIN_BOX_H))
+            samples = team.box_chroma(inputs.images, boxes)
+        if kits is None:
+            kits = team.kit_references(spark, kit_colours(config))
+        if samples is None:
+            teams = tracks.select("match_id", "track_id").limit(0).withColumn("team", F.lit(None).cast("string"))
         else:
-            chroma = team.track_chroma(inputs.chroma_samples, section.get("min_crops", team.MIN_CROPS))
-            labelled = team.label_clusters(team.team_centroids(chroma), inputs.references)
-            run.tables["team"] = team.with_teams(tracks, team.assign_teams(chroma, labelled, inputs.references))
+            outlier = section.get("outlier_dist", team.OUTLIER_DIST)
+            chroma = team.track_chroma(samples, section.get("min_crops", team.MIN_CROPS))
+            labelled = team.label_clusters(team.team_centroids(chroma, outlier), kits)
+            teams = team.assign_teams(chroma, labelled, kits, outlier, section.get("special_match_dist", team.SPECIAL_DIST))
+        run.tables["team"] = keep("team", team.with_teams(tracks, teams))
     if on["identity"]:
-        run.tables["identity"] = identity.identify(run.upstream("identity", "team", "track"), inputs.readings, inputs.squad)
+        names = inputs.squad if inputs.squad is not None else squad(spark, config)
+        votes = config.section("identity").get("min_votes", identity.MIN_VOTES)
+        run.tables["identity"] = keep("identity", identity.identify(run.upstream("identity", "team", "track"), inputs.readings, names, votes))
+    h = inputs.homography
+    if h is None and on["calibrate"]:
+        camera = config.section("camera")
+        section = camera.get("homography") or camera
+        h = calibrate.homography_for(camera, read_homography(section["manual_points"]) if section.get("manual_points") else None)
     if on["calibrate"]:
-        run.tables["calibrate"] = calibrate.calibrate(run.upstream("calibrate", "identity", "team", "track"), inputs.fps, inputs.homography)
+        run.tables["calibrate"] = keep("calibrate", calibrate.calibrate(run.upstream("calibrate", "identity", "team", "track"), inputs.fps, h))
     if on["ball"]:
-        h = inputs.homography if on["calibrate"] else None
         section = config.section("ball")
-        run.tables["ball"] = ball.trajectory(
+        points = ball.trajectory(
             run.upstream("ball", "detect"),
             grid,
             inputs.fps or 25.0,
             inputs.image_width,
-            h,
+            h if on["calibrate"] else None,
             section.get("max_gap_frames", ball.MAX_GAP),
             section.get("reacquire_s", ball.REACQUIRE_S),
             section.get("max_speed_ms", ball.MAX_SPEED_MS),
+            config.section("pitch").get("length_m", PITCH_LENGTH_M),
         )
+        run.tables["ball"] = keep("ball", points)
     if on["events"]:
-        run.tables["events"] = events.no_events(inputs.detections.sparkSession)
+        run.tables["events"] = events.no_events(spark)
     of = {"detect": detect.class_counts, "track": tracking.tracking_stats, "identity": identity.identity_coverage, "calibrate": calibrate.fraction_on_pitch}
     run.stats = {s: f(run.tables[s]) for s, f in of.items() if s in run.tables}
     if on["ball"]:
@@ -110,8 +168,15 @@ def report_tables(run: Run) -> dict[str, DataFrame]:
 
 
 def execute(config: RunConfig, inputs: Inputs, out_dir: str) -> Run:
-    """build(), and write the outputs that are switched on below out_dir/match_id."""
-    run, base = build(config, inputs), f"{out_dir}/{config.match_id}"
+    """build(), and write the outputs that are switched on below out_dir/match_id. Each stage
+    is written once, below stages, in a folder for each match, and read back by what follows."""
+    base = f"{out_dir}/{config.match_id}"
+
+    def keep(name: str, table: DataFrame) -> DataFrame:
+        write_matches(table, f"{base}/stages/{name}")
+        return table.sparkSession.read.schema(table.schema).parquet(f"{base}/stages/{name}").select(*table.columns)
+
+    run = build(config, inputs, keep)
     if config.enabled("outputs", "tracks"):
         if "calibrate" in run.tables:
             run.outputs["tracks"] = write_table(final_tracks(run.tables["calibrate"]), f"{base}/tracks.parquet")

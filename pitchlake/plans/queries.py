@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import RunConfig
 from ..contracts import enforce, with_nulls
 from ..functions.geometry import ground_point, on_pitch, project, seconds
 from ..operators import ball, detect, events, identity, physical, possession, report, team, tracking, xg
 from ..operators.calibrate import fraction_on_pitch
 from ..sources.derived import HOMOGRAPHY, view, with_views
+from . import match_run
+
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -21,6 +24,7 @@ ORACLES: dict[str, str] = {}
 REFERENCES = [(0, "home", "kit", 12.0, 3.0), (1, "away", "kit", -12.0, -3.0), (2, "home", "special", 20.0, 14.0), (3, "referee", "special", -20.0, 16.0)]
 WEIGHTS = (-0.6, -0.09, 1.1, 0.4)
 GATE = ball.gate_limit(1280.0)
+_BALL_ONLY = {"track": False, "team": False, "identity": False, "calibrate": False}
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -190,6 +194,30 @@ def ball_gap_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(ball.fill_gaps(kept, _grid(det)), "x_px", "y_px")
 
 
+@query(f"WITH RECURSIVE {_FILLED} SELECT match_id, frame, round(x_px, 6) AS x_px, round(y_px, 6) AS y_px, conf, interpolated FROM points".replace("{det}", "{det_strided}"))
+def ball_strided_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ball of a run that reads every fourth frame: gaps are counted in frames read."""
+    run = match_run.build(RunConfig(stages=_BALL_ONLY, io={"frame_stride": 4}), match_run.Inputs(view(spark, sf_dir, "det")))
+    points = run.tables["ball"].withColumn("conf", F.col("conf").cast("double"))
+    return _rounded(points.select("match_id", "frame", "x_px", "y_px", "conf", "interpolated"), "x_px", "y_px", "conf")
+
+
+@query(f"""
+    WITH RECURSIVE {_FILLED} SELECT 'ball' AS output, match_id, count(*) AS n_rows, min(frame) AS first_frame, max(frame) AS last_frame, count(DISTINCT frame % 4) AS n_phases FROM points GROUP BY match_id
+    UNION ALL SELECT 'detect', match_id, count(*), min(frame), max(frame), count(DISTINCT frame % 4) FROM {{det}} GROUP BY match_id
+    UNION ALL SELECT 'grid', match_id, count(*), min(frame), max(frame), count(DISTINCT frame % 4) FROM grid GROUP BY match_id""".replace("{det}", "{det_strided}"))
+def run_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a strided run's tables hold of each match."""
+    run = match_run.build(RunConfig(stages=_BALL_ONLY, io={"frame_stride": 4}), match_run.Inputs(view(spark, sf_dir, "det")))
+    out = None
+    for name, table in (("ball", run.tables["ball"]), ("detect", run.tables["detect"]), ("grid", run.grid)):
+        frame = F.col("frame")
+        counts = [F.count(F.lit(1)).alias("n_rows"), F.min(frame).alias("first_frame"), F.max(frame).alias("last_frame"), F.countDistinct(frame % 4).alias("n_phases")]
+        found = table.groupBy("match_id").agg(*counts).withColumn("output", F.lit(name))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 _TO_METRES = [[f"({HOMOGRAPHY[r][0]!r}e0 * x_px + {HOMOGRAPHY[r][1]!r}e0 * y_px + {HOMOGRAPHY[r][2]!r}e0)" for r in (0, 1, 2)]][0]
 
 

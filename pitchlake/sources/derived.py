@@ -31,6 +31,8 @@ VIEWS = {
                CAST((user_id * 29 + CAST(floor(event_id / 50e0) AS bigint)) % 660 + 60 AS double) AS y2,
                user_id
         FROM {events}""",
+    "det_strided": """
+        SELECT * FROM {det} WHERE frame % 4 = 0""",
     "tracks_px": """
         SELECT match_id, frame, det_id, cls, conf, x1, y1, x2, y2,
                CASE WHEN cls = 'ball' THEN CAST(-1 AS bigint) ELSE CAST(user_id % 22 AS bigint) END AS track_id,

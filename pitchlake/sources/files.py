@@ -72,23 +72,32 @@ def read_clock_csv(spark: SparkSession, path: str, clock: str = "clock", action:
 
 
 def read_homography(path: str | Path) -> dict | None:
-    """A saved homography and its error, or None if the file is missing or empty."""
+    """A saved homography and its error (homography, error_m; null before it is solved), or
+    None if the file is missing or empty."""
     file = Path(path)
     text = file.read_text().strip() if file.exists() else ""
-    return json.loads(text) if text else None
+    saved = json.loads(text) if text else None
+    return saved and {"homography": saved.get("solved_homography", saved.get("homography")), "error_m": saved.get("max_reprojection_error_m", saved.get("error_m"))}
 
 
-def write_homography(path: str | Path, homography, error: float) -> None:
+def write_homography(path: str | Path, homography, error: float, pairs=()) -> None:
+    """Save a homography, its error and the landmark pairs that it was solved from."""
     file = Path(path)
     file.parent.mkdir(parents=True, exist_ok=True)
-    file.write_text(json.dumps({"homography": [list(map(float, row)) for row in homography], "error_m": error}, indent=2))
+    # The keys of a points file.
+    points = {"image_points": [list(p) for p, _ in pairs], "pitch_points": [list(m) for _, m in pairs]}
+    file.write_text(json.dumps({**points, "solved_homography": [list(map(float, row)) for row in homography], "max_reprojection_error_m": error}, indent=2))
 
 
 def read_points(path: str | Path) -> list[tuple[tuple[float, float], tuple[float, float]]]:
-    """Landmark pairs of a JSON file {"points": [{"name" or "metres", "pixels"}]}."""
+    """Landmark pairs of a JSON file {"points": [{"name" or "metres", "pixels"}]}, or of one
+    with image_points and pitch_points of the same length."""
     from ..functions.geometry import LANDMARKS
 
-    points = json.loads(Path(path).read_text())["points"]
+    file = json.loads(Path(path).read_text())
+    if "image_points" in file:
+        return [(tuple(p), tuple(m)) for p, m in zip(file["image_points"], file["pitch_points"], strict=True)]
+    points = file["points"]
     return [(tuple(p["pixels"]), tuple(p["metres"]) if "metres" in p else LANDMARKS[p["name"]]) for p in points]
 
 
@@ -103,6 +112,16 @@ def video_meta(match_id: str, fps: float, width: int, height: int, n_frames: int
     return {"match_id": match_id, "fps": fps, "width": width, "height": height, "n_frames": n_frames, "duration_s": n_frames / fps if fps else 0.0}
 
 
+def probe_frames(spark: SparkSession, path: str, fps: float = 0.0, match_id: str = "match") -> dict:
+    """video_meta of a folder of images: size of the first, number of frames. A missing
+    folder, or one without images, is a FileNotFoundError."""
+    found = read_frames(spark, path, fps, match_id)
+    first = found.orderBy("frame").select("width", "height").first()
+    if first is None:
+        raise FileNotFoundError(path)
+    return video_meta(match_id, fps, first.width, first.height, found.select("frame").count())
+
+
 def read_frames(spark: SparkSession, path: str, fps: float = 0.0, match_id: str = "match") -> DataFrame:
     """Images of a folder, in order of their names, as frames of a match: frame, height,
     width, nChannels, data. A missing folder is a FileNotFoundError."""

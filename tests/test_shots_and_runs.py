@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import json
 import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from pitchlake import cli
 from pitchlake import config as configs
 from pitchlake.contracts import contract
 from pitchlake.operators import report, xg
@@ -99,6 +101,89 @@ def test_run_writes_its_outputs(spark, inputs, tmp_path):
     assert "final" in page and "<h2>Ball</h2>" in page and "Physical per player" in page
 
 
+def test_gaps_follow_the_frames_that_were_read(spark, tmp_path):
+    """With stride 2 a hole of 20 frames is 10 frames read, and is filled on these only;
+    frames without any box are read too."""
+    seen = [0, 2, 4, 6, 26, 28]
+    rows = [("m", f, 0, "ball", 0.8, 300.0 + f, 100.0, 310.0 + f, 110.0) for f in [*seen, 7, 9]] + [("m", 78, 0, "player", 0.9, 1.0, 1.0, 20.0, 60.0)]
+    det = spark.createDataFrame(rows, "match_id string, frame long, det_id long, cls string, conf double, x1 double, y1 double, x2 double, y2 double")
+    inputs = match_run.Inputs(det, image_width=640.0)
+    run = match_run.execute(configs.RunConfig(io={"frame_stride": 2}, outputs={"report": False}), inputs, str(tmp_path))
+    ball = {r.frame: r.interpolated for r in spark.read.parquet(run.outputs["ball"]).collect()}
+    assert ball == {f: f not in seen for f in range(0, 29, 2)}
+    assert run.stats["ball"].first().n_frames == 40 == run.grid.count()
+    few = match_run.build(configs.RunConfig(io={"frame_stride": 2, "max_frames": 3}), inputs)
+    assert [r.frame for r in few.grid.orderBy("pos").collect()] == [0, 2, 4] and few.tables["detect"].count() == 3
+    every = spark.range(0, 100).select(F.lit("m").alias("match_id"), F.col("id").alias("frame"))
+    assert match_run.build(configs.RunConfig(io={"frame_stride": 2}), match_run.Inputs(det, frames_read=every)).grid.count() == 50
+
+
+def test_each_stage_is_run_once(spark, inputs, tmp_path):
+    run = match_run.execute(configs.RunConfig(match={"match_id": "once"}), inputs, f"file://{tmp_path}")
+    plans = [t._jdf.queryExecution().optimizedPlan().toString() for t in [*run.tables.values(), *run.stats.values(), *match_run.report_tables(run).values()]]
+    assert not any("FlatMapGroupsInPandas" in p for p in plans)
+    assert (tmp_path / "once" / "report.html").exists() and (tmp_path / "once" / "stages" / "track" / "match_id=m").is_dir()
+
+
+def test_configuration_reaches_the_stages(spark, inputs):
+    def tracks(**section):
+        found = match_run.build(configs.RunConfig(tracker=section), inputs).tables["track"]
+        return found.where("track_id >= 0").count()
+
+    assert tracks() == 20 and tracks(track_activation_threshold=0.95) == 0 and tracks(track_classes=["referee"]) == 0
+    with pytest.raises(NotImplementedError):
+        tracks(name="botsort")
+    raw = inputs.detections.select("match_id", "frame", F.col("det_id").alias("rank"), F.when(F.col("cls") == "ball", "sports ball").otherwise("person").alias("label"), F.col("conf").alias("score"), "x1", "y1", "x2", "y2")
+    config = configs.RunConfig(detector={"class_map": {"person": "player", "sports ball": "ball"}, "conf_threshold": 0.85})
+    assert {r.cls for r in match_run.build(config, match_run.Inputs(raw=raw)).tables["detect"].collect()} == {"player"}
+    with pytest.raises(ValueError):
+        match_run.build(config, match_run.Inputs())
+
+
+def test_metres_only_with_a_static_camera(spark, inputs, tmp_path):
+    points = [((0.0, 360.0), (0.0, 0.0)), ((640.0, 360.0), (105.0, 0.0)), ((640.0, 0.0), (105.0, 68.0)), ((0.0, 0.0), (0.0, 68.0))]
+    write(tmp_path / "p.json", json.dumps({"image_points": [p for p, _ in points], "pitch_points": [m for _, m in points]}))
+    assert cli.main(["calibrate", "--points", str(tmp_path / "p.json"), "--out", str(tmp_path / "h.json")]) == 0
+    saved = json.loads((tmp_path / "h.json").read_text())
+    assert saved["image_points"] == [list(p) for p, _ in points] and saved["max_reprojection_error_m"] < 1e-6 and files.read_points(tmp_path / "h.json") == points
+
+    def known(mode):
+        camera = {"homography": {"mode": mode, "manual_points": str(tmp_path / "h.json")}}
+        run = match_run.build(configs.RunConfig(camera=camera), match_run.Inputs(inputs.detections, image_width=640.0))
+        return run.tables["calibrate"].where("x_m is not null").count(), run.tables["ball"].where("x_m is not null").count()
+
+    assert known("static") == (30, 10) and known("per_frame") == (0, 0)
+
+
+def test_teams_and_names_from_the_configuration(spark, inputs):
+    kits = {"home": {"kit_colour": "#D32F2F", "squad": {9: {"name": "Nine"}, 10: {}}}, "away": {"kit_colour": "#1976D2", "squad": [{"shirt": 4, "name": "x"}, {"shirt": 4, "name": "Four"}]}}
+    config = configs.RunConfig(match={"match_id": "m", **kits})
+    assert {(r.side, r.shirt, r.name) for r in configs.squad(spark, config).collect()} == {("home", 9, "Nine"), ("home", 10, "home #10"), ("away", 4, "Four")}
+    refs = {r.label: (r.ref_a, r.ref_b) for r in match_run.team.kit_references(spark, configs.kit_colours(config)).collect()}
+    chroma = spark.createDataFrame([("m", t, f, *refs[s]) for t, s in ((1, "home"), (2, "away")) for f in range(4)], "match_id string, track_id long, frame long, a double, b double")
+    readings = spark.createDataFrame([("m", t, i, n) for t, n in ((1, 9), (2, 4)) for i in range(6)], "match_id string, track_id long, seq long, number int")
+    run = match_run.build(config, match_run.Inputs(inputs.detections, chroma_samples=chroma, readings=readings, image_width=640.0))
+    found = {(r.track_id, r.team, r.player) for r in run.tables["identity"].where("cls = 'player'").collect()}
+    assert found == {(1, "home", "Nine"), (2, "away", "Four")}
+    twice = configs.squad(spark, config).unionByName(spark.createDataFrame([("m", "home", 9, "Also")], "match_id string, side string, shirt int, name string"))
+    assert match_run.identity.name_players(run.tables["identity"], twice).count() == run.tables["identity"].count()
+
+
+def test_command_runs_with_the_configuration(spark, inputs, tmp_path):
+    det = f"file://{tmp_path}/det.parquet"
+    inputs.detections.write.parquet(det)
+    config = write(tmp_path / "c.yaml", "match_id: cli\nio:\n  frame_stride: 3\noutputs:\n  report: false\n")
+    assert cli.main(["run", "--detections", det, "--config", config, "--out", f"file://{tmp_path}/out", "--width", "640"]) == 0
+    assert {r.frame for r in spark.read.parquet(f"file://{tmp_path}/out/cli/ball.parquet").collect()} == {0, 3, 6, 9}
+    assert {r.frame for r in spark.read.parquet(f"file://{tmp_path}/out/cli/stages/grid").collect()} == {0, 3, 6, 9}
+
+
+def test_many_landmark_pairs_are_solved():
+    pairs = [((10.0 * i, 7.0 * j), (i * 2.0, j * 1.5)) for i in range(6) for j in range(6)] + [((5.0, 5.0), (90.0, 60.0))]
+    h, error = match_run.calibrate.solve_homography(pairs)
+    assert error < 1e-6 and abs(h[0, 0] - 0.2) < 1e-9
+
+
 def test_skipped_and_missing_stages(inputs):
     run = match_run.build(configs.RunConfig(stages={"team": False, "identity": False}), inputs)
     row = run.tables["calibrate"].where("cls = 'player'").first()

@@ -231,6 +231,8 @@ def _verified(texts: DataFrame, edges: DataFrame) -> DataFrame:
     needed = dealt.select("lead", "salt", F.lit(1).alias("kind"), F.col("doc").alias("doc_id")).unionByName(
         leads.select("lead", "salt", F.lit(0).alias("kind"), F.col("lead").alias("doc_id"))
     )
+    # Written first, so that texts are not shuffled where Spark can broadcast what is needed.
+    needed = materialize(needed, "near-needed")
     rows = needed.join(texts, "doc_id").select("lead", "salt", "kind", "doc_id", "text")
     rows = rows.repartition("lead", "salt").sortWithinPartitions("lead", "salt", "kind")
     return rows.mapInArrow(_against_leader, "a long, b long")
@@ -247,6 +249,7 @@ def _candidates(by_doc: DataFrame, members: DataFrame) -> DataFrame:
     and position filters: Bayardo et al. 2007, Xiao et al. 2008). Documents that differ in
     their own shingles, as edits or pages of one template do, have no rows here.
     """
+    members = materialize(members, "near-large")
     sets = members.join(by_doc, "doc").select("doc", "comp", "minor", "text")
     sets = materialize(sets.mapInArrow(_grams, "doc long, comp long, minor boolean, size long, grams array<long>"), "near-grams")
     each = sets.select("doc", "comp", "size", F.explode("grams").alias("gram"))

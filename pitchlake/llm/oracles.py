@@ -140,3 +140,54 @@ WITH d AS (
 SELECT d.doc_id, size, source_size, target, coalesce(taken, 0) AS taken, CAST(first_slot AS BIGINT) AS first_slot
 FROM d JOIN part ON d.source IS NOT DISTINCT FROM part.source LEFT JOIN taken USING (doc_id)
 """
+
+URL_FILTERS = r"""
+WITH u AS (
+    SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), p AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM u
+), rules AS (
+    SELECT * FROM (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+                          ('net', '/es/', 'block'), ('net', '/fr/', 'block')) AS t(r_host, r_path, r_verdict)
+), parts AS (
+    SELECT DISTINCT host, path FROM p
+), hit AS (
+    SELECT host, path, arg_max(r_host || r_path, length(r_host || r_path)) AS rule, arg_max(r_verdict, length(r_host || r_path)) AS r_verdict
+    FROM parts JOIN rules ON (host = r_host OR ends_with(host, '.' || r_host)) AND starts_with(path, r_path) GROUP BY host, path
+)
+SELECT page_id, p.host, p.path, rule, coalesce(r_verdict, 'allow') AS verdict
+FROM p LEFT JOIN hit ON hit.host = p.host AND hit.path = p.path
+"""
+
+RANKED_SEARCH = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+    FROM documents
+), sized AS (
+    SELECT doc_id, ts, CAST(len(ts) AS BIGINT) AS n FROM d WHERE len(ts) > 0
+), whole AS (
+    SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sized
+), q AS (
+    SELECT item_id, term, CAST(count(*) AS BIGINT) AS times FROM (
+        SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark) GROUP BY ALL
+), tf AS (
+    SELECT doc_id, n, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT doc_id, n, unnest(ts) AS term FROM sized)
+    WHERE term IN (SELECT term FROM q) GROUP BY ALL
+), df AS (
+    SELECT term, CAST(count(*) AS BIGINT) AS df FROM tf GROUP BY term
+), w AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w FROM df, whole
+), impact AS (
+    SELECT doc_id, term, w.w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))) AS impact
+    FROM tf JOIN w USING (term), whole
+), s AS (
+    SELECT item_id, doc_id, CAST(sum(times * impact) AS BIGINT) AS score FROM q JOIN impact USING (term) GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20
+"""

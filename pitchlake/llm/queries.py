@@ -8,16 +8,21 @@ from pyspark.sql import functions as F
 
 from . import oracles
 from .exact_dedup import exact_groups
+from .lexical_search import ranked
 from .mixing import mixed
 from .near_dedup import near_duplicates
 from .packing import packed
+from .periodic_runs import periodic_runs, run_digests, with_repeating_words
 from .quality import quality_scores
 from .quotations import reply_ordered
 from .sharding import balanced_shards
 from .substring_dedup import repeated_passages
 from .token_files import token_files_round_trip
 from .topk import nearest
+from .url_filters import judged_urls, rule_table
 
+# The rules by which URLs are judged.
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -66,6 +71,18 @@ def op10_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(_table(spark, sf_dir, "documents"), TOKENIZER, length=2048)
 
 
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged_urls(_table(spark, sf_dir, "pages"), rule_table(spark, URL_RULES))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(periodic_runs(with_repeating_words(_table(spark, sf_dir, "documents"))))
+
+
 QUERIES = {
     "op1_line_quality": op1_line_quality,
     "op2_balanced_shards": op2_balanced_shards,
@@ -77,6 +94,9 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_quotation_links": op9_quotation_links,
     "op10_packed_sequences": op10_packed_sequences,
+    "op11_url_filters": op11_url_filters,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES = {
@@ -85,4 +105,6 @@ ORACLES = {
     "op6_exact_top_k": oracles.TOP_K,
     "op7_exact_dedup": oracles.EXACT_DEDUP,
     "op8_near_dedup": oracles.NEAR_DEDUP,
+    "op11_url_filters": oracles.URL_FILTERS,
+    "op12_ranked_search": oracles.RANKED_SEARCH,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 from .config import resolve
 from .operators.calibrate import WARN_M, solve_homography
 from .sources import files
+from .sources.recordings import frames_of, probe_recording, read_recordings
 
 
 def parser() -> argparse.ArgumentParser:
@@ -21,7 +22,8 @@ def parser() -> argparse.ArgumentParser:
     for name, what in (("frames", "(match_id, frame) of all frames of the recordings"), ("readings", "shirt numbers read"), ("chroma", "colours of boxes")):
         run.add_argument(f"--{name}", help=f"a parquet table of {what}")
     run.add_argument("--images", help="a folder of the frames as images, for colours")
-    run.add_argument("--fps", type=float, default=25.0)
+    run.add_argument("--recording", help="an MP4 or AVI file, for rate, size and frames")
+    run.add_argument("--fps", type=float, help="25 unless --recording tells")
     run.add_argument("--width", type=float, help="of the images in pixels; 1280 unless --images tells")
     run.add_argument("--config", required=True)
     run.add_argument("--match")
@@ -29,6 +31,7 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--max-frames", type=int)
     inspect = commands.add_parser("inspect", help="count a detections table's frames and boxes")
     inspect.add_argument("--detections")
+    inspect.add_argument("--recording", help="MP4 or AVI files")
     inspect.add_argument("--images", help="a folder of frames as images")
     inspect.add_argument("--fps", type=float, default=0.0)
     calibrate = commands.add_parser("calibrate", help="solve a homography from landmark points")
@@ -55,6 +58,9 @@ def main(args: list[str] | None = None) -> int:
     if a.command == "inspect":
         from .operators.detect import class_counts
 
+        if a.recording:
+            for row in read_recordings(spark, a.recording).collect():
+                print(row.asDict())
         if a.images:
             print(files.probe_frames(spark, a.images, a.fps))
         if a.detections:
@@ -70,10 +76,13 @@ def main(args: list[str] | None = None) -> int:
         if a.max_frames is not None:
             config["io"] = {**config.section("io"), "max_frames": a.max_frames}
         tables = {name: spark.read.parquet(path) if path else None for name, path in vars(a).items() if name in ("detections", "raw", "frames", "readings", "chroma")}
-        images = files.read_frames(spark, a.images, a.fps, config.match_id) if a.images else None
-        width = a.width or (files.probe_frames(spark, a.images, a.fps)["width"] if a.images else 1280.0)
+        meta = probe_recording(spark, a.recording, config.match_id) if a.recording else files.probe_frames(spark, a.images) if a.images else {}
+        images = files.read_frames(spark, a.images, config.match_id) if a.images else None
+        frames = tables["frames"]
+        if frames is None and a.recording:
+            frames = frames_of(spark.createDataFrame([(config.match_id, meta["n_frames"])], "match_id string, n_frames long"))
         inputs = Inputs(
-            tables["detections"], chroma_samples=tables["chroma"], readings=tables["readings"], fps=a.fps, image_width=float(width), frames_read=tables["frames"], raw=tables["raw"], images=images
+            tables["detections"], chroma_samples=tables["chroma"], readings=tables["readings"], fps=a.fps or meta.get("fps") or 25.0, image_width=float(a.width or meta.get("width") or 1280), frames_read=frames, raw=tables["raw"], images=images
         )
         print(execute(config, inputs, a.out).outputs)
     return 0

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TRACKABLE = ("player", "goalkeeper", "referee")
@@ -73,53 +71,114 @@ def lost_frames_at(fps: float, buffer: int = LOST_FRAMES) -> int:
     return max(1, int(max(1, round(fps)) / 30 * buffer))
 
 
-@dataclass
-class _Track:
-    id: int
-    box: np.ndarray
-    seen: int  # place on the grid
-    speed: np.ndarray = field(default_factory=lambda: np.zeros(4))
-
-    def at(self, place: int) -> np.ndarray:
-        return self.box + self.speed * (place - self.seen)
-
-    def update(self, box: np.ndarray, place: int) -> None:
-        """A constant-velocity filter of fixed gain: half of each surprise is believed."""
-        steps = max(1, place - self.seen)
-        self.speed = 0.5 * self.speed + 0.5 * (box - self.box) / steps
-        self.box, self.seen = box, place
-
-
-def associate(rows: pd.DataFrame, activation: float, lost_frames: int, matching: float) -> np.ndarray:
-    """Track ids of one match's trackable boxes (place, conf, x1, y1, x2, y2), by place.
-
-    Two passes a frame (as ByteTrack, arXiv:2110.06864): boxes of at least `activation`
+# A box's position and speed are known to these parts of its height, its aspect
+# and that's change to these numbers; at its first sight the errors are so many times larger.
+POSITION_PART, SPEED_PART, ASPECT_ERROR, ASPECT_CHANGE, ASPECT_SEEN = 1 / 20, 1 / 160, 1e-2, 1e-5, 1e-1
+FIRST_POSITION, FIRST_SPEED = 2, 10
+
+
+def _shape(boxes: np.ndarray) -> np.ndarray:
+    """Centre, aspect (width over height) and height of boxes of corners."""
+    w, h = boxes[:, 2] - boxes[:, 0], boxes[:, 3] - boxes[:, 1]
+    return np.column_stack([boxes[:, 0] + w / 2, boxes[:, 1] + h / 2, w / np.where(h > 0, h, 1), h])
+
+
+def _corners(shape: np.ndarray) -> np.ndarray:
+    x, y, aspect, h = shape.T
+    w = aspect * h
+    return np.column_stack([x - w / 2, y - h / 2, x + w / 2, y + h / 2])
+
+
+def _variance(h: np.ndarray, part: float, aspect: float) -> np.ndarray:
+    """Squared errors of centre, aspect and height of boxes of height h."""
+    e = (part * h) ** 2
+    return np.column_stack([e, e, np.full(len(h), aspect**2), e])
+
+
+class _Tracks:
+    """The live tracks, side by side. Each has a Kalman filter of constant velocity over its
+    box's centre, aspect and height; these do not mix, so each has a position, a speed and
+    their 2 x 2 covariance."""
+
+    def __init__(self):
+        self.ids, self.seen = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        self.at, self.speed, self.p, self.ps, self.s = (np.empty((0, 4)) for _ in range(5))
+
+    def keep(self, some: np.ndarray) -> None:
+        for name, value in vars(self).items():
+            setattr(self, name, value[some])
+
+    def begin(self, ids: np.ndarray, boxes: np.ndarray, place: int) -> None:
+        at = _shape(boxes)
+        first = {
+            "ids": ids,
+            "seen": np.full(len(ids), place),
+            "at": at,
+            "speed": np.zeros_like(at),
+            "p": _variance(at[:, 3], FIRST_POSITION * POSITION_PART, ASPECT_ERROR),
+            "ps": np.zeros_like(at),
+            "s": _variance(at[:, 3], FIRST_SPEED * SPEED_PART, ASPECT_CHANGE),
+        }
+        for name, value in first.items():
+            setattr(self, name, np.concatenate([getattr(self, name), value]))
+
+    def predict(self, place: int) -> None:
+        """One place on. The height of a track that was not seen at the last place stays."""
+        h = self.at[:, 3].copy()
+        self.speed[self.seen < place - 1, 3] = 0
+        self.at = self.at + self.speed
+        self.p = self.p + 2 * self.ps + self.s + _variance(h, POSITION_PART, ASPECT_ERROR)
+        self.ps = self.ps + self.s
+        self.s = self.s + _variance(h, SPEED_PART, ASPECT_CHANGE)
+
+    def update(self, some: np.ndarray, boxes: np.ndarray, place: int) -> None:
+        noise = _variance(self.at[some, 3], POSITION_PART, ASPECT_SEEN)
+        p, ps = self.p[some], self.ps[some]
+        gain, pull = p / (p + noise), ps / (p + noise)
+        surprise = _shape(boxes) - self.at[some]
+        self.at[some] += gain * surprise
+        self.speed[some] += pull * surprise
+        self.p[some], self.ps[some], self.s[some] = (1 - gain) * p, (1 - gain) * ps, self.s[some] - pull * ps
+        self.seen[some] = place
+
+
+def associate(places: np.ndarray, conf: np.ndarray, boxes: np.ndarray, activation: float, lost_frames: int, matching: float) -> np.ndarray:
+    """Track ids, from 1, of one match's trackable boxes, which come by place; -1 for those that
+    stay alone and are too faint to begin a track.
+
+    Two passes a place (as ByteTrack, arXiv:2110.06864): boxes of at least `activation`
     confidence meet all tracks seen within lost_frames places, what is left of them meets
-    fainter boxes, and confident boxes that stay alone begin tracks.
+    fainter boxes, and confident boxes that stay alone begin tracks, in their order. Tracks
+    are predicted at every place, those without boxes too, by their Kalman filters.
     """
-    boxes, conf, out = rows[["x1", "y1", "x2", "y2"]].to_numpy(dtype=np.float64), rows["conf"].to_numpy(dtype=np.float64), np.full(len(rows), -1, dtype=np.int64)
-    tracks: list[_Track] = []
-    n = 0
-    for place, at in rows.groupby("place", sort=True).indices.items():
-        tracks = [t for t in tracks if place - t.seen <= lost_frames + 1]
-        open_tracks, free = list(tracks), []
-        for strong in (True, False):
-            some = [i for i in at if (conf[i] >= activation) == strong]
-            least = 1 - matching if strong else 0.5
-            taken = set()
-            if some and open_tracks:
-                score = overlaps(np.array([t.at(place) for t in open_tracks]), boxes[some])
-                for r, c in matches(score, least):
-                    open_tracks[r].update(boxes[some[c]], place)
-                    out[some[c]] = open_tracks[r].id
-                    taken.add(r)
-                open_tracks = [t for r, t in enumerate(open_tracks) if r not in taken]
-            if strong:
-                free = [i for i in some if out[i] < 0]
-        for i in free:
-            n += 1
-            out[i] = n
-            tracks.append(_Track(n, boxes[i], place))
+    out = np.full(len(places), -1, dtype=np.int64)
+    live, n, now = _Tracks(), 0, None
+    first = np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1]])) if len(places) else []
+    for begin, end in zip(first, [*first[1:], len(places)], strict=True):
+        place = int(places[begin])
+        if len(live.ids):
+            dead = place - live.seen > lost_frames + 1
+            if dead.any():
+                live.keep(~dead)
+            for step in range(now + 1, place + 1) if len(live.ids) else ():
+                live.predict(step)
+        now = place
+        at = np.arange(begin, end)
+        strong = conf[at] >= activation
+        free = np.arange(len(live.ids))
+        for some, least in ((at[strong], 1 - matching), (at[~strong], 0.5)):
+            if len(some) and len(free):
+                pairs = matches(overlaps(_corners(live.at[free]), boxes[some]), least)
+                if pairs:
+                    r, c = np.array(pairs).T
+                    live.update(free[r], boxes[some[c]], place)
+                    out[some[c]] = live.ids[free[r]]
+                    free = np.delete(free, r)
+        alone = at[strong & (out[at] < 0)]
+        if len(alone):
+            out[alone] = np.arange(n + 1, n + 1 + len(alone))
+            live.begin(out[alone], boxes[alone], place)
+            n += len(alone)
     return out
 
 
@@ -128,28 +187,42 @@ def track(
     grid: DataFrame | None = None,
     classes: tuple[str, ...] = TRACKABLE,
     activation: float = ACTIVATION,
-    lost_frames: int = LOST_FRAMES,
+    lost_frames: int | Column = LOST_FRAMES,
     matching: float = MATCHING,
 ) -> DataFrame:
     """detections with track_id; -1 for the ball, other classes and boxes without a track.
 
     Time runs on the grid (match_id, pos, frame), so frames without boxes count as time
-    lost; without a grid it is the frames that have boxes. A match is one group: its few
-    million boxes are associated in the order of frames.
+    lost; without a grid it is the frames that have boxes. lost_frames is a number, or an
+    expression over detections that is the same in all of a match.
+
+    Where no trackable box is seen for longer than tracks live, a match is cut: what follows
+    is an island that is associated apart, and its ids go on from those begun before it, by
+    a prefix sum. Ids are those of one pass over the match. Within an island boxes are
+    associated in the order of frames.
     """
+    found = detections.drop("track_id").withColumn("__lost", lost_frames if isinstance(lost_frames, Column) else F.lit(int(lost_frames)))
     if grid is None:
         place = F.dense_rank().over(Window.partitionBy("match_id").orderBy("frame")).cast("long")
-        placed = detections.withColumn("place", place)
+        placed = found.withColumn("place", place)
     else:
-        placed = detections.join(grid.select("match_id", "frame", F.col("pos").alias("place")), ["match_id", "frame"])
-    few = placed.where(F.col("cls").isin(*classes)).select("match_id", "frame", "det_id", "place", "conf", "x1", "y1", "x2", "y2")
-
-    def ids(match: pd.DataFrame) -> pd.DataFrame:
-        rows = match.sort_values(["place", "det_id"], kind="stable").reset_index(drop=True)
-        return rows.assign(track_id=associate(rows, activation, lost_frames, matching))[["match_id", "frame", "det_id", "track_id"]]
-
-    found = few.groupBy("match_id").applyInPandas(ids, "match_id string, frame long, det_id long, track_id long")
-    joined = detections.drop("track_id").join(found, ["match_id", "frame", "det_id"], "left")
+        placed = found.join(grid.select("match_id", "frame", F.col("pos").alias("place")), ["match_id", "frame"])
+    few = placed.where(F.col("cls").isin(*classes)).select("match_id", "frame", "det_id", "place", "conf", "x1", "y1", "x2", "y2", F.col("__lost").cast("int").alias("lost"))
+    order = Window.partitionBy("match_id").orderBy("place")
+    cut = F.col("place") - F.lag("place").over(order) > F.col("lost") + 1
+    few = few.withColumn("island", F.sum(F.coalesce(cut, F.lit(False)).cast("int")).over(order))
+
+    def ids(island: pd.DataFrame) -> pd.DataFrame:
+        rows = island.sort_values(["place", "det_id"], kind="stable").reset_index(drop=True)
+        boxes = rows[["x1", "y1", "x2", "y2"]].to_numpy(dtype=np.float64)
+        own = associate(rows["place"].to_numpy(), rows["conf"].to_numpy(dtype=np.float64), boxes, activation, int(rows["lost"].iloc[0]), matching)
+        begins = ~pd.Series(own).duplicated() & (own >= 0)
+        return rows.assign(own=own, begins=begins.astype("int32"))[["match_id", "frame", "det_id", "island", "own", "begins"]]
+
+    known = few.groupBy("match_id", "island").applyInPandas(ids, "match_id string, frame long, det_id long, island long, own long, begins int")
+    before = F.coalesce(F.sum("begins").over(Window.partitionBy("match_id").orderBy("island").rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    known = known.select("match_id", "frame", "det_id", F.when(F.col("own") >= 0, F.col("own") + before).alias("track_id"))
+    joined = detections.drop("track_id").join(known, ["match_id", "frame", "det_id"], "left")
     return joined.withColumn("track_id", F.coalesce("track_id", F.lit(-1).cast("long")))
 
 

@@ -12,7 +12,7 @@ from ..config import RunConfig, kit_colours, squad
 from ..contracts import enforce
 from ..functions.geometry import PITCH_LENGTH_M
 from ..operators import ball, calibrate, detect, events, identity, physical, report, team, tracking
-from ..sources.files import read_homography, write_matches, write_table
+from ..sources.files import frames_up_to, read_homography, write_matches, write_table
 
 #: Stages in the order in which they run, whatever the configuration's order.
 ORDER = ("detect", "track", "team", "identity", "calibrate", "ball", "events")
@@ -108,8 +108,9 @@ def build(config: RunConfig, inputs: Inputs, keep: Callable[[str, DataFrame], Da
         team.check_method(section.get("method", "kit_colour"))
         samples, kits = inputs.chroma_samples, inputs.references
         if samples is None and inputs.images is not None:
-            boxes = team.sampled_boxes(tracks, section.get("sample_stride", team.SAMPLE_STRIDE), section.get("min_box_h", team.MIN_BOX_H))
-            samples = team.box_chroma(inputs.images, boxes)
+            every = section.get("sample_stride", team.SAMPLE_STRIDE)
+            boxes = team.sampled_boxes(tracks, every, section.get("min_box_h", team.MIN_BOX_H))
+            samples = team.box_chroma(frames_up_to(inputs.images, boxes, every), boxes)
         if kits is None:
             kits = team.kit_references(spark, kit_colours(config))
         if samples is None:

@@ -5,10 +5,12 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import nan_to_null
+from ..operators.detect import stride
 
 TAGGING = "period int, clock_mmss string, team string, shirt int, type_name string, start_x double, start_y double, end_x double, end_y double, result_name string, bodypart_name string, note string"
 SHOTS = "start_x double, start_y double, is_goal int"
@@ -115,21 +117,72 @@ def video_meta(match_id: str, fps: float, width: int, height: int, n_frames: int
 def probe_frames(spark: SparkSession, path: str, fps: float = 0.0, match_id: str = "match") -> dict:
     """video_meta of a folder of images: size of the first, number of frames. A missing
     folder, or one without images, is a FileNotFoundError."""
-    found = read_frames(spark, path, fps, match_id)
-    first = found.orderBy("frame").select("width", "height").first()
-    if first is None:
+    numbers = frame_numbers(spark, path)
+    n, first = numbers.agg(F.count(F.lit(1)), F.min("frame")).first()
+    if not n:
         raise FileNotFoundError(path)
-    return video_meta(match_id, fps, first.width, first.height, found.select("frame").count())
+    image = read_frames(spark, path, match_id).where(F.col("frame") == first).select("width", "height").first()
+    if image is None:
+        raise FileNotFoundError(path)
+    return video_meta(match_id, fps, image.width, image.height, n)
+
 
+def _named(match_id: str | None) -> dict[str, Column]:
+    """match_id and frame of an image, as its file's path tells."""
+    folder = F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]+$", 1)
+    folder = F.regexp_replace(folder, "^match_id=", "")
+    number = F.regexp_extract("_metadata.file_name", r"(\d+)\.\w+$", 1)
+    return {"match_id": folder if match_id is None else F.lit(match_id), "frame": F.nullif(number, F.lit("")).cast("long")}
 
-def read_frames(spark: SparkSession, path: str, fps: float = 0.0, match_id: str = "match") -> DataFrame:
-    """Images of a folder, in order of their names, as frames of a match: frame, height,
-    width, nChannels, data. A missing folder is a FileNotFoundError."""
-    from pyspark.errors import AnalysisException
 
+def _images(spark: SparkSession, kind: str, path: str, match_id: str | None) -> DataFrame:
+    reader = spark.read.format(kind).option("recursiveFileLookup", match_id is None)
+    if kind == "image":
+        reader = reader.option("dropInvalid", True)
     try:
-        images = spark.read.format("image").option("dropInvalid", True).load(path)
+        return reader.load(path)
     except AnalysisException as e:
         raise FileNotFoundError(path) from e
-    number = F.regexp_extract("image.origin", r"(\d+)\.\w+$", 1).cast("long")
-    return images.select(F.lit(match_id).alias("match_id"), number.alias("frame"), "image.height", "image.width", "image.nChannels", "image.data")
+
+
+def frame_numbers(spark: SparkSession, path: str, match_id: str | None = "match") -> DataFrame:
+    """(match_id, frame) of the images below a path, by their names; no image is opened."""
+    files = _images(spark, "binaryFile", path, match_id).select("path")
+    return files.select(*(c.alias(n) for n, c in _named(match_id).items())).where("frame is not null")
+
+
+def read_frames(spark: SparkSession, path: str, match_id: str | None = "match", step: int = 1, most: int | None = None, start: int = 0) -> DataFrame:
+    """Images of a folder as frames of a match: match_id, frame, height, width, nChannels,
+    data (BGR bytes). frame is the number that ends the file's name; other files are left
+    out. Without a match_id, path has a folder for each match, whose name is its id. A missing
+    folder is a FileNotFoundError.
+
+    Frames are those of operators.detect.stride: each step-th from start, and of these the
+    first `most` of each match. These conditions, and all that a query asks of match_id and
+    frame, are conditions on files' names, by which Spark drops files before it opens them.
+    """
+    files = _images(spark, "image", path, match_id)
+    named = _named(match_id)
+    frames = files.select(*(c.alias(n) for n, c in named.items()), "image.height", "image.width", "image.nChannels", "image.data")
+    frames = frames.where((F.col("frame") >= start) & ((F.col("frame") - start) % max(1, step) == 0))
+    if not most:
+        return frames
+    last = stride(frame_numbers(spark, path, match_id), step, most, start).groupBy("match_id").agg(F.max("frame").alias("last")).collect()  # a row a match
+    return frames.where(_up_to({r.match_id: r.last for r in last}))
+
+
+def _up_to(last: dict[str, int]) -> Column:
+    """Whether a frame is not after the last one of its match; matches are told by the same
+    condition where all have the same last frame."""
+    low = min(last.values(), default=-1)
+    wanted = F.col("frame") <= low
+    for frame in sorted({v for v in last.values() if v > low}):
+        wanted |= F.col("match_id").isin([m for m, v in last.items() if v == frame]) & (F.col("frame") <= frame)
+    return wanted
+
+
+def frames_up_to(frames: DataFrame, wanted: DataFrame, step: int = 1) -> DataFrame:
+    """Those of frames of each match that are a multiple of step and not after its last one in
+    wanted (match_id, frame), for readers that need only some: what follows is not opened."""
+    last = wanted.groupBy("match_id").agg(F.max("frame").alias("last")).collect()  # a row a match
+    return frames.where((F.col("frame") % max(1, step) == 0) & _up_to({r.match_id: r.last for r in last}))

@@ -48,9 +48,14 @@ def project(x: Column, y: Column, h: Sequence[Sequence[float]] | Sequence[Sequen
     return u / w, v / w
 
 
-def seconds(frame: Column, fps: float | None) -> Column:
+def rate(fps: float | Column | None) -> Column:
+    """Frames a second, of a number or a column; 0 or none counts as 25."""
+    return F.coalesce(F.nullif(fps.cast("double"), F.lit(0.0)), F.lit(25.0)) if isinstance(fps, Column) else F.lit(float(fps or 25.0))
+
+
+def seconds(frame: Column, fps: float | Column | None) -> Column:
     """Seconds since the start; a rate of 0 or none counts as 25 frames a second."""
-    return frame / F.lit(float(fps or 25.0))
+    return frame / rate(fps)
 
 
 def on_pitch(x: Column, y: Column, margin: float = 3.0, length: float = PITCH_LENGTH_M, width: float = PITCH_WIDTH_M) -> Column:

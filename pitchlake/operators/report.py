@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import html
+import math
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.geometry import PITCH_LENGTH_M, PITCH_WIDTH_M
+
 SHOWN_ROWS, BALL_ROWS = 50, 25
 
 
@@ -40,6 +43,53 @@ def heatmap(tracks: DataFrame, bin_m: float = 5.0, player: str | None = None) ->
     return rows.groupBy("match_id", "team", at["x"].alias("x_bin"), at["y"].alias("y_bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _spread(cells: DataFrame, axis: str, n: int, sigma_cells: Column) -> DataFrame:
+    """cells (by, axis, mass) smoothed along one axis of n cells: the mass of each goes to the
+    cells within three sigma by a Gaussian kernel, of which what lies on the axis counts as
+    all, so that none is lost at its ends."""
+    reach = F.ceil(3 * sigma_cells)
+    targets = F.sequence(F.greatest(F.lit(0).cast("long"), F.col(axis) - reach), F.least(F.lit(n - 1).cast("long"), F.col(axis) + reach))
+    by = [c for c in cells.columns if c not in (axis, "mass")]
+    weighed = cells.withColumn("__s", sigma_cells).withColumn("__to", targets)
+    weighed = weighed.withColumn("__w", F.transform("__to", lambda t: F.exp(-F.pow((t - F.col(axis)) / F.col("__s"), 2) / 2)))
+    total = F.aggregate("__w", F.lit(0.0), lambda a, w: a + w)
+    sent = weighed.select(*by, F.explode(F.arrays_zip("__to", "__w")).alias("__t"), (F.col("mass") / total).alias("__part"))
+    sent = sent.select(*by, F.col("__t.__to").alias(axis), (F.col("__part") * F.col("__t.__w")).alias("__m"))
+    return sent.groupBy(*by, axis).agg(F.sum("__m").alias("mass"))
+
+
+def kernel_heatmap(tracks: DataFrame, bin_m: float = 1.0, bandwidth_m: float | None = None, player: str | None = None) -> DataFrame:
+    """The density of rows on the pitch, smoothed by a Gaussian kernel: match_id, team, x_bin,
+    y_bin, density (a share of all rows a square metre), of one player or of all.
+
+    Rows are counted in squares of bin_m first, those beyond the pitch at its edge; squares
+    are few, so what is smoothed does not grow with the rows. The kernel is separable, so it
+    is spread along x, then along y. Its width is bandwidth_m, or by Scott's rule the standard
+    deviation of the rows times n ** (-1 / 6), in each direction and for each team, but half a
+    square at least. Rows without a position, and squares beyond three widths, have no
+    density; the densities of a team add up to 1 over the pitch.
+    """
+    rows = tracks.where(F.col("x_m").isNotNull() & F.col("y_m").isNotNull())
+    rows = rows.where(F.col("player") == player) if player is not None else rows
+    sides = {"x": math.ceil(PITCH_LENGTH_M / bin_m), "y": math.ceil(PITCH_WIDTH_M / bin_m)}
+    at = {c: F.least(F.greatest(F.floor(F.col(f"{c}_m") / bin_m), F.lit(0)), F.lit(n - 1)).cast("long") for c, n in sides.items()}
+    by = ["match_id", "team"]
+    counts = rows.groupBy(*by, at["x"].alias("x_bin"), at["y"].alias("y_bin")).agg(F.count(F.lit(1)).alias("n"), *(F.sum(f"{c}_m").alias(f"s{c}") for c in sides), *(F.sum(F.pow(f"{c}_m", F.lit(2))).alias(f"q{c}") for c in sides))
+    whole = Window.partitionBy(*by)
+    n = F.sum("n").over(whole)
+
+    def sigma(c: str) -> Column:
+        if bandwidth_m is not None:
+            return F.lit(max(bandwidth_m, bin_m / 2) / bin_m)
+        square = F.greatest((F.sum(f"q{c}").over(whole) - F.pow(F.sum(f"s{c}").over(whole), F.lit(2)) / n) / F.greatest(n - 1, F.lit(1)), F.lit(0.0))
+        return F.greatest(F.sqrt(square) * F.pow(n, F.lit(-1 / 6)), F.lit(bin_m / 2)) / bin_m
+
+    cells = counts.select(*by, "x_bin", "y_bin", (F.col("n") / n).alias("mass"), sigma("x").alias("__sx"), sigma("y").alias("__sy"))
+    along_x = _spread(cells, "x_bin", sides["x"], F.col("__sx"))
+    both = _spread(along_x, "y_bin", sides["y"], F.col("__sy"))
+    return both.select(*by, "x_bin", "y_bin", (F.col("mass") / bin_m**2).alias("density"))
+
+
 def shot_map(shots: DataFrame) -> DataFrame:
     """shots with xg as points to draw: the size grows with xg."""
     return shots.withColumn("size", F.col("xg") * 900 + 30)

@@ -14,8 +14,10 @@ from ..functions.geometry import chroma_of_hex, distance
 
 SAMPLE_STRIDE, MIN_CROPS, MIN_BOX_H = 5, 3, 16.0
 OUTLIER_DIST, SPECIAL_DIST = 25.0, 40.0
-#: Points of which all pairs start a run of two-means.
-STARTS = 6
+#: Points of which all pairs start a run of two-means; rounds of a run, at most.
+STARTS, ROUNDS = 6, 100
+#: Distances that differ by less are equal: two points are as far from their middle.
+TIE = 1e-6
 # Grass in 8-bit HSV (hue of 0 to 179), the torso's part of a box, least sizes.
 GRASS_HUE, GRASS_SATURATION = (35, 90), 60
 TORSO_Y, TORSO_X = (0.15, 0.50), (0.25, 0.75)
@@ -99,40 +101,76 @@ def track_chroma(samples: DataFrame, min_crops: int = MIN_CROPS) -> DataFrame:
     return samples.groupBy("match_id", "track_id").agg(F.median("a").alias("a"), F.median("b").alias("b"), n.alias("n_crops")).where(F.col("n_crops") >= min_crops)
 
 
-def _two_means(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Centroids and labels of the best of a few runs from fixed starts: all pairs of points
-    that lie far from each other, found by taking the one farthest from those taken."""
-    far = ((points[:, None] - points[None]) ** 2).sum(axis=2)
-    apart = [int(far.sum(axis=1).argmax())]
+def _starts(points: np.ndarray) -> np.ndarray:
+    """Pairs of places that start a run of two-means: all pairs of a few points that lie far
+    from each other. The first is the one farthest from the mean, each next one the farthest
+    from those taken; ties go to the first place."""
+    apart = [int(((points - points.mean(axis=0)) ** 2).sum(axis=1).argmax())]
+    near = np.full(len(points), np.inf)
     while len(apart) < min(STARTS, len(points)):
-        apart.append(int(far[apart].min(axis=0).argmax()))
-    starts = list(combinations(apart, 2))
+        near = np.minimum(near, ((points - points[apart[-1]]) ** 2).sum(axis=1))
+        apart.append(int(near.argmax()))
+    return np.array(list(combinations(apart, 2)))
+
+
+def _cheapest(points: np.ndarray, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The best of several runs of two-means side by side, from their centroids (r, 2) on: its
+    centroids, and for each point whether it is in the second cluster. Of equally good ones
+    the first counts.
+
+    A cluster is known by its points' number and sums, so a round is one product of labels
+    and points. Runs that came to the same clusters go on as one, and those that stand still
+    are done. Points at equal distance are in the first cluster; an empty one stays.
+    """
+    total, square = points.sum(axis=0), float((points**2).sum())
     best = None
-    for start in starts:
-        centres = points[list(start)].astype(np.float64)
-        for _ in range(100):
-            labels = ((points[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
-            moved = np.array([points[labels == k].mean(axis=0) if (labels == k).any() else centres[k] for k in (0, 1)])
-            if np.allclose(moved, centres, atol=1e-9):
-                break
-            centres = moved
-        cost = float(((points - centres[labels]) ** 2).sum())
-        if best is None or cost < best[0] - 1e-9:
-            best = (cost, centres, labels)
+    for left in range(ROUNDS, 0, -1):
+        in_second = points @ (second - first).T > ((second**2).sum(axis=1) - (first**2).sum(axis=1)) / 2
+        n = in_second.sum(axis=0)[:, None]
+        sums = in_second.T.astype(np.float64) @ points
+        rest = len(points) - n
+        now = np.where(rest > 0, (total - sums) / np.maximum(rest, 1), first), np.where(n > 0, sums / np.maximum(n, 1), second)
+        still = (np.abs(now[0] - first) <= 1e-9).all(axis=1) & (np.abs(now[1] - second) <= 1e-9).all(axis=1) | (left == 1)
+        for r in np.flatnonzero(still):
+            cost = square - (rest[r, 0] * (now[0][r] ** 2).sum() + n[r, 0] * (now[1][r] ** 2).sum())
+            if best is None or cost < best[0] - 1e-9 * square:
+                best = cost, np.array([now[0][r], now[1][r]]), in_second[:, r]
+        if still.all():
+            break
+        kept = np.sort(np.unique(np.hstack([*now, still[:, None]]), axis=0, return_index=True)[1])
+        kept = kept[~still[kept]]
+        first, second = now[0][kept], now[1][kept]
     return best[1], best[2]
 
 
+def _two_means(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Centroids and labels of the best of the runs of _starts; of equally good ones the first."""
+    starts = _starts(points)
+    centres, in_second = _cheapest(points, points[starts[:, 0]], points[starts[:, 1]])
+    return centres, in_second.astype(int)
+
+
 def peeled_centroids(points: np.ndarray, outlier_dist: float = OUTLIER_DIST) -> np.ndarray:
-    """Two centroids, the larger cluster's first: the worst point is taken out until none is
-    farther than outlier_dist from its centroid. Two points left are the centroids."""
+    """Two centroids, the larger cluster's first, of equal ones the one of smaller a,
+    then b: the worst point is taken out until none is farther than outlier_dist from its
+    centroid; of equally bad ones the first. Two points left are the centroids.
+
+    After each point the clusters are fitted anew: from all starts, since starts are the
+    points that lie far out, and so the ones taken out. Time and memory grow with the
+    points, not with their pairs. Points are moved to their mean first, which keeps sums of
+    squares exact enough.
+    """
+    middle = points.mean(axis=0) if len(points) else 0.0
+    points = points - middle
     while len(points) > 2:
         centres, labels = _two_means(points)
         dist = np.linalg.norm(points - centres[labels], axis=1)
-        worst = int(dist.argmax())
+        worst = int(np.flatnonzero(dist >= dist.max() - TIE)[0])
         if dist[worst] <= outlier_dist:
-            return centres if (labels == 0).sum() >= (labels == 1).sum() else centres[::-1]
+            order = sorted((0, 1), key=lambda k: (-(labels == k).sum(), *centres[k]))
+            return centres[order] + middle
         points = np.delete(points, worst, axis=0)
-    return points
+    return points + middle
 
 
 def team_centroids(chroma: DataFrame, outlier_dist: float = OUTLIER_DIST) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..config import RunConfig, kit_colours, squad
 from ..contracts import enforce
 from ..functions.geometry import PITCH_LENGTH_M
-from ..operators import ball, calibrate, detect, events, identity, physical, report, team, tracking
+from ..operators import ball, calibrate, detect, events, identity, physical, possession, report, team, tracking
 from ..sources.files import frames_up_to, read_homography, write_matches, write_table
 
 #: Stages in the order in which they run, whatever the configuration's order.
@@ -147,9 +147,18 @@ def build(config: RunConfig, inputs: Inputs, keep: Callable[[str, DataFrame], Da
         )
         run.tables["ball"] = keep("ball", points)
     if on["events"]:
-        run.tables["events"] = events.no_events(spark)
+        route = config.section("events").get("route", "manual")
+        if route == "tracking":
+            tracks, points = run.upstream("events", "calibrate"), run.upstream("events", "ball")
+            settled = keep("possession", possession.settled_possession(possession.assign_possession(tracks, points)))
+            run.tables["events"] = keep("events", events.from_tracking(tracks, settled, ball.ball_speed(points), inputs.fps))
+        elif route in ("manual", "auto"):
+            run.tables["events"] = events.no_events(spark)
+        else:
+            raise ValueError(f"unknown route of events: {route!r}")
+        run.stats["events"] = run.tables["events"].groupBy("match_id").agg(F.count(F.lit(1)).alias("n_events"))
     of = {"detect": detect.class_counts, "track": tracking.tracking_stats, "identity": identity.identity_coverage, "calibrate": calibrate.fraction_on_pitch}
-    run.stats = {s: f(run.tables[s]) for s, f in of.items() if s in run.tables}
+    run.stats.update({s: f(run.tables[s]) for s, f in of.items() if s in run.tables})
     if on["ball"]:
         run.stats["ball"] = ball.coverage(run.tables["ball"], grid)
     return run

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import RunConfig
 from ..contracts import enforce, with_nulls
 from ..functions.geometry import ground_point, on_pitch, project, seconds
-from ..operators import ball, detect, events, identity, physical, possession, report, team, tracking, xg
+from ..operators import ball, detect, events, identity, physical, possession, report, team, tracking, value, xg
 from ..operators.calibrate import fraction_on_pitch
 from ..sources.derived import HOMOGRAPHY, view, with_views
 from . import match_run
@@ -304,6 +304,79 @@ def possession_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return possession.possession_changes(possession.settled_possession(_possession(spark, sf_dir), hold_frames=2))
 
 
+_PLAYED = _SETTLED.replace("{tracks_m}", "{play}").replace("<= 15", "<= 2")
+_CHANGES = """
+    moved AS (
+        SELECT *, lag(settled_track_id) OVER w AS from_track_id, lag(settled_team) OVER w AS from_team, lag(frame) OVER w AS from_frame
+        FROM settled WINDOW w AS (PARTITION BY match_id ORDER BY frame)
+    ), changes AS (
+        SELECT match_id, frame, from_frame, from_track_id AS track_id, settled_track_id AS to_track_id, from_team AS team,
+               CASE WHEN from_team = settled_team THEN 'pass' ELSE 'turnover' END AS type_name
+        FROM moved WHERE from_track_id <> settled_track_id
+    )"""
+_ACTIONS = f"""{_PLAYED}, {_CHANGES}, spot AS (
+        SELECT match_id, frame, t_s, x_m, y_m FROM {{play}} WHERE cls = 'ball'
+    ), pace AS (
+        SELECT match_id, frame, sqrt((x_m - lag(x_m) OVER w) * (x_m - lag(x_m) OVER w) + (y_m - lag(y_m) OVER w) * (y_m - lag(y_m) OVER w)) / nullif(t_s - lag(t_s) OVER w, 0) AS speed
+        FROM spot WINDOW w AS (PARTITION BY match_id ORDER BY frame)
+    ), spike AS (
+        SELECT match_id, frame FROM (SELECT *, coalesce(lag(speed) OVER (PARTITION BY match_id ORDER BY frame) < 18, true) AS slow FROM pace) WHERE speed >= 18 AND slow
+    ), held AS (
+        SELECT s.match_id, s.frame, h.settled_track_id AS track_id, h.settled_team AS team
+        FROM spike s ASOF LEFT JOIN (SELECT * FROM settled WHERE settled_track_id IS NOT NULL) h ON s.match_id = h.match_id AND s.frame - 1 >= h.frame
+    ), following AS (
+        SELECT h.*, c.frame AS next_frame, c.type_name AS next_type, row_number() OVER (PARTITION BY h.match_id, c.frame ORDER BY h.frame) AS n
+        FROM held h ASOF LEFT JOIN changes c ON h.match_id = c.match_id AND h.frame <= c.frame
+    ), lone AS (
+        SELECT match_id, frame, track_id, team, CASE WHEN (next_frame - frame) / 25e0 <= 3 THEN next_frame END AS next_frame
+        FROM following WHERE n = 1 AND NOT coalesce((next_frame - frame) / 25e0 <= 3 AND next_type = 'pass', false)
+    ), act AS (
+        SELECT match_id, frame, track_id, team, type_name, CASE WHEN type_name = 'pass' THEN 'success' ELSE 'fail' END AS result_name, from_frame, frame AS to_frame
+        FROM changes c WHERE NOT EXISTS (SELECT 1 FROM lone WHERE lone.match_id = c.match_id AND lone.next_frame = c.frame)
+        UNION ALL
+        SELECT match_id, frame, track_id, team, NULL, CASE WHEN next_frame IS NOT NULL THEN 'fail' END, frame - 1, coalesce(next_frame, frame) FROM lone
+    ), started AS (
+        SELECT a.*, b.x_m AS start_x, b.y_m AS start_y FROM act a ASOF LEFT JOIN spot b ON a.match_id = b.match_id AND a.from_frame >= b.frame
+    ), spiked AS (
+        SELECT a.*, b.x_m - start_x AS dx, b.y_m - start_y AS dy FROM started a ASOF LEFT JOIN spot b ON a.match_id = b.match_id AND a.frame >= b.frame
+    ), ended AS (
+        SELECT a.*, b.x_m AS end_x, b.y_m AS end_y, CASE WHEN dx > 0 THEN 105 - start_x WHEN dx < 0 THEN -start_x END AS ahead
+        FROM spiked a ASOF LEFT JOIN spot b ON a.match_id = b.match_id AND a.to_frame <= b.frame
+    )"""
+
+
+def _played(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Settled possession and the ball with its speed, of a game whose ball is passed on."""
+    tracks = view(spark, sf_dir, "play")
+    at = tracks.where("cls = 'ball'").select("match_id", "frame", "t_s", "x_m", "y_m")
+    return possession.settled_possession(possession.assign_possession(tracks, at), hold_frames=2), ball.ball_speed(at)
+
+
+@query(f"""
+    WITH {_ACTIONS} SELECT match_id, frame, frame / 25e0 AS t_s, track_id, team, result_name,
+           coalesce(type_name, CASE WHEN abs(ahead) <= 40 AND abs(start_y + ahead * dy / nullif(dx, 0) - 34) <= 7.32e0 / 2 + 2 THEN 'shot' ELSE 'clearance' END) AS type_name,
+           round(start_x, 6) AS start_x, round(start_y, 6) AS start_y, round(end_x, 6) AS end_x, round(end_y, 6) AS end_y
+    FROM ended""")
+def action_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(events.action_stream(*_played(spark, sf_dir)), "start_x", "start_y", "end_x", "end_y")
+
+
+@query(f"WITH {_PLAYED}, {_CHANGES} SELECT match_id, frame, track_id AS from_track_id, to_track_id, team, type_name FROM changes")
+def played_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return possession.possession_changes(_played(spark, sf_dir)[0])
+
+
+@query(f"""
+    WITH {_PLAYED}, {_CHANGES}, passes AS (
+        SELECT match_id, track_id AS from_track_id, to_track_id, count(*) AS n_passes FROM changes WHERE type_name = 'pass' GROUP BY ALL
+    ), mean AS (SELECT match_id, track_id, avg(x_m) AS x, avg(y_m) AS y FROM {{play}} WHERE track_id >= 0 GROUP BY ALL)
+    SELECT p.*, round(f.x, 6) AS from_x, round(f.y, 6) AS from_y, round(t.x, 6) AS to_x, round(t.y, 6) AS to_y
+    FROM passes p LEFT JOIN mean f ON f.match_id = p.match_id AND f.track_id = from_track_id LEFT JOIN mean t ON t.match_id = p.match_id AND t.track_id = to_track_id""")
+def played_pass_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = possession.possession_changes(_played(spark, sf_dir)[0])
+    return _rounded(report.pass_network(changes, view(spark, sf_dir, "play")), "from_x", "from_y", "to_x", "to_y")
+
+
 @query("""
     SELECT match_id, coalesce(team, '(unassigned)') AS team, count(*) AS n_rows, count(DISTINCT track_id) AS n_tracks
     FROM {tracks_px} WHERE cls <> 'ball' GROUP BY match_id, team""")
@@ -383,6 +456,26 @@ def team_two_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     return team.team_centroids(team.track_chroma(_samples(spark, sf_dir)), 12.0)
 
 
+_KITS = """
+    kits AS (
+        SELECT concat('m', CAST(label AS varchar(20))) AS match_id, vec_id, CASE WHEN vec_id % 2 = 0 THEN 6e1 ELSE -6e1 END AS side,
+               CASE WHEN vec_id % 2 = 0 THEN 6e1 ELSE -6e1 END + 3 * CAST(embedding[1] AS double) AS a,
+               CASE WHEN vec_id % 23 = 0 THEN 4e1 ELSE 0e0 END + 3 * CAST(embedding[2] AS double) AS b FROM embeddings
+    )"""
+
+
+@query(f"""
+    WITH {_KITS} SELECT match_id, CAST(row_number() OVER (PARTITION BY match_id ORDER BY count(*) DESC, avg(a)) - 1 AS integer) AS cluster, round(avg(a), 6) AS a, round(avg(b), 6) AS b
+    FROM kits WHERE vec_id % 23 <> 0 GROUP BY match_id, side""")
+def team_peeled_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two-means where it is known: two clusters far apart, from which outliers are peeled."""
+    side = F.when(F.col("vec_id") % 2 == 0, 60.0).otherwise(-60.0)
+    off = F.when(F.col("vec_id") % 23 == 0, 40.0).otherwise(0.0)
+    part = [3 * F.get("embedding", F.lit(i)).cast("double") for i in (0, 1)]
+    kits = view(spark, sf_dir, "embeddings").select(F.concat(F.lit("m"), F.col("label")).alias("match_id"), F.col("vec_id").alias("track_id"), (side + part[0]).alias("a"), (off + part[1]).alias("b"))
+    return _rounded(team.team_centroids(kits, 25.0), "a", "b")
+
+
 _VOTES = """
     counts AS (
         SELECT match_id, track_id, number, count(*) AS n, min(seq) AS first FROM {readings} WHERE number IS NOT NULL GROUP BY ALL
@@ -454,6 +547,55 @@ def heatmap_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.heatmap(view(spark, sf_dir, "tracks_m"))
 
 
+_SIGMA = "greatest(sqrt(greatest((sum({0}_m * {0}_m) - sum({0}_m) * sum({0}_m) / CAST(count(*) AS double)) / greatest(count(*) - 1, 1), 0e0)) * power(count(*), -1e0 / 6e0), 125e-2) / 25e-1"
+_KERNEL = """
+    {a}_to AS (
+        SELECT *, unnest(range(greatest(0, {a}_bin - CAST(ceil(3 * s{a}) AS bigint)), least({n} - 1, {a}_bin + CAST(ceil(3 * s{a}) AS bigint)) + 1)) AS goes FROM {from_}
+    ), {a}_weighed AS (
+        SELECT *, exp(-power((goes - {a}_bin) / s{a}, 2) / 2) AS w FROM {a}_to
+    ), {a}_shared AS (
+        SELECT *, w / sum(w) OVER (PARTITION BY match_id, team, x_bin, y_bin) AS part FROM {a}_weighed
+    )"""
+
+
+@query(f"""
+    WITH wide AS (
+        SELECT match_id, team, {_SIGMA.format("x")} AS sx, {_SIGMA.format("y")} AS sy, count(*) AS n FROM {{tracks_m}} WHERE x_m IS NOT NULL AND y_m IS NOT NULL GROUP BY match_id, team
+    ), cells AS (
+        SELECT t.match_id, t.team, CAST(least(greatest(floor(x_m / 25e-1), 0), 41) AS bigint) AS x_bin, CAST(least(greatest(floor(y_m / 25e-1), 0), 27) AS bigint) AS y_bin,
+               count(*) / CAST(any_value(n) AS double) AS mass, any_value(sx) AS sx, any_value(sy) AS sy
+        FROM {{tracks_m}} t JOIN wide ON wide.match_id = t.match_id AND wide.team IS NOT DISTINCT FROM t.team WHERE x_m IS NOT NULL AND y_m IS NOT NULL GROUP BY 1, 2, 3, 4
+    ), {_KERNEL.format(a="x", n=42, from_="cells")}, along AS (
+        SELECT match_id, team, goes AS x_bin, y_bin, sum(mass * part) AS mass, any_value(sy) AS sy FROM x_shared GROUP BY match_id, team, goes, y_bin
+    ), {_KERNEL.format(a="y", n=28, from_="along")}
+    SELECT match_id, team, x_bin, goes AS y_bin, round(sum(mass * part) / 625e-2, 8) AS density FROM y_shared GROUP BY match_id, team, x_bin, goes""")
+def heatmap_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = report.kernel_heatmap(view(spark, sf_dir, "tracks_m"), bin_m=2.5)
+    return found.withColumn("density", F.round("density", 8))
+
+
+@query("""
+    WITH grid AS (
+        SELECT match_id, frame, row_number() OVER (PARTITION BY match_id ORDER BY frame) - 1 AS pos FROM (SELECT DISTINCT match_id, frame FROM {det})
+    ), seen AS (
+        SELECT l.match_id, l.frame, l.det_id, conf, pos FROM {lanes} l JOIN grid USING (match_id, frame)
+    ), gone AS (
+        SELECT *, CASE WHEN pos - lag(pos) OVER (PARTITION BY match_id, det_id ORDER BY pos) <= 3 THEN 0 ELSE 1 END AS new FROM seen
+    ), spell AS (
+        SELECT *, sum(new) OVER (PARTITION BY match_id, det_id ORDER BY pos) AS spell FROM gone
+    ), sure AS (
+        SELECT *, min(CASE WHEN conf >= 0.25 THEN pos END) OVER (PARTITION BY match_id, det_id, spell) AS began FROM spell
+    ), ids AS (
+        SELECT match_id, det_id, spell, row_number() OVER (PARTITION BY match_id ORDER BY began, det_id) AS track_id
+        FROM (SELECT DISTINCT match_id, det_id, spell, began FROM sure WHERE began IS NOT NULL)
+    )
+    SELECT match_id, frame, det_id, CASE WHEN pos >= began THEN track_id ELSE -1 END AS track_id FROM sure LEFT JOIN ids USING (match_id, det_id, spell)""")
+def track_lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Association where it is known: each lane's boxes are one track, until it is lost."""
+    grid = ball.processed_grid(view(spark, sf_dir, "det"))
+    return tracking.track(view(spark, sf_dir, "lanes"), grid, lost_frames=2).select("match_id", "frame", "det_id", "track_id")
+
+
 @query(f"""
     WITH {_SETTLED}, moved AS (
         SELECT *, lag(settled_track_id) OVER w AS from_track_id, lag(settled_team) OVER w AS from_team FROM settled WINDOW w AS (PARTITION BY match_id ORDER BY frame)
@@ -468,6 +610,51 @@ def pass_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(report.pass_network(changes, view(spark, sf_dir, "tracks_m")), "from_x", "from_y", "to_x", "to_y")
 
 
+_ZONE = "CASE WHEN {0}_x IS NOT NULL AND {0}_y IS NOT NULL THEN CAST(least(greatest(floor({0}_y / 85e-1), 0), 7) * 12 + least(greatest(floor({0}_x / 875e-2), 0), 11) AS bigint) END"
+_VALUES = f"""
+    act AS (
+        SELECT *, {_ZONE.format("start")} AS zone, {_ZONE.format("end")} AS to_zone, type_name = 'shot' AS shot, result_name = 'success' AS done
+        FROM {{moves}} WHERE type_name IN ('shot', 'pass')
+    ), made AS (
+        SELECT zone, count(*) AS n, count(*) FILTER (WHERE shot AND done) AS goals FROM act GROUP BY zone
+    ), zones AS (
+        SELECT unnest(range(0, 96)) AS zone
+    ), step AS (
+        SELECT zone, to_zone, count(*) / CAST(any_value(n) AS double) AS p FROM act JOIN made USING (zone) WHERE NOT shot AND done AND to_zone IS NOT NULL GROUP BY zone, to_zone
+        UNION ALL SELECT zone, zone, 0 FROM zones
+    ), worth AS (
+        SELECT zone, coalesce(goals / CAST(n AS double), 0) AS now FROM zones LEFT JOIN made USING (zone)
+    ), turn AS (
+        SELECT zone, 0 AS turn, CAST(0 AS double) AS value FROM zones
+        UNION ALL
+        SELECT s.zone, any_value(t.turn) + 1, any_value(w.now) + sum(s.p * t.value) FROM turn t JOIN step s ON s.to_zone = t.zone JOIN worth w ON w.zone = s.zone WHERE t.turn < 20 GROUP BY s.zone
+    ), valued AS (
+        SELECT zone, value FROM turn WHERE turn = 20
+    )"""
+
+
+def _zone_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = value.zone_counts(view(spark, sf_dir, "moves"))
+    return value.value_table(spark, value.zone_values(counts, rounds=20))
+
+
+@query(f"WITH RECURSIVE {_VALUES} SELECT zone, CAST(zone % 12 AS integer) AS zone_x, CAST(zone // 12 AS integer) AS zone_y, round(value, 6) AS value FROM valued")
+def zone_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(_zone_values(spark, sf_dir), "value")
+
+
+@query(f"""
+    WITH RECURSIVE {_VALUES}, won AS (
+        SELECT m.*, CASE WHEN type_name = 'shot' THEN CASE WHEN result_name = 'success' THEN 1 ELSE 0 END
+                         WHEN type_name = 'pass' THEN CASE WHEN result_name = 'success' THEN coalesce(e.value, 0) ELSE 0 END END - s.value AS action_value
+        FROM {{moves}} m LEFT JOIN valued s ON s.zone = {_ZONE.format("start")} LEFT JOIN valued e ON e.zone = {_ZONE.format("end")}
+    )
+    SELECT team_no, type_name, result_name, count(*) AS n_actions, count(action_value) AS n_valued, round(sum(action_value), 5) AS total_value FROM won GROUP BY ALL""")
+def action_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    valued = value.value_actions(view(spark, sf_dir, "moves"), _zone_values(spark, sf_dir))
+    return valued.groupBy("team_no", "type_name", "result_name").agg(F.count(F.lit(1)).alias("n_actions"), F.count("action_value").alias("n_valued"), F.round(F.sum("action_value"), 5).alias("total_value"))
+
+
 @query("""
     SELECT match_id, n_tracks, coalesce(round_even(n_tracked / CAST(nullif(n_trackable, 0) AS double), 3), 0) AS tracked_fraction,
            coalesce(round_even(n_tracked / CAST(nullif(n_tracks, 0) AS double), 1), 0) AS mean_track_len

@@ -45,11 +45,43 @@ VIEWS = {
                ({_H[0]}e0 * {_X} + {_H[1]}e0 * {_Y} + {_H[2]}e0) / {_W} AS x_m,
                ({_H[3]}e0 * {_X} + {_H[4]}e0 * {_Y} + {_H[5]}e0) / {_W} AS y_m
         FROM {{tracks_px}}""",
+    # A game of short spells: the ball stays with a player for seven frames, then rolls to the
+    # next one's spot, near by three times and far the fourth.
+    "play": """
+        SELECT match_id, frame, det_id, CASE WHEN det_id = 0 THEN 'ball' ELSE 'player' END AS cls, frame / 25e0 AS t_s, track_id,
+               CASE WHEN det_id > 0 THEN CASE WHEN track_id < 11 THEN 'home' ELSE 'away' END END AS team, concat('p', CAST(track_id AS varchar(20))) AS player, conf,
+               CASE WHEN det_id = 0 THEN x0 + roll * (x1 - x0) WHEN det_id = 1 THEN x0 + away ELSE x0 + 9 + det_id END AS x_m,
+               CASE WHEN det_id = 0 THEN y0 + roll * (y1 - y0) WHEN det_id = 1 THEN y0 ELSE y0 + det_id END AS y_m
+        FROM (
+            SELECT match_id, frame, det_id, conf,
+                   CASE WHEN det_id = 0 THEN CAST(-1 AS bigint) ELSE (spell * spell * 3 + spell * 5 + det_id * 5) % 22 END AS track_id,
+                   CASE WHEN frame % 10 > 6 THEN (frame % 10 - 6) / 4e0 ELSE 0e0 END AS roll,
+                   CASE WHEN user_id % 7 = 0 THEN 5e0 ELSE (user_id % 5 - 2) * 3e-1 END AS away,
+                   8e0 + CAST(floor(spell / 4e0) AS bigint) * 37 % 80 + spell % 4 * 15e-1 AS x0, 6e0 + CAST(floor(spell / 4e0) AS bigint) * 23 % 56 AS y0,
+                   8e0 + CAST(floor((spell + 1) / 4e0) AS bigint) * 37 % 80 + (spell + 1) % 4 * 15e-1 AS x1,
+                   6e0 + CAST(floor((spell + 1) / 4e0) AS bigint) * 23 % 56 AS y1
+            FROM (SELECT *, CAST(floor(frame / 10e0) AS bigint) AS spell FROM {det})
+        )""",
+    # Players that stay in lanes of their own, each seen in one frame of three.
+    "lanes": """
+        SELECT match_id, frame, det_id, 'player' AS cls, CASE WHEN user_id % 4 = 0 THEN 2e-1 ELSE 9e-1 END AS conf,
+               det_id * 2e2 + user_id % 5 % 3 AS x1, 3e2 AS y1, det_id * 2e2 + user_id % 5 % 3 + 40 AS x2, 4e2 AS y2
+        FROM {det} WHERE user_id % 3 = 0""",
     "shots": """
         SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
                54e0 + l_quantity * 1.02e0 AS start_x, 14e0 + l_discount * 4e2 AS start_y,
                CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS is_goal
         FROM {lineitem}""",
+    # Actions that go towards x = 105.
+    "moves": """
+        SELECT l_orderkey, l_linenumber, l_suppkey % 7 AS team_no, start_x, start_y, end_y,
+               CASE WHEN start_x > 80 AND l_returnflag = 'R' THEN 'shot' WHEN l_returnflag = 'A' AND l_linenumber = 7 THEN 'foul' ELSE 'pass' END AS type_name,
+               CASE WHEN l_linestatus = 'F' THEN 'success' ELSE 'fail' END AS result_name,
+               CASE WHEN l_linenumber < 6 OR start_x > 80 THEN start_x + l_quantity * 4e-1 END AS end_x
+        FROM (
+            SELECT *, CAST((l_orderkey * 7 + l_linenumber * 13) % 105 AS double) AS start_x,
+                   CAST(l_partkey * 3 % 68 AS double) AS start_y, CAST(l_suppkey * 5 % 68 AS double) AS end_y FROM {lineitem}
+        )""",
     "readings": """
         SELECT concat('m', CAST(user_id % 7 AS varchar(20))) AS match_id, user_id AS track_id, event_id AS seq,
                CASE WHEN event_type <> 'error' THEN CAST(floor(value) AS bigint) % 3 END AS number

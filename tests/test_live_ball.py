@@ -1,0 +1,61 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from pitchlake.operators import ball
+from pitchlake.streaming.live_ball import live_speed_gate
+
+DET = "match_id string, frame long, det_id long, cls string, conf double, x1 double, y1 double, x2 double, y2 double"
+
+
+def detections(seed):
+    """Balls of two matches that mostly roll, with jumps, rivals in one frame, and pauses."""
+    rng = random.Random(seed)
+    rows = []
+    for match in ("a", "b"):
+        frame, x = 0, 300.0
+        for _ in range(120):
+            frame += rng.choice([1, 1, 1, 1, 2, 3, 26, 40])
+            x += rng.uniform(-20, 20)
+            for det in range(rng.choice([1, 1, 2, 3])):
+                far = rng.random() < 0.25
+                px = rng.uniform(0, 1200) if far else x
+                rows.append((match, frame, det, "ball", rng.choice([0.4, 0.6, 0.6, 0.9]), px, 100.0, px + 10, 110.0))
+            rows.append((match, frame, 9, "player", 0.9, 1.0, 1.0, 20.0, 60.0))
+    return sorted(rows, key=lambda r: (r[1], r[0], r[2]))
+
+
+def streamed(spark, path, rows, cuts):
+    """The gate's output over rows in micro-batches that end at cuts, and a last row long after."""
+    schema = spark.createDataFrame([], DET).schema
+    ends = [*sorted(cuts), len(rows)]
+    end = [("end", 100_000 + f, 0, "ball", 0.9, 1.0, 1.0, 2.0, 2.0) for f in (0, 1000)]
+    parts = [rows[b:e] for b, e in zip([0, *ends], ends, strict=False)] + [end[:1], end[1:]]
+    query = None
+    for i, part in enumerate(parts):
+        if part:
+            spark.createDataFrame(part, DET).coalesce(1).write.mode("append").parquet(f"{path}/in")
+        source = spark.readStream.schema(schema).parquet(f"{path}/in")
+        query = live_speed_gate(source, 25.0, 800.0).writeStream.format("parquet").outputMode("append").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
+        query.awaitTermination(120)
+        assert query.exception() is None and not query.isActive
+    return sorted(tuple(r) for r in spark.read.parquet(f"{path}/out").where("match_id <> 'end'").collect())
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_the_stream_equals_the_table_wherever_it_is_cut(spark, tmp_path, seed):
+    rows = detections(seed)
+    table = spark.createDataFrame(rows, DET)
+    want = sorted(tuple(r) for r in ball.speed_gate(ball.best_candidates(table), 25.0, 800.0).collect())
+    cuts = random.Random(seed).sample(range(1, len(rows)), 3)
+    found = streamed(spark, f"file://{tmp_path}", rows, cuts)
+    assert found == want and 0.3 < sum(r[-1] for r in found) / len(found) < 1
+
+
+def test_balls_of_judged_frames_are_too_late(spark, tmp_path):
+    rows = [("a", f, 0, "ball", 0.5, 10.0 + f, 1.0, 12.0 + f, 3.0) for f in (1, 2, 3)]
+    late = [("a", 2, 1, "ball", 0.9, 500.0, 1.0, 502.0, 3.0), ("a", 3, 1, "ball", 0.9, 14.0, 1.0, 16.0, 3.0)]
+    found = streamed(spark, f"file://{tmp_path}", rows + late, [3])
+    assert [(r[1], r[2]) for r in found] == [(1, 12.0), (2, 13.0), (3, 15.0)]

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from .shared import SPACES, materialize, salt_bit, salt_of, spread_over_salts
 
@@ -77,16 +78,28 @@ def exact_groups(
     )
 
 
+def _in_order(docs: DataFrame) -> Column:
+    """A row's columns in their order, to compare rows by; maps, which have no order, as JSON."""
+
+    def orderable(kind: DataType) -> bool:
+        return "map<" not in kind.simpleString() and "variant" not in kind.simpleString()
+
+    return F.struct(*(F.col(f"`{f.name}`") if orderable(f.dataType) else F.to_json(F.struct(F.col(f"`{f.name}`"))) for f in docs.schema))
+
+
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that exact_groups keeps, with all their columns, whatever their names.
 
-    Of rows that repeat an id and text, which are combined before they are shuffled, one
-    stays. Null ids, null, empty and very long texts: see exact_groups. An empty table gives
-    no rows. Texts are shuffled once here; what is kept is known by id and digest.
+    Of rows that repeat an id and text, which are combined before they are shuffled, the
+    least one stays: by its first column, then the second and so on, nulls before values. So
+    what stays does not depend on the order of rows. Null ids, null, empty and very long
+    texts: see exact_groups. An empty table gives no rows. Texts are shuffled once here; what
+    is kept is known by id and digest.
     """
     sha = F.hex(F.unhex(F.sha2(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), SPACES, " "), 256)))
-    one = docs.select(F.struct("*").alias("doc"), F.concat_ws(" ", sha, F.col(id_col).cast("string")).alias("pick"))
-    one = one.groupBy("pick").agg(F.first("doc").alias("doc"))
+    one = docs.select(F.struct("*").alias("doc"), _in_order(docs).alias("place"), F.concat_ws(" ", sha, F.col(id_col).cast("string")).alias("pick"))
+    least = F.min("doc") if one.schema["doc"].dataType == one.schema["place"].dataType else F.min_by("doc", "place")
+    one = one.groupBy("pick").agg(least.alias("doc"))
     kept = exact_groups(docs, id_col, text_col).where("kept")
     kept = kept.select(F.concat_ws(" ", F.upper("text_sha256"), F.col("doc_id").cast("string")).alias("pick"))
     return one.join(kept, "pick", "left_semi").select("doc.*")

@@ -7,9 +7,10 @@ import corpus_pipeline
 import pytest
 
 import __spark_entry__
-from pitchlake.llm.quality import quality_scores
+from pitchlake.llm.quality import accepted_documents, quality_scores
 from pitchlake.llm.queries import ORACLES, QUERIES
 
+from .conftest import awkward_rows
 from .test_dedup import near_by_hand
 from .test_shards_and_mixes import n_words, targets
 from .test_tokens import check_packing
@@ -61,11 +62,39 @@ def test_each_stage_equals_brute_force_on_its_input(spark, stages):
 
 
 def test_run_is_its_stages(spark, stages):
-    a, b = (sorted((r.doc_id, r.start, r.length, r.ids_crc32) for r in x.collect()) for x in (corpus_pipeline.run(spark, SF), stages[-1][2]))
-    assert sum(n for _, _, n, _ in a) == sum(n for _, _, n, _ in b) and {r[0] for r in a} == {r[0] for r in b}
+    pieces, mixed = corpus_pipeline.run(spark, SF).collect(), stages[-1][1].collect()
+    assert Counter((r.doc_id, r.doc_tokens) for r in pieces if r.start == 0) == Counter((r.doc_id, r.doc_tokens) for r in stages[-1][2].collect() if r.start == 0)
+    check_packing(pieces, [(r.doc_id, r.text) for r in mixed], 2048)
+
+
+def _folder(spark, tmp_path, docs, labels):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    spark.createDataFrame(docs, schema).repartition(3).write.parquet(f"file://{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"file://{tmp_path}/labels.parquet")
+    return f"file://{tmp_path}"
+
+
+def test_awkward_tables_run_to_the_end(spark, tmp_path):
+    docs = [(r[0], r[1], r[2], r[3], r[4]) for r in awkward_rows()]
+    pieces = corpus_pipeline.run(spark, _folder(spark, tmp_path, docs, [])).collect()
+    kept = {r.doc_id for r in pieces}
+    # 2 and 3 are near 1, and 12 near 11; 15 copies 14; 6, 7 and 8 have no words; a row without an id has the text of 1.
+    assert kept == {-3, 1, 4, 5, 9, 11, 13, 14}
+    check_packing(pieces, [(i, next(d[1] for d in docs if d[0] == i)) for r in pieces if r.start == 0 for i in [r.doc_id]], 2048)
+
+
+def test_empty_tables_run_to_the_end(spark, tmp_path):
+    assert corpus_pipeline.run(spark, _folder(spark, tmp_path, [], [(1, 1, 0)])).collect() == []
+
+
+def test_accepted_documents_of_empty_and_clashing_tables(spark, awkward, nothing):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    assert accepted_documents(nothing, labels).collect() == []
+    kept = accepted_documents(awkward, labels)
+    assert kept.columns == awkward.columns and 0 < kept.count() < awkward.count() and {r.score for r in kept.collect()} == {"score"}
 
 
 def test_everything_is_registered():
     registered, oracles = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     assert {*QUERIES, "pipeline"} <= set(registered) and set(ORACLES) <= set(oracles) <= set(registered)
-    assert [sum(q.startswith(f"op{n}_") for q in registered) for n in range(1, 11)] == [1] * 10
+    assert [sum(q.startswith(f"op{n}_") for q in registered) for n in range(1, 14)] == [1] * 13

@@ -8,6 +8,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from .shared import gram_hashes, materialize, pieces, salt_bit, salt_of, small_b
 #: the longer grams, its second minimiser.
 WINDOW, GRAM, LONG_GRAM = 50, 10, 30
 #: Super-k-mers that one bucket sorts. Fuller buckets are split by the second minimiser, and
-#: what is still fuller by the window itself.
+#: what is still fuller, of different strings, by windows' digests.
 BUCKET_ROWS = 2000
 SALTS = 32
 
@@ -77,7 +78,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The words of each wanted super-k-mer as one string. Those of full buckets are parted
     where the second minimiser, key2, changes."""
     for batch in batches:
-        out = {"key": [], "key2": [], "doc_id": [], "text_key": [], "start": [], "packed": []}
+        out = {"key": [], "key2": [], "doc_id": [], "text_key": [], "start": [], "n": [], "packed": []}
         rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist(), texts_of(batch), strict=True)
         for doc, text_key, runs, text in rows:
             words = text.split()
@@ -94,8 +95,10 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     out["doc_id"].append(doc)
                     out["text_key"].append(text_key)
                     out["start"].append(begin + at)
+                    out["n"].append(length)
                     out["packed"].append(b" ".join(words[begin + at : begin + at + length + WINDOW - 1]))
-        kinds = {"start": pa.int32(), "packed": pa.binary()}
+        out["digest"] = list(map(xxhash.xxh3_128_digest, out["packed"]))
+        kinds = {"start": pa.int32(), "n": pa.int32(), "packed": pa.binary(), "digest": pa.binary()}
         yield pa.RecordBatch.from_pydict({k: pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items()})
 
 
@@ -148,18 +151,18 @@ def _removals(rows: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=list(names))
 
 
-def _split_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per window of rows (doc_id, text_key, start, packed, ...)."""
+def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The digest of each window of rows (doc_id, text_key, start, packed, ...)."""
     for batch in batches:
-        ids, keys, starts, words = [], [], [], []
+        ids, keys, starts, digests = [], [], [], []
         for doc, text_key, start, packed in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
             found = windows(packed)
-            words += found
+            digests += map(xxhash.xxh3_128_digest, found)
             starts += range(start, start + len(found))
             ids += [doc] * len(found)
             keys += [text_key] * len(found)
         yield pa.RecordBatch.from_pydict(
-            {"doc_id": pa.array(ids, pa.int64()), "text_key": pa.array(keys, pa.int64()), "start": pa.array(starts, pa.int32()), "window": pa.array(words, pa.binary())}
+            {"doc_id": pa.array(ids, pa.int64()), "text_key": pa.array(keys, pa.int64()), "start": pa.array(starts, pa.int32()), "window": pa.array(digests, pa.binary())}
         )
 
 
@@ -200,6 +203,40 @@ def _met(rows: DataFrame, keys: list[str]) -> DataFrame:
     return salted.join(spread_over_salts(known, SALTS), [*keys, "salt"]).drop("salt")
 
 
+def _sorted_windows(rows: DataFrame) -> DataFrame:
+    dealt = rows.repartition("key", "key2").sortWithinPartitions("key", "key2", "doc_id")
+    return dealt.mapInArrow(_counted, f"{_PLACE}, start int, n int")
+
+
+def _of_full_buckets(parts: DataFrame, bucket_rows: int) -> DataFrame:
+    """What goes of the super-k-mers of full buckets, from their parts.
+
+    Equal parts are combined by digest before they are shuffled, salted by document: a
+    passage of very many documents is the same few strings again and again. All documents of
+    a string but its first one lose all its windows. The first may lose windows to other
+    strings of the bucket, so distinct strings are sorted by windows as those of first
+    documents; where still more than bucket_rows of them meet, as around a passage whose
+    neighbours differ, windows meet by 128-bit digests.
+    """
+    place, string = ["doc_id", "text_key"], ["key", "key2", "digest"]
+    salted = parts.withColumn("salt", salt_of("doc_id", SALTS))
+    some = salted.groupBy(*string, "salt").agg(F.min("doc_id").alias("low"), F.min("packed").alias("packed"))
+    strings = some.groupBy(*string).agg(F.min("low").alias("low"), F.min("packed").alias("packed"), F.sum(salt_bit()).alias("salt_bits"))
+    strings = materialize(strings.withColumn("string", F.monotonically_increasing_id()), "passage-strings")
+    row = [*place, "start", "packed", "key", "key2"]
+    as_rows = strings.select(F.col("low").alias("doc_id"), F.col("string").alias("text_key"), F.lit(0).alias("start"), "packed", "key", "key2")
+    meeting = materialize(_met(as_rows, ["key", "key2"]).select(*row, "rows"), "passage-meeting")
+    lost = _sorted_windows(meeting.where(F.col("rows") <= bucket_rows).select(*row))
+    single = meeting.where(F.col("rows") > bucket_rows).select(*row).mapInArrow(_digested, f"{_PLACE}, start int, window binary")
+    later = _met(materialize(single, "passage-windows"), ["window"]).where("doc_id > low").select(*place, "start", F.lit(1).alias("n"))
+    lost = lost.unionByName(later).select(F.col("text_key").alias("string"), F.col("start").alias("skip"), F.col("n").alias("gone"))
+    known = spread_over_salts(strings.drop("packed"), SALTS)
+    placed = materialize(salted.drop("packed").join(known, [*string, "salt"]).select(*place, "start", "n", "low", "string"), "passage-placed")
+    whole = placed.where("doc_id > low").select(*place, "start", "n")
+    first = placed.where("doc_id = low").join(lost, "string").select(*place, (F.col("start") + F.col("skip")).alias("start"), F.col("gone").alias("n"))
+    return whole.unionByName(first)
+
+
 def _removed(docs: DataFrame, id_col: str, text_col: str, bucket_rows: int) -> tuple[DataFrame, DataFrame]:
     """All documents (doc_id, text_key, n_words, sha), and what is left of those that lose words."""
     small_batches(docs.sparkSession)
@@ -217,16 +254,11 @@ def _removed(docs: DataFrame, id_col: str, text_col: str, bucket_rows: int) -> t
 
     def packed(full: bool) -> DataFrame:
         some = chosen.withColumn("runs", F.filter("runs", lambda r: r["full"] == F.lit(full))).where(F.size("runs") > 0)
-        return some.mapInArrow(_packed, f"key long, key2 long, {_PLACE}, start int, packed binary")
+        return some.mapInArrow(_packed, f"key long, key2 long, {_PLACE}, start int, n int, packed binary, digest binary")
 
-    row = [*place, "start", "packed", "key", "key2"]
-    parted = materialize(_met(materialize(packed(True), "passage-parts"), ["key", "key2"]).select(*row, "rows"), "passage-parted")
-    bucketed = packed(False).select(*row).unionByName(parted.where(F.col("rows") <= bucket_rows).select(*row))
-    bucketed = bucketed.repartition("key", "key2").sortWithinPartitions("key", "key2", "doc_id")
-    gone = bucketed.mapInArrow(_counted, f"{_PLACE}, start int, n int")
-    single = parted.where(F.col("rows") > bucket_rows).select(*row).mapInArrow(_split_windows, f"{_PLACE}, start int, window binary")
-    later = _met(materialize(single, "passage-windows"), ["window"]).where("doc_id > low").select(*place, "start", F.lit(1).alias("n"))
-    gone = gone.unionByName(later).groupBy(*place).agg(F.collect_list(F.struct("start", "n")).alias("gone"))
+    gone = _sorted_windows(packed(False).select(*place, "start", "packed", "key", "key2"))
+    gone = gone.unionByName(_of_full_buckets(materialize(packed(True), "passage-parts"), bucket_rows))
+    gone = gone.groupBy(*place).agg(F.collect_list(F.struct("start", "n")).alias("gone"))
     losing = chosen.select(*place, "text").join(gone, place).select(*place, "text", "gone")
     cut = losing.mapInArrow(_cut, f"{_PLACE}, n_removed long, kept_sha binary, kept_text string")
     return marked.select(*place, "n_words", "sha"), cut
@@ -247,10 +279,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     minimisers, so only super-k-mers whose minimiser occurs in two documents travel, each as
     one packed string, to its minimiser's bucket, where windows are sorted and counted by
     their words. A bucket of more than bucket_rows super-k-mers is split by a second
-    minimiser, of longer grams: its super-k-mers are parted where that changes, and those
-    parts whose two minimisers are in one document only go no further. Where such a bucket
-    is too full again, as by a passage of very many documents, the parts are single windows,
-    combined by their words before they are shuffled.
+    minimiser, of longer grams: its super-k-mers are parted where that changes, and equal
+    parts are combined before they are shuffled, so that a passage of very many documents
+    travels as often as it differs (see _of_full_buckets).
     """
     marked, cut = _removed(docs, id_col, text_col, bucket_rows)
     found = marked.join(cut.drop("kept_text"), ["doc_id", "text_key"], "left")

@@ -5,11 +5,12 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from .config import resolve
 from .operators.calibrate import WARN_M, solve_homography
 from .sources import files
-from .sources.recordings import frames_of, probe_recording, read_recordings
+from .sources.recordings import cameras_of, frames_of, probe_recording, read_recordings
 
 
 def parser() -> argparse.ArgumentParser:
@@ -21,12 +22,12 @@ def parser() -> argparse.ArgumentParser:
     source.add_argument("--raw", help="a parquet table of a model's raw output")
     for name, what in (("frames", "(match_id, frame) of all frames of the recordings"), ("readings", "shirt numbers read"), ("chroma", "colours of boxes")):
         run.add_argument(f"--{name}", help=f"a parquet table of {what}")
-    run.add_argument("--images", help="a folder of the frames as images, for colours")
-    run.add_argument("--recording", help="an MP4 or AVI file, for rate, size and frames")
+    run.add_argument("--images", help="a folder of the frames as images, for colours; with several matches, of a folder for each")
+    run.add_argument("--recording", help="an MP4 or AVI file, for rate, size and frames; or a folder of such files, named by their matches")
     run.add_argument("--fps", type=float, help="25 unless --recording tells")
     run.add_argument("--width", type=float, help="of the images in pixels; 1280 unless --images tells")
     run.add_argument("--config", required=True)
-    run.add_argument("--match")
+    run.add_argument("--match", action="append", help="a match's file; several for several matches")
     run.add_argument("--out", default="outputs")
     run.add_argument("--max-frames", type=int)
     inspect = commands.add_parser("inspect", help="count a detections table's frames and boxes")
@@ -76,14 +77,27 @@ def main(args: list[str] | None = None) -> int:
         if a.max_frames is not None:
             config["io"] = {**config.section("io"), "max_frames": a.max_frames}
         tables = {name: spark.read.parquet(path) if path else None for name, path in vars(a).items() if name in ("detections", "raw", "frames", "readings", "chroma")}
-        meta = probe_recording(spark, a.recording, config.match_id) if a.recording else files.probe_frames(spark, a.images) if a.images else {}
-        images = files.read_frames(spark, a.images, config.match_id) if a.images else None
-        frames = tables["frames"]
-        if frames is None and a.recording:
-            frames = frames_of(spark.createDataFrame([(config.match_id, meta["n_frames"])], "match_id string, n_frames long"))
+        many = bool(config.get("matches"))
+        recordings = read_recordings(spark, a.recording) if a.recording and many else None
+        meta = {}
+        if a.recording and not many:
+            meta = probe_recording(spark, a.recording, config.match_id)
+            recordings = spark.createDataFrame([(config.match_id, meta["n_frames"])], "match_id string, n_frames long")
+        elif a.images and not many:
+            meta = files.probe_frames(spark, a.images)
         inputs = Inputs(
-            tables["detections"], chroma_samples=tables["chroma"], readings=tables["readings"], fps=a.fps or meta.get("fps") or 25.0, image_width=float(a.width or meta.get("width") or 1280), frames_read=frames, raw=tables["raw"], images=images
+            tables["detections"],
+            chroma_samples=tables["chroma"],
+            readings=tables["readings"],
+            fps=a.fps or meta.get("fps") or 25.0,
+            image_width=float(a.width or meta.get("width") or 1280),
+            frames_read=tables["frames"] if tables["frames"] is not None or recordings is None else frames_of(recordings),
+            raw=tables["raw"],
+            images=files.read_frames(spark, a.images, None if many else config.match_id) if a.images else None,
+            matches=cameras_of(recordings) if many and recordings is not None else None,
         )
+        if a.images and not many and tables["detections"] is not None and tables["detections"].where(F.col("match_id") == config.match_id).isEmpty():
+            raise ValueError(f"images are of the match {config.match_id!r}, which the detections don't have")
         print(execute(config, inputs, a.out).outputs)
     return 0
 

@@ -40,6 +40,12 @@ def box_centre() -> tuple[Column, Column]:
     return (F.col("x1") + F.col("x2")) / 2, (F.col("y1") + F.col("y2")) / 2
 
 
+def matrix_of(h: str, otherwise: Sequence[Sequence[float]] | None = None) -> list[list[Column]]:
+    """The homography in an array column of 9 numbers by rows; where it is null, another."""
+    other = [F.lit(float(v)) for row in otherwise for v in row] if otherwise is not None else [F.lit(None).cast("double")] * 9
+    return [[F.when(F.col(h).isNull(), other[3 * i + j]).otherwise(F.get(h, F.lit(3 * i + j))) for j in range(3)] for i in range(3)]
+
+
 def project(x: Column, y: Column, h: Sequence[Sequence[float]] | Sequence[Sequence[Column]]) -> tuple[Column, Column]:
     """A point through a homography of numbers or columns; null on the horizon."""
     row = [[v if isinstance(v, Column) else F.lit(float(v)) for v in r] for r in h]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import with_nulls
-from ..functions.geometry import ground_point, on_pitch, project, seconds
+from ..functions.geometry import ground_point, matrix_of, on_pitch, project, rate, seconds
 
 INLIER_M, WARN_M, WARN_ON_PITCH = 1.0, 2.0, 0.9
 #: Fours of landmark pairs that are tried: all those of up to 20 pairs, and as many drawn
@@ -108,14 +108,15 @@ def calibrate(tracks_px: DataFrame, fps: float | None = 25.0, homography: Sequen
     return filled.withColumns({"t_s": seconds(F.col("frame"), fps), "x_m": x, "y_m": y})
 
 
-def calibrate_matches(tracks_px: DataFrame, homographies: DataFrame, fps: float | None = 25.0) -> DataFrame:
-    """As calibrate, for many matches: homographies is (match_id, h array<double> of 9 by
-    rows), one row a match. Matches without a row stay without metres."""
+def calibrate_matches(tracks_px: DataFrame, cameras: DataFrame, fps: float | None = 25.0, homography: Sequence[Sequence[float]] | None = None) -> DataFrame:
+    """As calibrate, for many matches: cameras is (match_id, fps, h array<double> of 9 by rows),
+    one row a match. What is null there, and matches without a row, take the other
+    arguments; matches without any homography stay without metres."""
     filled = with_nulls(tracks_px, team="string", shirt="short", player="string", speed_ms="double")
-    joined = filled.join(homographies.select("match_id", F.col("h").alias("__h")), "match_id", "left")
-    rows = [[F.get("__h", F.lit(3 * i + j)) for j in range(3)] for i in range(3)]
-    x, y = project(*ground_point(), rows)
-    return joined.withColumns({"t_s": seconds(F.col("frame"), fps), "x_m": x, "y_m": y}).drop("__h")
+    own = cameras.select("match_id", F.nullif(F.col("fps").cast("double"), F.lit(0.0)).alias("__fps"), F.col("h").alias("__h"))
+    x, y = project(*ground_point(), matrix_of("__h", homography))
+    t_s = seconds(F.col("frame"), F.coalesce("__fps", rate(fps)))
+    return filled.join(own, "match_id", "left").withColumns({"t_s": t_s, "x_m": x, "y_m": y}).drop("__fps", "__h")
 
 
 def fraction_on_pitch(tracks_m: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..contracts import empty, enforce
-from ..functions.geometry import GOAL_WIDTH_M, GOAL_Y_M, PITCH_LENGTH_M, seconds
+from ..functions.geometry import GOAL_WIDTH_M, GOAL_Y_M, PITCH_LENGTH_M, rate, seconds
 from .asof import as_of
 from .possession import possession_changes
 
@@ -75,7 +75,7 @@ def _kind_of_spike() -> Column:
     return F.when(F.coalesce(goal, F.lit(False)), "shot").otherwise("clearance")
 
 
-def action_stream(settled: DataFrame, ball: DataFrame, fps: float | Column = 25.0, least_ms: float = SPIKE_MS, within_s: float = SPIKE_S) -> DataFrame:
+def action_stream(settled: DataFrame, ball: DataFrame, fps: float | None = 25.0, least_ms: float = SPIKE_MS, within_s: float = SPIKE_S, cameras: DataFrame | None = None) -> DataFrame:
     """Actions of settled possession (see possession.settled_possession) and a ball table with
     speed_ms: match_id, frame, t_s, track_id, team, type_name, result_name, start_x, start_y,
     end_x, end_y.
@@ -89,8 +89,16 @@ def action_stream(settled: DataFrame, ball: DataFrame, fps: float | Column = 25.
 
     Positions are the ball's: at the start the last one known up to the frame that the
     possessor is last seen with (a spike: the frame before it), at the end the first one known
-    from the frame on where the action ends. Unknown ones are null.
+    from the frame on where the action ends. Unknown ones are null. cameras (match_id, fps)
+    has the rates of matches that differ from fps.
     """
+
+    def in_seconds(rows: DataFrame, frames: Column, name: str) -> DataFrame:
+        if cameras is None:
+            return rows.withColumn(name, seconds(frames, fps))
+        own = cameras.select("match_id", F.nullif(F.col("fps").cast("double"), F.lit(0.0)).alias("__fps"))
+        return rows.join(own, "match_id", "left").withColumn(name, seconds(frames, F.coalesce("__fps", rate(fps)))).drop("__fps")
+
     order = Window.partitionBy("match_id").orderBy("frame")
     before = settled.select("match_id", "frame", F.lag("frame").over(order).alias("from_frame"))
     changes = possession_changes(settled).join(before, ["match_id", "frame"])
@@ -100,8 +108,8 @@ def action_stream(settled: DataFrame, ball: DataFrame, fps: float | Column = 25.
     spikes = as_of(spikes, holders, F.col("frame") - 1, "frame", "holder", ["track_id", "team"])
     spikes = as_of(spikes, changes.withColumn("at", F.col("frame")), F.col("frame"), "frame", "next", ["at", "type_name"], after=True)
     first = F.row_number().over(Window.partitionBy("match_id", "next.at").orderBy("frame"))
-    late = seconds(F.col("next.at") - F.col("frame"), fps) > within_s
-    spikes = spikes.withColumn("n", first).withColumn("next", F.when(~late, F.col("next"))).where("n = 1 and (next is null or next.type_name <> 'pass')")
+    spikes = in_seconds(spikes.withColumn("n", first), F.col("next.at") - F.col("frame"), "wait")
+    spikes = spikes.withColumn("next", F.when(F.col("wait") <= within_s, F.col("next"))).where("n = 1 and (next is null or next.type_name <> 'pass')")
     ended = spikes.where("next is not null").select("match_id", F.col("next.at").alias("frame"))
     kept = changes.join(ended, ["match_id", "frame"], "left_anti")
     done = F.when(F.col("type_name") == "pass", "success").otherwise("fail")
@@ -115,11 +123,12 @@ def action_stream(settled: DataFrame, ball: DataFrame, fps: float | Column = 25.
     both = as_of(both, known, F.col("from_frame"), "frame", "start", ["x_m", "y_m"])
     both = as_of(both, known, F.col("frame"), "frame", "spike", ["x_m", "y_m"])
     both = as_of(both, known, F.col("to_frame"), "frame", "end", ["x_m", "y_m"], after=True)
+    both = in_seconds(both, F.col("frame"), "t_s")
     places = {f"{end}_{c}": F.col(f"{end}.{c}_m") for end in ("start", "end") for c in ("x", "y")}
     return both.select(
         "match_id",
         "frame",
-        seconds(F.col("frame"), fps).alias("t_s"),
+        "t_s",
         "track_id",
         "team",
         F.coalesce("type_name", _kind_of_spike()).alias("type_name"),
@@ -128,10 +137,11 @@ def action_stream(settled: DataFrame, ball: DataFrame, fps: float | Column = 25.
     )
 
 
-def from_tracking(tracks: DataFrame, settled: DataFrame, ball: DataFrame, fps: float | Column = 25.0) -> DataFrame:
+def from_tracking(tracks: DataFrame, settled: DataFrame, ball: DataFrame, fps: float | None = 25.0, cameras: DataFrame | None = None) -> DataFrame:
     """The events table of action_stream, with players where tracks (match_id, track_id, player)
-    name them. Period and body part are not known from tracking."""
+    name them. Period and body part are not known from tracking. cameras (match_id, fps) has
+    the rates of matches that differ from fps."""
     names = tracks.where("track_id >= 0").groupBy("match_id", "track_id").agg(F.max("player").alias("player"))
-    actions = action_stream(settled, ball, fps).join(names, ["match_id", "track_id"], "left")
+    actions = action_stream(settled, ball, fps, cameras=cameras).join(names, ["match_id", "track_id"], "left")
     unknown = {"period": F.lit(None).cast("byte"), "bodypart_name": F.lit(None).cast("string")}
     return map_types(enforce(actions.withColumns(unknown), "events", strict=True))

@@ -25,8 +25,9 @@ def majority_vote(readings: DataFrame, min_votes: int = MIN_VOTES, min_share: fl
 
 def name_players(tracks: DataFrame, squad: DataFrame) -> DataFrame:
     """tracks (with team and shirt) with player, by the squad (side, shirt, name, and
-    match_id if it is of several matches). Unknown teams or shirts have no player; of several
-    names of one shirt the greatest counts, so that no row is multiplied."""
+    match_id if it is of several matches). Unknown teams or shirts have no player. Of several
+    names of one shirt the greatest counts, so that no row is multiplied; config.squad has
+    one name for each shirt already."""
     on = [c for c in ("match_id",) if c in squad.columns and c in tracks.columns] + ["team", "shirt"]
     names = squad.withColumnsRenamed({"side": "team", "name": "player"}).groupBy(*on).agg(F.max("player").alias("player"))
     return tracks.drop("player").join(names, on, "left")

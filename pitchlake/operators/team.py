@@ -7,7 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import chroma_of_hex, distance
@@ -187,20 +187,34 @@ def team_centroids(chroma: DataFrame, outlier_dist: float = OUTLIER_DIST) -> Dat
     return chroma.select("match_id", "track_id", "a", "b").groupBy("match_id").applyInPandas(fit, "match_id string, cluster int, a double, b double")
 
 
-def kit_references(spark, kits: list[tuple[str, str, str]]) -> DataFrame:
-    """(place, label, kind, ref_a, ref_b) of kits (label, kind, hex)."""
-    rows = spark.createDataFrame([(i, *k) for i, k in enumerate(kits)], "place int, label string, kind string, hex string")
+def kit_references(spark, kits: list[tuple[str, ...]]) -> DataFrame:
+    """(place, label, kind, ref_a, ref_b) of kits (label, kind, hex), or with match_id of kits
+    (match_id, label, kind, hex) of several matches."""
+    keyed = any(len(k) == 4 for k in kits)
+    schema = "place int, " + ("match_id string, " if keyed else "") + "label string, kind string, hex string"
+    rows = spark.createDataFrame([(i, *k) for i, k in enumerate(kits)], schema)
     a, b = chroma_of_hex(F.col("hex"))
-    return rows.select("place", "label", "kind", a.alias("ref_a"), b.alias("ref_b"))
+    return rows.select(*(["match_id"] if keyed else []), "place", "label", "kind", a.alias("ref_a"), b.alias("ref_b"))
+
+
+def _with_own(rows: DataFrame, references: DataFrame, wanted: Column, found: Column) -> DataFrame:
+    """rows with an aggregate of the wanted references: of their own match, if references
+    have match_id, or of all."""
+    some = references.where(wanted)
+    if "match_id" in references.columns:
+        return rows.join(some.groupBy("match_id").agg(found), "match_id", "left")
+    return rows.join(F.broadcast(some.agg(found)))  # one row
 
 
 def label_clusters(centroids: DataFrame, references: DataFrame) -> DataFrame:
     """centroids with team. With both kits known the pairing of least total distance wins,
-    ties as they come; with one, the nearer cluster takes it; with none, the first is home."""
+    ties as they come; with one, the nearer cluster takes it; with none, the first is home.
+    References with match_id hold for their own match only."""
     one = [centroids.where(F.col("cluster") == k).select("match_id", F.col("a").alias(f"a{k}"), F.col("b").alias(f"b{k}")) for k in (0, 1)]
-    kits = references.where("kind = 'kit'")
-    at = {s: kits.where(F.col("label") == s).agg(F.first(F.struct("ref_a", "ref_b")).alias(s)) for s in ("home", "away")}
-    pairs = one[0].join(one[1], "match_id").join(F.broadcast(at["home"])).join(F.broadcast(at["away"]))  # one row each
+    pairs = one[0].join(one[1], "match_id")
+    for s in ("home", "away"):
+        first = F.min_by(F.struct("ref_a", "ref_b"), "place").alias(s)
+        pairs = _with_own(pairs, references, (F.col("kind") == "kit") & (F.col("label") == s), first)
 
     def to(k: int, side: str):
         return distance(F.col(f"a{k}") - F.col(f"{side}.ref_a"), F.col(f"b{k}") - F.col(f"{side}.ref_b"))
@@ -219,11 +233,11 @@ def assign_teams(chroma: DataFrame, labelled: DataFrame, references: DataFrame,
     d = distance(F.col("a") - F.col("ca"), F.col("b") - F.col("cb"))
     near = chroma.join(clusters, "match_id").withColumn("d", d).groupBy("match_id", "track_id", "a", "b")
     near = near.agg(F.min_by(F.struct("c_team", "d"), F.struct("d", "cluster")).alias("near"))
-    special = references.where("kind = 'special'").agg(F.sort_array(F.collect_list(F.struct("place", "label", "ref_a", "ref_b"))).alias("specials"))  # at most three
+    specials = F.sort_array(F.collect_list(F.struct("place", "label", "ref_a", "ref_b"))).alias("specials")  # at most three a match
     gaps = F.transform("specials", lambda s: F.struct(distance(F.col("a") - s["ref_a"], F.col("b") - s["ref_b"]).alias("d"), s["place"].alias("place"), s["label"].alias("label")))
     best = F.array_min(F.filter(gaps, lambda s: s["d"] < special_dist))
     team = F.when(F.col("near.d") <= outlier_dist, F.col("near.c_team")).otherwise(best["label"])
-    found = near.join(F.broadcast(special)).select("match_id", "track_id", team.alias("team"))
+    found = _with_own(near, references, F.col("kind") == "special", specials).select("match_id", "track_id", team.alias("team"))
     return chroma.select("match_id", "track_id").join(found, ["match_id", "track_id"], "left")
 
 

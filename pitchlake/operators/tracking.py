@@ -65,9 +65,11 @@ def matches(score: np.ndarray, least: float) -> list[tuple[int, int]]:
     return found
 
 
-def lost_frames_at(fps: float, buffer: int = LOST_FRAMES) -> int:
+def lost_frames_at(fps: float | Column, buffer: int = LOST_FRAMES) -> int | Column:
     """Places of the grid that a track is kept unseen, when `buffer` is counted at 30 frames a
     second and the grid has fps, the recording's rate over its stride."""
+    if isinstance(fps, Column):
+        return F.greatest(F.lit(1), F.floor(F.greatest(F.lit(1.0), F.bround(fps)) / 30 * buffer).cast("int"))
     return max(1, int(max(1, round(fps)) / 30 * buffer))
 
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import RunConfig, kit_colours, squad
+from ..config import RunConfig, match_kits, squad
 from ..contracts import enforce
 from ..functions.geometry import PITCH_LENGTH_M
 from ..operators import ball, calibrate, detect, events, identity, physical, possession, report, team, tracking
@@ -24,7 +24,9 @@ class Inputs:
 
     grid is what was read (match_id, pos, frame); without it, the configuration's stride and
     number of frames are applied to frames_read (match_id, frame), or else to all frames
-    between a match's first and last detection."""
+    between a match's first and last detection. matches (match_id, fps, image_width, h: nine
+    numbers by rows) has a row for each match whose camera differs from fps, image_width and
+    homography; what is null there is as those say. Squads and references may have match_id."""
 
     detections: DataFrame | None = None
     grid: DataFrame | None = None
@@ -39,6 +41,7 @@ class Inputs:
     raw: DataFrame | None = None
     images: DataFrame | None = None
     load_model: Callable[[], detect.Model] | None = None
+    matches: DataFrame | None = None
 
 
 @dataclass
@@ -75,6 +78,40 @@ def _detections(config: RunConfig, inputs: Inputs) -> DataFrame:
     return detect.postprocess(raw, classes, section.get("conf_threshold", detect.CONF_THRESHOLD))
 
 
+def _saved_homography(camera: dict) -> list[list[float]] | None:
+    section = camera.get("homography") or camera
+    return calibrate.homography_for(camera, read_homography(section["manual_points"]) if section.get("manual_points") else None)
+
+
+def _cameras(spark: SparkSession, config: RunConfig, inputs: Inputs) -> DataFrame | None:
+    """(match_id, fps, image_width, h) of the matches whose cameras differ: those of the inputs,
+    with the homographies that match sections have of their own."""
+    saved = {m: _saved_homography(section["camera"]) for m, section in config.matches() if config.get("matches") and section.get("camera")}
+    rows = [(m, [float(v) for row in h for v in row]) for m, h in saved.items() if h is not None]
+    given = inputs.matches
+    if not rows:
+        return given
+    own = spark.createDataFrame(rows, "match_id string, own array<double>")
+    if given is None:
+        return own.select("match_id", F.lit(None).cast("double").alias("fps"), F.lit(None).cast("double").alias("image_width"), F.col("own").alias("h"))
+    return given.join(own, "match_id", "full").select("match_id", "fps", "image_width", F.coalesce("own", "h").alias("h"))
+
+
+def _check_matches(config: RunConfig, dimensions: dict[str, DataFrame], grid: DataFrame) -> None:
+    """An error where a configured squad or kit is of a match that the tables don't have: its
+    names and colours would be lost without a word."""
+    for name, table in dimensions.items():
+        if "match_id" in table.columns:
+            lost = table.select("match_id").distinct().join(grid.select("match_id").distinct(), "match_id", "left_anti").orderBy("match_id").limit(5).collect()
+            if lost:
+                raise ValueError(f"{name} of matches that the tables don't have: {[r.match_id for r in lost]}")
+
+
+def _own(table: DataFrame, config: RunConfig) -> DataFrame:
+    """A dimension from the configuration; that of a match without an id holds for any match."""
+    return table.drop("match_id") if config.unnamed else table
+
+
 def build(config: RunConfig, inputs: Inputs, keep: Callable[[str, DataFrame], DataFrame] = lambda name, table: table) -> Run:
     """The tables of the stages that are switched on. Each is given to keep(name, table),
     which can store it; what it returns is what later stages read. The grid is kept too."""
@@ -89,20 +126,28 @@ def build(config: RunConfig, inputs: Inputs, keep: Callable[[str, DataFrame], Da
     run.grid = grid
     found = keep("detect", enforce(found, "detections").join(grid.select("match_id", "frame"), ["match_id", "frame"], "left_semi"))
     spark = found.sparkSession
+    cameras = _cameras(spark, config, inputs)
+    configured = {"kits": _own(team.kit_references(spark, match_kits(config)), config), "squads": _own(squad(spark, config), config)}
+    _check_matches(config, configured, grid)
     if on["detect"]:
         run.tables["detect"] = found
     if on["track"]:
         section = config.section("tracker")
         tracking.check_backend(section.get("backend", section.get("name", "bytetrack")))
+        buffer = section.get("lost_track_buffer", tracking.LOST_FRAMES)
+        seen, lost = run.upstream("track", "detect"), tracking.lost_frames_at((inputs.fps or 25.0) / step, buffer)
+        if cameras is not None:
+            seen = seen.join(cameras.select("match_id", F.nullif(F.col("fps").cast("double"), F.lit(0.0)).alias("__fps")), "match_id", "left")
+            lost = tracking.lost_frames_at(F.coalesce("__fps", F.lit(float(inputs.fps or 25.0))) / step, buffer)
         tracks = tracking.track(
-            run.upstream("track", "detect"),
+            seen,
             grid,
             tuple(section.get("track_classes") or tracking.TRACKABLE),
             section.get("track_activation_threshold", tracking.ACTIVATION),
-            tracking.lost_frames_at((inputs.fps or 25.0) / step, section.get("lost_track_buffer", tracking.LOST_FRAMES)),
+            lost,
             section.get("minimum_matching_threshold", tracking.MATCHING),
         )
-        run.tables["track"] = keep("track", tracks)
+        run.tables["track"] = keep("track", tracks.drop("__fps"))
     if on["team"]:
         section, tracks = config.section("team"), run.upstream("team", "track")
         team.check_method(section.get("method", "kit_colour"))
@@ -111,8 +156,7 @@ def build(config: RunConfig, inputs: Inputs, keep: Callable[[str, DataFrame], Da
             every = section.get("sample_stride", team.SAMPLE_STRIDE)
             boxes = team.sampled_boxes(tracks, every, section.get("min_box_h", team.MIN_BOX_H))
             samples = team.box_chroma(frames_up_to(inputs.images, boxes, every), boxes)
-        if kits is None:
-            kits = team.kit_references(spark, kit_colours(config))
+        kits = configured["kits"] if kits is None else kits
         if samples is None:
             teams = tracks.select("match_id", "track_id").limit(0).withColumn("team", F.lit(None).cast("string"))
         else:
@@ -122,16 +166,15 @@ def build(config: RunConfig, inputs: Inputs, keep: Callable[[str, DataFrame], Da
             teams = team.assign_teams(chroma, labelled, kits, outlier, section.get("special_match_dist", team.SPECIAL_DIST))
         run.tables["team"] = keep("team", team.with_teams(tracks, teams))
     if on["identity"]:
-        names = inputs.squad if inputs.squad is not None else squad(spark, config)
+        names = inputs.squad if inputs.squad is not None else configured["squads"]
         votes = config.section("identity").get("min_votes", identity.MIN_VOTES)
         run.tables["identity"] = keep("identity", identity.identify(run.upstream("identity", "team", "track"), inputs.readings, names, votes))
     h = inputs.homography
     if h is None and on["calibrate"]:
-        camera = config.section("camera")
-        section = camera.get("homography") or camera
-        h = calibrate.homography_for(camera, read_homography(section["manual_points"]) if section.get("manual_points") else None)
+        h = _saved_homography(config.section("camera"))
     if on["calibrate"]:
-        run.tables["calibrate"] = keep("calibrate", calibrate.calibrate(run.upstream("calibrate", "identity", "team", "track"), inputs.fps, h))
+        tracks = run.upstream("calibrate", "identity", "team", "track")
+        run.tables["calibrate"] = keep("calibrate", calibrate.calibrate(tracks, inputs.fps, h) if cameras is None else calibrate.calibrate_matches(tracks, cameras, inputs.fps, h))
     if on["ball"]:
         section = config.section("ball")
         points = ball.trajectory(
@@ -144,6 +187,7 @@ def build(config: RunConfig, inputs: Inputs, keep: Callable[[str, DataFrame], Da
             section.get("reacquire_s", ball.REACQUIRE_S),
             section.get("max_speed_ms", ball.MAX_SPEED_MS),
             config.section("pitch").get("length_m", PITCH_LENGTH_M),
+            cameras if on["calibrate"] or cameras is None else cameras.withColumn("h", F.lit(None).cast("array<double>")),
         )
         run.tables["ball"] = keep("ball", points)
     if on["events"]:
@@ -151,7 +195,7 @@ def build(config: RunConfig, inputs: Inputs, keep: Callable[[str, DataFrame], Da
         if route == "tracking":
             tracks, points = run.upstream("events", "calibrate"), run.upstream("events", "ball")
             settled = keep("possession", possession.settled_possession(possession.assign_possession(tracks, points)))
-            run.tables["events"] = keep("events", events.from_tracking(tracks, settled, ball.ball_speed(points), inputs.fps))
+            run.tables["events"] = keep("events", events.from_tracking(tracks, settled, ball.ball_speed(points), inputs.fps, cameras))
         elif route in ("manual", "auto"):
             run.tables["events"] = events.no_events(spark)
         else:

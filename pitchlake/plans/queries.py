@@ -709,6 +709,71 @@ def track_association(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracking.track(det, ball.processed_grid(det)).select("match_id", "frame", "det_id", "cls", "track_id")
 
 
+SECOND_CAMERA = ((0.057, 0.003, 1.0), (0.0, -0.065, 69.0), (0.0, 0.0001, 1.0))
+KITS = (("home", "#D32F2F"), ("away", "#1976D2"))
+
+
+def _through(h: tuple, x: str, y: str) -> tuple[str, str]:
+    u, v, w = (f"({r[0]!r}e0 * {x} + {r[1]!r}e0 * {y} + {r[2]!r}e0)" for r in h)
+    return f"{u} / {w}", f"{v} / {w}"
+
+
+_FIRST, _SECOND = (_through(h, "((x1 + x2) / 2e0)", "y2") for h in (HOMOGRAPHY, SECOND_CAMERA))
+
+
+@query(f"""
+    WITH grid AS (
+        SELECT match_id, frame, row_number() OVER (PARTITION BY match_id ORDER BY frame) - 1 AS pos FROM (SELECT DISTINCT match_id, frame FROM {{det}})
+    ), seen AS (
+        SELECT l.*, pos, odd, fps FROM {{lanes}} l JOIN grid USING (match_id, frame) JOIN {{two_cameras}} USING (match_id)
+    ), gone AS (
+        SELECT *, CASE WHEN pos - lag(pos) OVER (PARTITION BY match_id, det_id ORDER BY pos) <= CASE WHEN odd = 1 THEN 6 ELSE 3 END THEN 0 ELSE 1 END AS new FROM seen
+    ), spell AS (
+        SELECT *, sum(new) OVER (PARTITION BY match_id, det_id ORDER BY pos) AS spell FROM gone
+    ), sure AS (
+        SELECT *, min(CASE WHEN conf >= 0.25 THEN pos END) OVER (PARTITION BY match_id, det_id, spell) AS began FROM spell
+    ), ids AS (
+        SELECT match_id, det_id, spell, row_number() OVER (PARTITION BY match_id ORDER BY began, det_id) AS id
+        FROM (SELECT DISTINCT match_id, det_id, spell, began FROM sure WHERE began IS NOT NULL)
+    ), tracked AS (
+        SELECT sure.*, CASE WHEN pos >= began THEN id ELSE -1 END AS track_id FROM sure LEFT JOIN ids USING (match_id, det_id, spell)
+    ), known AS (
+        SELECT t.*, CASE WHEN track_id < 1 OR track_id > 60 THEN NULL WHEN (track_id + odd) % 2 = 0 THEN 'home' ELSE 'away' END AS team,
+               CASE WHEN track_id BETWEEN 1 AND 500 AND track_id - 1 IN (SELECT frame FROM grid g WHERE g.match_id = t.match_id) THEN CAST((track_id - 1) * 7 % 40 AS smallint) END AS shirt
+        FROM tracked t
+    )
+    SELECT k.match_id, frame, det_id, track_id, team, k.shirt, q.name AS player, frame / fps AS t_s,
+           round(CASE WHEN odd = 1 THEN {_SECOND[0]} ELSE {_FIRST[0]} END, 4) AS x_m, round(CASE WHEN odd = 1 THEN {_SECOND[1]} ELSE {_FIRST[1]} END, 4) AS y_m
+    FROM known k LEFT JOIN {{two_squads}} q ON q.match_id = k.match_id AND q.side = k.team AND q.shirt = k.shirt""")
+def run_two_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run of all matches at once, of which each second one has another camera, other kits and
+    another squad; players by track, team, shirt and name, in metres."""
+    read = {v: view(spark, sf_dir, v) for v in ("lanes_and_ball", "lane_readings", "two_cameras", "two_squads", "det")}
+    odd = F.col("odd") == 1
+    h = F.when(odd, F.array(*(F.lit(v) for row in SECOND_CAMERA for v in row)))
+    kits = team.kit_references(spark, [(side, "kit", colour) for side, colour in KITS])
+    labels = F.when(odd & (F.col("label") == "home"), "away").when(odd, "home").otherwise(F.col("label"))
+    references = read["two_cameras"].join(F.broadcast(kits)).withColumn("label", labels).drop("odd", "fps", "image_width")
+    colours = kits.select("place", F.col("ref_a").alias("a"), F.col("ref_b").alias("b"))
+    numbers = spark.range(1, 61).select(F.col("id").alias("track_id"), (F.col("id") % 2).cast("int").alias("place")).join(F.broadcast(colours), "place")
+    crops = numbers.crossJoin(F.broadcast(spark.range(4).select(F.col("id").alias("frame"))))
+    samples = read["two_cameras"].select("match_id").join(F.broadcast(crops)).drop("place")
+    config = RunConfig(stages={"ball": False}, tracker={"lost_track_buffer": 3}, io={"frame_stride": 1})
+    inputs = match_run.Inputs(
+        read["lanes_and_ball"],
+        grid=ball.processed_grid(read["det"]),
+        chroma_samples=samples,
+        references=references,
+        readings=read["lane_readings"],
+        squad=read["two_squads"],
+        homography=HOMOGRAPHY,
+        matches=read["two_cameras"].select("match_id", "fps", "image_width", h.alias("h")),
+    )
+    found = match_run.build(config, inputs).tables["calibrate"].where("cls <> 'ball'")
+    columns = ["match_id", "frame", "det_id", "track_id", "team", "shirt", "player", "t_s"]
+    return found.select(*columns, *(F.round(c, 4).alias(c) for c in ("x_m", "y_m")))
+
+
 @query(f"""
     WITH {_VOTES} SELECT match_id, track_id, number, n, first, row_number() OVER (PARTITION BY match_id, track_id ORDER BY n DESC, first) AS rank FROM counts""")
 def identity_vote_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

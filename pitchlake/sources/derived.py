@@ -72,6 +72,21 @@ VIEWS = {
                54e0 + l_quantity * 1.02e0 AS start_x, 14e0 + l_discount * 4e2 AS start_y,
                CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS is_goal
         FROM {lineitem}""",
+    # The lanes with the ball, as a run of all stages reads them; and what is read of shirts.
+    "lanes_and_ball": """
+        SELECT match_id, frame, det_id, cls, conf, x1, y1, x2, y2 FROM {lanes}
+        UNION ALL
+        SELECT match_id, frame, det_id + 5, cls, conf, x1, y1, x2, y2 FROM {det} WHERE cls = 'ball'""",
+    "lane_readings": """
+        SELECT match_id, frame + 1 AS track_id, det_id AS seq, CAST(frame * 7 % 40 AS integer) AS number FROM {det}""",
+    # Matches of two kinds, by turns: two cameras, kits the other way round, and two squads.
+    "two_cameras": """
+        SELECT match_id, odd, CASE WHEN odd = 1 THEN 5e1 ELSE 25e0 END AS fps, CASE WHEN odd = 1 THEN 192e1 END AS image_width
+        FROM (SELECT match_id, CAST(max(CAST(floor(event_id / 2500e0) AS bigint)) % 2 AS integer) AS odd
+              FROM (SELECT event_id, concat('m', CAST(CAST(floor(event_id / 2500e0) AS bigint) AS varchar(20))) AS match_id FROM {events}) GROUP BY match_id)""",
+    "two_squads": """
+        SELECT match_id, side, CAST(shirt AS smallint) AS shirt, CASE WHEN odd = 1 THEN concat('odd ', name) ELSE name END AS name
+        FROM {two_cameras} CROSS JOIN {squad} WHERE shirt < 35 + odd""",
     # Actions that go towards x = 105.
     "moves": """
         SELECT l_orderkey, l_linenumber, l_suppkey % 7 AS team_no, start_x, start_y, end_y,

@@ -187,3 +187,8 @@ def frames_of(recordings: DataFrame) -> DataFrame:
     """(match_id, frame) of all frames of recordings."""
     some = recordings.where("n_frames > 0")
     return some.select("match_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_frames") - 1)).alias("frame"))
+
+
+def cameras_of(recordings: DataFrame) -> DataFrame:
+    """(match_id, fps, image_width, h), as runs of many matches take them, without homographies."""
+    return recordings.where("fps is not null").select("match_id", "fps", F.col("width").cast("double").alias("image_width"), F.lit(None).cast("array<double>").alias("h"))

@@ -229,12 +229,12 @@ def _of_full_buckets(parts: DataFrame, bucket_rows: int) -> DataFrame:
     lost = _sorted_windows(meeting.where(F.col("rows") <= bucket_rows).select(*row))
     single = meeting.where(F.col("rows") > bucket_rows).select(*row).mapInArrow(_digested, f"{_PLACE}, start int, window binary")
     later = _met(materialize(single, "passage-windows"), ["window"]).where("doc_id > low").select(*place, "start", F.lit(1).alias("n"))
-    lost = lost.unionByName(later).select(F.col("text_key").alias("string"), F.col("start").alias("skip"), F.col("n").alias("gone"))
-    known = spread_over_salts(strings.drop("packed"), SALTS)
-    placed = materialize(salted.drop("packed").join(known, [*string, "salt"]).select(*place, "start", "n", "low", "string"), "passage-placed")
-    whole = placed.where("doc_id > low").select(*place, "start", "n")
-    first = placed.where("doc_id = low").join(lost, "string").select(*place, (F.col("start") + F.col("skip")).alias("start"), F.col("gone").alias("n"))
-    return whole.unionByName(first)
+    lost = lost.unionByName(later).groupBy(F.col("text_key").alias("string")).agg(F.collect_list(F.struct("start", "n")).alias("lost"))  # of one string
+    known = strings.drop("packed").join(lost, "string", "left")
+    placed = salted.drop("packed").join(spread_over_salts(known, SALTS), [*string, "salt"])
+    own = F.transform("lost", lambda x: F.struct((F.col("start") + x["start"]).alias("start"), x["n"].alias("n")))
+    gone = F.when(F.col("doc_id") > F.col("low"), F.array(F.struct("start", "n"))).otherwise(own)
+    return placed.select(*place, F.explode(gone).alias("gone")).select(*place, "gone.*")
 
 
 def _removed(docs: DataFrame, id_col: str, text_col: str, bucket_rows: int) -> tuple[DataFrame, DataFrame]:

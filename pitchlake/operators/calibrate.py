@@ -5,8 +5,7 @@ from __future__ import annotations
 import logging
 import math
 import random
-from collections.abc import Sequence
-from itertools import combinations
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -16,8 +15,7 @@ from ..contracts import with_nulls
 from ..functions.geometry import ground_point, matrix_of, on_pitch, project, rate, seconds
 
 INLIER_M, WARN_M, WARN_ON_PITCH = 1.0, 2.0, 0.9
-#: Fours of landmark pairs that are tried: all those of up to 20 pairs, and as many drawn
-#: with a fixed seed of more pairs.
+#: Fours of landmark pairs that are tried at most, in an order that is drawn with a fixed seed.
 FOURS, SEED = 4845, 7
 log = logging.getLogger(__name__)
 
@@ -51,11 +49,23 @@ def _residuals(h: np.ndarray, pixels: np.ndarray, metres: np.ndarray) -> np.ndar
     return np.where(np.isfinite(r), r, np.inf)
 
 
+def _fours(n: int) -> Iterator[list[int]]:
+    """The first FOURS of all fours of n places, in a drawn order; all where there are no more."""
+    total = math.comb(n, 4)
+    for rank in random.Random(SEED).sample(range(total), min(FOURS, total)):
+        four = []
+        for left in (4, 3, 2, 1):
+            at = max(k for k in range(left - 1, n) if math.comb(k, left) <= rank)
+            four.append(at)
+            rank -= math.comb(at, left)
+        yield four
+
+
 def solve_homography(pairs: Sequence[Pair], inlier_m: float = INLIER_M) -> tuple[np.ndarray, float]:
     """(homography, error) from ((pixel x, y), (metre x, y)) pairs, four or more.
 
-    Of the homographies of the fours of pairs (see FOURS) the one that most pairs agree with within
-    inlier_m is refitted to those; error is their largest residual in metres, or all pairs'
+    Of the homographies of fours of pairs (see _fours: one rule for any number of pairs) the
+    one that most pairs agree with within inlier_m is refitted to those; error is their largest residual in metres, or all pairs'
     if none agree. Pairs that don't agree are reported. This runs on the driver: a pitch has
     a dozen landmarks.
     """
@@ -63,12 +73,8 @@ def solve_homography(pairs: Sequence[Pair], inlier_m: float = INLIER_M) -> tuple
         raise ValueError(f"a homography needs at least 4 landmark pairs, not {len(pairs)}")
     pixels, metres = (np.array([p[i] for p in pairs], dtype=np.float64) for i in (0, 1))
     best = None
-    fours = combinations(range(len(pairs)), 4)
-    if math.comb(len(pairs), 4) > FOURS:
-        draw = random.Random(SEED)
-        fours = (draw.sample(range(len(pairs)), 4) for _ in range(FOURS))
-    for four in fours:
-        h = _direct(pixels[list(four)], metres[list(four)])
+    for four in _fours(len(pairs)):
+        h = _direct(pixels[four], metres[four])
         if h is None:
             continue
         r = _residuals(h, pixels, metres)

@@ -48,12 +48,12 @@ def no_events(spark: SparkSession) -> DataFrame:
     return empty(spark, "events")
 
 
-def from_tags(tags: DataFrame, match_id: str) -> DataFrame:
-    """The events table of a tagging sheet (see sources.files.TAGGING): clock_mmss becomes
-    seconds, the shirt stands for the player."""
+def from_tags(tags: DataFrame, match_id: str | Column) -> DataFrame:
+    """The events table of a tagging sheet (see sources.files.TAGGING), of one match or of
+    those that a column names: clock_mmss becomes seconds, the shirt stands for the player."""
     part = F.split("clock_mmss", ":")
     t_s = part[0].cast("double") * 60 + part[1].cast("double")
-    rows = tags.withColumns({"match_id": F.lit(match_id), "t_s": t_s, "player": F.col("shirt").cast("string")})
+    rows = tags.withColumns({"match_id": match_id if isinstance(match_id, Column) else F.lit(match_id), "t_s": t_s, "player": F.col("shirt").cast("string")})
     return enforce(rows, "events", strict=True)
 
 

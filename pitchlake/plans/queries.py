@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from ..config import RunConfig
 from ..contracts import enforce, with_nulls
-from ..functions.geometry import ground_point, on_pitch, project, seconds
+from ..functions.geometry import chroma_of_hex, ground_point, on_pitch, project, seconds
 from ..operators import ball, detect, events, identity, physical, possession, report, team, tracking, value, xg
 from ..operators.calibrate import fraction_on_pitch
+from ..sources import files
 from ..sources.derived import HOMOGRAPHY, view, with_views
+from ..sources.files import shared_folder
 from . import match_run
 
 
@@ -780,6 +782,164 @@ def identity_vote_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.vote_counts(view(spark, sf_dir, "readings"))
 
 
+_MMSS = "lpad(CAST(CAST(floor(second_of_match / 60e0) AS bigint) AS varchar(20)), 2, '0'), ':', lpad(CAST(second_of_match % 60 AS varchar(20)), 2, '0')"
+
+
+def _clocked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, "tags").withColumn("clock_mmss", F.expr(f"concat({_MMSS})"))
+
+
+@query("""
+    SELECT CASE type_name WHEN 'corner' THEN 'corner_crossed' ELSE type_name END AS type_name, match_id, CAST(period AS tinyint) AS period, CAST(second_of_match AS float) AS t_s, team,
+           CAST(shirt AS varchar) AS player, CAST(start_x AS float) AS start_x, CAST(start_y AS float) AS start_y, CAST(end_x AS float) AS end_x, CAST(end_y AS float) AS end_y,
+           result_name, bodypart_name
+    FROM {tags}""")
+def tagged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manual route: a tagging sheet written as CSV with a header, read and made events."""
+    folder = shared_folder(spark)
+    sheet = _clocked(spark, sf_dir)
+    names = ["period", "clock_mmss", *(c.split()[0] for c in files.TAGGING.split(", ")[2:])]
+    sheet.select("match_id", *names).write.partitionBy("match_id").csv(folder, header=True)
+    tags = spark.read.schema(f"{files.TAGGING}, match_id string").csv(folder, header=True)
+    return events.map_types(events.from_tags(tags, F.col("match_id")))
+
+
+@query("SELECT CAST(second_of_match + event_id % 4 / 4e0 AS double) AS t_s, CASE WHEN event_id % 2 = 0 THEN 'corner' ELSE concat('set_', type_name) END AS type_name FROM {tags}")
+def instances_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tagged actions written as XML instances, read back by their types."""
+    folder = shared_folder(spark)
+    code = F.when(F.col("event_id") % 2 == 0, "Corner  Kick").otherwise(F.concat(F.lit("SET "), F.upper("type_name")))
+    rows = view(spark, sf_dir, "tags").select((F.col("second_of_match") + F.col("event_id") % 4 / 4).cast("double").alias("start"), code.alias("code"))
+    rows.write.format("xml").option("rootTag", "file").option("rowTag", "instance").save(folder)
+    return files.read_instances_xml(spark, folder, {"corner_kick": "corner"})
+
+
+@query("SELECT CAST(second_of_match AS double) AS t_s, type_name FROM {tags}")
+def clock_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tagged actions with a clock, in hours from an hour on, written as CSV and read back."""
+    folder = shared_folder(spark)
+    hours = F.concat(F.floor(F.col("second_of_match") / 3600), F.date_format(F.timestamp_seconds(F.col("second_of_match") % 3600), ":mm:ss"))
+    clock = F.when(F.col("second_of_match") < 3600, F.col("clock_mmss")).otherwise(hours)
+    _clocked(spark, sf_dir).select(clock.alias("clock"), F.initcap("type_name").alias("action")).write.csv(folder, header=True)
+    return files.read_clock_csv(spark, folder)
+
+
+@query(f"SELECT {', '.join(_SHOT_KEY)}, start_x, start_y, is_goal FROM {{shots}}")
+def shots_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shots written as CSV and read back with their types."""
+    folder = shared_folder(spark)
+    view(spark, sf_dir, "shots").drop("l_discount").write.csv(folder, header=True)
+    read = files.read_shots(spark, folder)
+    kinds = {f.name: f.dataType for f in view(spark, sf_dir, "shots").schema}
+    return read.select(*(F.col(c).cast(kinds[c]).alias(c) for c in (*_SHOT_KEY, "start_x", "start_y", "is_goal")))
+
+
+@query("SELECT match_id, frame, det_id, cls, conf FROM {det} WHERE match_id = 'm0'")
+def match_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detections written in a folder for each match, of which one is read."""
+    folder = shared_folder(spark)
+    files.write_matches(view(spark, sf_dir, "det"), folder)
+    return spark.read.parquet(folder).where("match_id = 'm0'").select("match_id", "frame", "det_id", "cls", "conf")
+
+
+@query("""
+    SELECT match_id, team, CAST(floor(x_m / 4) AS bigint) AS x_bin, CAST(floor(y_m / 4) AS bigint) AS y_bin, count(*) AS n
+    FROM {tracks_m} WHERE player = 'p4' AND x_m IS NOT NULL AND y_m IS NOT NULL GROUP BY ALL""")
+def heatmap_player(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.heatmap(view(spark, sf_dir, "tracks_m"), bin_m=4.0, player="p4")
+
+
+_TEAMS = "teams AS (SELECT DISTINCT match_id, track_id, CASE track_id % 3 WHEN 0 THEN 'home' WHEN 1 THEN 'away' END AS team FROM {tracks_px} WHERE track_id >= 0 AND track_id % 5 > 0)"
+
+
+def _teams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = view(spark, sf_dir, "tracks_px").where("track_id >= 0 and track_id % 5 > 0").select("match_id", "track_id").distinct()
+    return found.withColumn("team", F.when(F.col("track_id") % 3 == 0, "home").when(F.col("track_id") % 3 == 1, "away"))
+
+
+@query(f"WITH {_TEAMS} SELECT t.match_id, frame, det_id, cls, t.track_id, CASE WHEN cls = 'ball' THEN 'ball' ELSE teams.team END AS team FROM {{tracks_px}} t LEFT JOIN teams USING (match_id, track_id)")
+def team_of_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tracks = team.with_teams(view(spark, sf_dir, "tracks_px"), _teams(spark, sf_dir))
+    return tracks.select("match_id", "frame", "det_id", "cls", "track_id", "team")
+
+
+@query(f"WITH {_TEAMS} SELECT match_id, team, count(*) AS n_tracks FROM teams GROUP BY match_id, team")
+def team_track_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return team.team_counts(_teams(spark, sf_dir))
+
+
+@query(f"""
+    WITH {_SAMPLES}, {_CENTRES}
+    SELECT c.match_id, c.cluster, CASE WHEN (c.cluster = 0) = ({_DIST.format("q", "-12e0", "-3e0")} < {_DIST.format("p", "-12e0", "-3e0")}) THEN 'home' ELSE 'away' END AS team
+    FROM centres c JOIN centres p ON p.match_id = c.match_id AND p.cluster = 0 JOIN centres q ON q.match_id = c.match_id AND q.cluster = 1""")
+def team_labels_of_one_kit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the away kit alone known, the nearer cluster takes it."""
+    _, labelled, references = _labelled(spark, sf_dir)
+    return team.label_clusters(labelled.drop("team"), references.where("label = 'away'")).select("match_id", "cluster", "team")
+
+
+@query(f"""
+    WITH {_SAMPLES}, {_CENTRES}
+    SELECT c.match_id, c.cluster, CASE WHEN c.cluster = 0 THEN 'home' ELSE 'away' END AS team
+    FROM centres c WHERE (SELECT count(*) FROM centres o WHERE o.match_id = c.match_id) = 2""")
+def team_labels_without_kits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With no kit known, the first cluster is home."""
+    _, labelled, references = _labelled(spark, sf_dir)
+    return team.label_clusters(labelled.drop("team"), references.where("kind = 'special'")).select("match_id", "cluster", "team")
+
+
+_LINEAR = "CASE WHEN {0} / 255e0 > 0.04045e0 THEN power(({0} / 255e0 + 0.055e0) / 1.055e0, 2.4e0) ELSE {0} / 255e0 / 12.92e0 END"
+_LAB = "CASE WHEN {0} > 0.008856e0 THEN cbrt({0}) ELSE 7.787e0 * {0} + 16e0 / 116 END"
+
+
+@query(f"""
+    WITH n AS (SELECT p_partkey, p_partkey * 7919 % 16777216 AS n FROM part),
+    rgb AS (SELECT p_partkey, {_LINEAR.format("(n // 65536)")} AS r, {_LINEAR.format("(n // 256 % 256)")} AS g, {_LINEAR.format("(n % 256)")} AS b FROM n),
+    xyz AS (SELECT p_partkey, (0.412453e0 * r + 0.357580e0 * g + 0.180423e0 * b) / 0.950456e0 AS x, 0.212671e0 * r + 0.715160e0 * g + 0.072169e0 * b AS y,
+                   (0.019334e0 * r + 0.119193e0 * g + 0.950227e0 * b) / 1.088754e0 AS z FROM rgb),
+    f AS (SELECT p_partkey, {_LAB.format("x")} AS fx, {_LAB.format("y")} AS fy, {_LAB.format("z")} AS fz FROM xyz)
+    SELECT p_partkey, round(500 * (fx - fy) + 128) AS a, round(200 * (fy - fz) + 128) AS b FROM f""")
+def kit_chroma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chroma of colours written as #rrggbb."""
+    a, b = chroma_of_hex(F.format_string("#%06X", F.col("p_partkey") * 7919 % 16777216))
+    return view(spark, sf_dir, "part").select("p_partkey", a.alias("a"), b.alias("b"))
+
+
+@query(f"""
+    WITH {_FEATURES} SELECT 'intercept' AS feature, round(avg(is_goal), 3) AS mean FROM f UNION ALL SELECT 'distance_m', round(avg(is_goal * distance_m), 3) FROM f
+    UNION ALL SELECT 'angle_rad', round(avg(is_goal * angle_rad), 3) FROM f UNION ALL SELECT 'inverse_distance', round(avg(is_goal * inverse_distance), 3) FROM f""")
+def xg_fit_optimum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the penalised likelihood has no slope: each feature's mean over goals is that over
+    expected goals, but for the penalty."""
+    shots = view(spark, sf_dir, "shots")
+    weights = xg.coefficients(xg.fit(shots))
+    scored = xg.predict(shots, weights)
+    n = F.count(F.lit(1))
+    means = [F.avg("xg").alias("intercept"), *(((F.sum(F.col("xg") * F.col(c)) + w) / n).alias(c) for c, w in zip(xg.FEATURES, weights[1:], strict=True))]
+    found = scored.agg(*means).unpivot([], ["intercept", *xg.FEATURES], "feature", "mean")
+    return found.select("feature", F.round("mean", 3).alias("mean"))
+
+
+@query("SELECT count(*) AS n_shots, CAST(sum(is_goal) AS double) AS goals FROM {shots}")
+def xg_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A base model's shape with the intercept under which as many goals are expected as fell."""
+    shots = view(spark, sf_dir, "shots")
+    scored = xg.predict(shots, xg.offset_intercept(shots, WEIGHTS))
+    return scored.agg(F.count(F.lit(1)).alias("n_shots"), F.round(F.sum("xg"), 3).alias("goals"))
+
+
+@query(f"WITH {_BEST} SELECT match_id, frame, x_px, y_px FROM best ORDER BY match_id, frame LIMIT 25")
+def ball_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's first 25 rows of the ball."""
+    return report.ball_preview(ball.best_candidates(view(spark, sf_dir, "det"))).select("match_id", "frame", "x_px", "y_px")
+
+
+@query("SELECT match_id, frame, det_id, track_id, team, CAST(NULL AS smallint) AS shirt, CAST(NULL AS varchar) AS player FROM {tracks_px}")
+def identity_abstains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without readings no row has a shirt or a player."""
+    return identity.identify(view(spark, sf_dir, "tracks_px")).select("match_id", "frame", "det_id", "track_id", "team", "shirt", "player")
+
+
 @query("""
     SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n_events, round(avg(value), 6) AS mean_value FROM events GROUP BY ALL""")
 def window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,6 +105,14 @@ VIEWS = {
         SELECT concat('m', CAST(CAST(floor(event_id / 2500e0) AS bigint) AS varchar(20))) AS match_id, event_id,
                CASE event_type WHEN 'click' THEN 'pass' WHEN 'view' THEN 'corner' WHEN 'error' THEN 'foul' ELSE event_type END AS type_name
         FROM {events}""",
+    # A tagging sheet: an action every few seconds of each match's clock.
+    "tags": """
+        SELECT match_id, event_id, CAST(1 + event_id % 2 AS integer) AS period, CAST(event_id % 5400 AS bigint) AS second_of_match,
+               CASE WHEN event_id % 3 = 0 THEN 'home' ELSE 'away' END AS team, CAST(event_id % 40 AS integer) AS shirt, type_name,
+               CAST(event_id % 105 AS double) AS start_x, CAST(event_id % 68 AS double) AS start_y,
+               CASE WHEN event_id % 5 > 0 THEN CAST(event_id * 3 % 105 AS double) END AS end_x, CASE WHEN event_id % 5 > 0 THEN CAST(event_id * 7 % 68 AS double) END AS end_y,
+               CASE WHEN event_id % 2 = 0 THEN 'success' ELSE 'fail' END AS result_name, 'foot_right' AS bodypart_name, '' AS note
+        FROM {actions}""",
     "squad": """
         SELECT CASE WHEN c_nationkey < 13 THEN 'home' ELSE 'away' END AS side, CAST(c_custkey % 99 AS bigint) AS shirt, min(c_name) AS name
         FROM {customer} GROUP BY 1, 2""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from pathlib import Path
 
 from pyspark.errors import AnalysisException
@@ -20,6 +21,15 @@ EXAMPLES = [
 ]
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder that the driver and all executors share, below the session's checkpoint
+    folder; a local session without one takes its warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{base or spark.conf.get('spark.sql.warehouse.dir')}/files-{uuid.uuid4().hex}"
+
+
 def write_table(df: DataFrame, path: str, csv: bool = False) -> str:
     """Write df as parquet, replacing what is there; with csv, also beside it in one file."""
     df.write.mode("overwrite").parquet(path)

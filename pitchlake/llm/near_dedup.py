@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -96,16 +97,30 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one: they are shuffled several times."""
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        packed = [press.compress(t or b"") for t in texts_of(batch)]
+        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(packed, pa.binary())], names=["doc_id", "packed"])
+
+
+def _sets(column: pa.Array) -> Iterator[np.ndarray]:
+    """The shingle sets of compressed texts, one after the other."""
+    press = zstandard.ZstdDecompressor()
+    for packed in column:
+        yield shingle_set(press.decompress(packed.as_py()))
+
+
 def _against_leader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by (lead, salt, kind): a leader's own row, then its members."""
     group, sets = None, []
     for batch in batches:
         a, b = [], []
         columns = (batch.column(i).to_pylist() for i in range(4))
-        for lead, salt, kind, doc, text in zip(*columns, texts_of(batch), strict=True):
+        for lead, salt, kind, doc, own in zip(*columns, _sets(batch.column(4)), strict=True):
             if (lead, salt) != group:
                 group, sets = (lead, salt), []
-            own = shingle_set(text)
             if kind == 0:
                 sets.append(own)
             elif any(linked(own, s) for s in sets):
@@ -125,7 +140,7 @@ def _within_bucket(_: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch])
 
     for batch in batches:
         docs, comps = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("doc", "comp"))
-        members += [(d, c, shingle_set(t)) for d, c, t in zip(docs, comps, texts_of(batch), strict=True)]
+        members += zip(docs, comps, _sets(batch.column(batch.schema.get_field_index("packed"))), strict=True)
     members.sort(key=lambda m: len(m[2]))
     a, b = [], []
     for i, (doc, comp, own) in enumerate(members):
@@ -140,9 +155,9 @@ def _within_bucket(_: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch])
 
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of (doc, comp, minor, text) with the text's set instead of the text."""
+    """Rows of (doc, comp, minor, packed) with the text's set instead of the text."""
     for batch in batches:
-        sets = [shingle_set(t).view(np.int64) for t in texts_of(batch)]
+        sets = [s.view(np.int64) for s in _sets(batch.column(3))]
         kinds = {"size": pa.array([len(s) for s in sets], pa.int64()), "grams": pa.array(sets, pa.list_(pa.int64()))}
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], *kinds.values()], names=["doc", "comp", "minor", *kinds])
 
@@ -164,7 +179,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     against its leader. What that leaves in more than one component is settled exactly, with
     rows that grow with the documents: small buckets pair by pair in one group each, the
     classes of all larger ones by a join on the rare ends of their sets (see _candidates).
-    So each linked pair that shares a bucket has been verified or is joined already.
+    So each linked pair that shares a bucket has been verified or is joined already. Texts
+    are read twice: for sketches, and to write those of buckets' classes once, compressed one
+    by one, which is what the later steps shuffle.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -176,15 +193,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = sets.groupBy("set_key").agg(F.min("doc_id").alias("doc"))
     banded = sets.select(F.col("doc_id").alias("doc"), "set_key", "bands").join(classes, ["doc", "set_key"])
     keyed = banded.select("doc", F.explode("bands").alias("key"))
-    # Rows that repeat an id and text only make n larger than it is.
-    some = [F.min("doc").alias("low"), F.max("doc").alias("high"), F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("doc")).alias("print")]
-    buckets = keyed.groupBy("key").agg(*some).where("low < high").drop("low", "high")
-    shared = materialize(keyed.join(buckets, "key").distinct(), "near-buckets")
+    met = keyed.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("key")
+    met = materialize(keyed.join(met, "key").distinct(), "near-met")
+    buckets = met.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("doc")).alias("print"))
+    shared = materialize(met.join(buckets, "key"), "near-buckets")
     meets = shared.groupBy("doc").agg(F.sum("n").alias("meets"))
     leads = shared.join(meets, "doc").groupBy("key").agg(F.max_by("doc", F.struct("meets", -F.col("doc"))).alias("lead"))
     members = materialize(shared.join(leads, "key"), "near-members")
 
-    links = materialize(_verified(texts, members.where("doc <> lead").select("lead", "doc").distinct()), "near-links")
+    squeezed = texts.where("doc_id is not null").mapInArrow(_squeezed, "doc_id long, packed binary")
+    squeezed = materialize(squeezed.join(members.select(F.col("doc").alias("doc_id")).distinct(), "doc_id"), "near-texts")
+
+    links = materialize(_verified(squeezed, members.where("doc <> lead").select("lead", "doc").distinct()), "near-links")
     comps = components(links)
 
     labelled = members.where("n > 2").join(comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
@@ -196,14 +216,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .agg(F.min("key").alias("key"))
     )
     still = materialize(labelled.join(open_.select("key"), "key").select("key", "doc", "comp", "n"), "near-open")
-    by_doc = texts.withColumnRenamed("doc_id", "doc")
-    within = still.where(F.col("n") <= SMALL).join(by_doc, "doc").select("key", "doc", "comp", "text")
+    by_doc = squeezed.withColumnRenamed("doc_id", "doc")
+    within = still.where(F.col("n") <= SMALL).join(by_doc, "doc").select("key", "doc", "comp", "packed")
     within = within.groupBy("key").applyInArrow(_within_bucket, "a long, b long")
     large = still.where(F.col("n") > SMALL).select("key", "doc", "comp")
     shares = large.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("docs"))
     major = shares.groupBy("key").agg(F.max_by("comp", F.struct("docs", "comp")).alias("major"))
     minor = F.max(F.col("comp") != F.col("major")).alias("minor")
-    across = _verified(texts, _candidates(by_doc, large.join(major, "key").groupBy("doc", "comp").agg(minor)))
+    across = _verified(squeezed, _candidates(by_doc, large.join(major, "key").groupBy("doc", "comp").agg(minor)))
     more = materialize(within.unionByName(across), "near-more")
     if more.limit(1).count():
         named = comps.select("node", "comp")
@@ -233,7 +253,7 @@ def _verified(texts: DataFrame, edges: DataFrame) -> DataFrame:
     )
     # Written first, so that texts are not shuffled where Spark can broadcast what is needed.
     needed = materialize(needed, "near-needed")
-    rows = needed.join(texts, "doc_id").select("lead", "salt", "kind", "doc_id", "text")
+    rows = needed.join(texts, "doc_id").select("lead", "salt", "kind", "doc_id", "packed")
     rows = rows.repartition("lead", "salt").sortWithinPartitions("lead", "salt", "kind")
     return rows.mapInArrow(_against_leader, "a long, b long")
 
@@ -250,7 +270,7 @@ def _candidates(by_doc: DataFrame, members: DataFrame) -> DataFrame:
     their own shingles, as edits or pages of one template do, have no rows here.
     """
     members = materialize(members, "near-large")
-    sets = members.join(by_doc, "doc").select("doc", "comp", "minor", "text")
+    sets = members.join(by_doc, "doc").select("doc", "comp", "minor", "packed")
     sets = materialize(sets.mapInArrow(_grams, "doc long, comp long, minor boolean, size long, grams array<long>"), "near-grams")
     each = sets.select("doc", "comp", "size", F.explode("grams").alias("gram"))
     known = each.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("doc").alias("doc"))

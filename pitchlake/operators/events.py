@@ -77,8 +77,8 @@ def _kind_of_spike() -> Column:
 
 def action_stream(settled: DataFrame, ball: DataFrame, fps: float | None = 25.0, least_ms: float = SPIKE_MS, within_s: float = SPIKE_S, cameras: DataFrame | None = None) -> DataFrame:
     """Actions of settled possession (see possession.settled_possession) and a ball table with
-    speed_ms: match_id, frame, t_s, track_id, team, type_name, result_name, start_x, start_y,
-    end_x, end_y.
+    speed_ms, both of one row a frame: match_id, frame, t_s, track_id, team, type_name,
+    result_name, start_x, start_y, end_x, end_y.
 
     A change of the settled possessor is a pass, a success, or, between teams, a turnover, a
     fail. The first spike of the ball's speed since the change before is a shot or a clearance
@@ -105,8 +105,8 @@ def action_stream(settled: DataFrame, ball: DataFrame, fps: float | None = 25.0,
     changes = changes.select("match_id", "frame", "from_frame", F.col("from_track_id").alias("track_id"), "team", "type_name")
     holders = settled.where("settled_track_id is not null").select("match_id", "frame", F.col("settled_track_id").alias("track_id"), F.col("settled_team").alias("team"))
     spikes = ball_spikes(ball, least_ms).select("match_id", "frame")
-    spikes = as_of(spikes, holders, F.col("frame") - 1, "frame", "holder", ["track_id", "team"])
-    spikes = as_of(spikes, changes.withColumn("at", F.col("frame")), F.col("frame"), "frame", "next", ["at", "type_name"], after=True)
+    spikes = as_of(spikes, holders, F.col("frame") - 1, "frame", "holder", ["track_id", "team"], unique=True)
+    spikes = as_of(spikes, changes.withColumn("at", F.col("frame")), F.col("frame"), "frame", "next", ["at", "type_name"], after=True, unique=True)
     first = F.row_number().over(Window.partitionBy("match_id", "next.at").orderBy("frame"))
     spikes = in_seconds(spikes.withColumn("n", first), F.col("next.at") - F.col("frame"), "wait")
     spikes = spikes.withColumn("next", F.when(F.col("wait") <= within_s, F.col("next"))).where("n = 1 and (next is null or next.type_name <> 'pass')")
@@ -120,9 +120,9 @@ def action_stream(settled: DataFrame, ball: DataFrame, fps: float | None = 25.0,
     )
     both = actions.unionByName(shots)
     known = ball.where("x_m is not null and y_m is not null")
-    both = as_of(both, known, F.col("from_frame"), "frame", "start", ["x_m", "y_m"])
-    both = as_of(both, known, F.col("frame"), "frame", "spike", ["x_m", "y_m"])
-    both = as_of(both, known, F.col("to_frame"), "frame", "end", ["x_m", "y_m"], after=True)
+    both = as_of(both, known, F.col("from_frame"), "frame", "start", ["x_m", "y_m"], unique=True)
+    both = as_of(both, known, F.col("frame"), "frame", "spike", ["x_m", "y_m"], unique=True)
+    both = as_of(both, known, F.col("to_frame"), "frame", "end", ["x_m", "y_m"], after=True, unique=True)
     both = in_seconds(both, F.col("frame"), "t_s")
     places = {f"{end}_{c}": F.col(f"{end}.{c}_m") for end in ("start", "end") for c in ("x", "y")}
     return both.select(

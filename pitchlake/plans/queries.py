@@ -360,7 +360,12 @@ def _played(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
            round(start_x, 6) AS start_x, round(start_y, 6) AS start_y, round(end_x, 6) AS end_x, round(end_y, 6) AS end_y
     FROM ended""")
 def action_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(events.action_stream(*_played(spark, sf_dir)), "start_x", "start_y", "end_x", "end_y")
+    kept = []
+    for table in _played(spark, sf_dir):  # written once, as a run does, since actions read them several times
+        folder = shared_folder(spark)
+        table.write.parquet(folder)
+        kept.append(spark.read.schema(table.schema).parquet(folder))
+    return _rounded(events.action_stream(*kept), "start_x", "start_y", "end_x", "end_y")
 
 
 @query(f"WITH {_PLAYED}, {_CHANGES} SELECT match_id, frame, track_id AS from_track_id, to_track_id, team, type_name FROM changes")

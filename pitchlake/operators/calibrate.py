@@ -115,11 +115,11 @@ def calibrate(tracks_px: DataFrame, fps: float | None = 25.0, homography: Sequen
 
 
 def calibrate_matches(tracks_px: DataFrame, cameras: DataFrame, fps: float | None = 25.0, homography: Sequence[Sequence[float]] | None = None) -> DataFrame:
-    """As calibrate, for many matches: cameras is (match_id, fps, h array<double> of 9 by rows),
-    one row a match. What is null there, and matches without a row, take the other
+    """As calibrate, for many matches: cameras is (match_id, h array<double> of 9 by rows, and
+    fps if rates differ), one row a match. What is null there, and matches without a row, take the other
     arguments; matches without any homography stay without metres."""
     filled = with_nulls(tracks_px, team="string", shirt="short", player="string", speed_ms="double")
-    own = cameras.select("match_id", F.nullif(F.col("fps").cast("double"), F.lit(0.0)).alias("__fps"), F.col("h").alias("__h"))
+    own = with_nulls(cameras, fps="double").select("match_id", F.nullif(F.col("fps").cast("double"), F.lit(0.0)).alias("__fps"), F.col("h").alias("__h"))
     x, y = project(*ground_point(), matrix_of("__h", homography))
     t_s = seconds(F.col("frame"), F.coalesce("__fps", rate(fps)))
     return filled.join(own, "match_id", "left").withColumns({"t_s": t_s, "x_m": x, "y_m": y}).drop("__fps", "__h")

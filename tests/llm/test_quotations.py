@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 from pitchlake.llm.quotations import digests, level_of, passages, reply_ordered
 
 SCHEMA = "conv_id long, turn long, role string, text string, body string, n_quotes int"
@@ -161,3 +163,41 @@ def test_the_first_conversation_that_says_it_quotes_another(spark):
     ]
     by = {(r.conv_id, r.turn): r for r in reply_ordered(messages(spark, rows)).collect()}
     assert [[(s.conv_id, s.turn) for s in by[k].sources] for k in ((1, 1), (4, 0), (5, 0))] == [[(2, 4)], [(1, 1)], []]
+
+
+def test_random_links_equal_brute_force(spark):
+    rng = random.Random(8)
+    sentences = [f"sentence {i} says " + " ".join(rng.choices("alpha beta gamma delta epsilon zeta eta theta".split(), k=8)) for i in range(25)]
+
+    def quote(level, sentence):
+        words = (sentence.upper() if rng.random() < 0.3 else sentence).split()
+        cut = rng.randint(1, len(words))
+        lines = [" ".join(words[:cut]), " ".join(words[cut:])]
+        return [rng.choice([">", "> "]) * level + " " + line for line in lines if line]
+
+    rows, asked, first = [], {}, {}
+    for conv in rng.sample(range(100), 12):
+        for turn in range(9):
+            body, quotes = sentences[rng.randrange(20)], []
+            if rng.random() < 0.6:
+                quotes = [(level, rng.randrange(25)) for level in (2, 1)[rng.randint(0, 1) :]]
+            lines = [line for level, s in quotes for line in quote(level, sentences[s])]
+            rows.append((conv, turn, "user", "\n".join([*lines, body])))
+            asked[conv, turn] = [(level, sentences[s]) for level, s in quotes]
+            first.setdefault((conv, body), turn)
+    out = reply_ordered(messages(spark, rows)).collect()
+    linked = 0
+    for r in out:
+        want = set()
+        for level, sentence in asked[r.conv_id, r.turn]:
+            here = first.get((r.conv_id, sentence))
+            others = sorted((c, t) for (c, s), t in first.items() if s == sentence and c != r.conv_id)
+            if here is not None and here < r.turn:
+                want.add((level, r.conv_id, here))
+            elif others:
+                want.add((level, *others[0]))
+        assert {(s.level, s.conv_id, s.turn) for s in r.sources} == want
+        linked += len(want)
+        own = sorted((level, -turn) for level, conv, turn in want if conv == r.conv_id)
+        assert r.reply_to_turn == (-own[0][1] if own else r.turn - 1 if r.turn else None)
+    assert linked > 60 and any(s.conv_id != r.conv_id for r in out for s in r.sources)

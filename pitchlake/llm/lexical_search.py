@@ -25,12 +25,14 @@ LOTS = 64
 #: Documents that are scored first, then twice as many each time; query blocks that a task
 #: keeps ready.
 STEP, READY = 16, 8
+#: Bounds are sums of doubles, which can be rounded down where queries are very long.
+SLACK = 1 + 2.0**-40
 
 _UPPER = range(0x41, 0x5B)
 _TERM = bytes(b + 0x20 if b in _UPPER else b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
 
 _INDEX = "ids array<long>, n_docs long, n_terms long, lengths binary, sizes binary, vocabulary binary, spread binary, places binary, counts binary"
-_QUERIES = "items array<long>, sizes binary, terms binary, counts binary"
+_QUERIES = "items array<long>, q_sizes binary, q_terms binary, q_counts binary"
 
 
 def term_counts(text: bytes | None) -> Counter[bytes]:
@@ -94,9 +96,9 @@ def _asked(batches: Iterator[pa.RecordBatch], most_queries: int = BLOCK_QUERIES,
 
     def block() -> pa.RecordBatch:
         row = {
-            "sizes": _raw([len(terms) for _, terms in held], np.int32),
-            "terms": word_hashes([t for _, terms in held for t in terms]).tobytes(),
-            "counts": _raw([n for _, terms in held for n in terms.values()], np.int64),
+            "q_sizes": _raw([len(terms) for _, terms in held], np.int32),
+            "q_terms": word_hashes([t for _, terms in held for t in terms]).tobytes(),
+            "q_counts": _raw([n for _, terms in held for n in terms.values()], np.int64),
         }
         items = pa.array([[i for i, _ in held]], pa.list_(pa.int64()))
         return pa.RecordBatch.from_pydict({"items": items, **{k: pa.array([v], pa.binary()) for k, v in row.items()}})
@@ -144,9 +146,9 @@ class _Queries:
         self.vocabulary = np.array([t for t, _ in known], dtype=np.uint64)
         self.weights = np.array([weight(n_docs, df) for _, df in known], dtype=np.int64)
         self.coordinate = (self.vocabulary % np.uint64(width)).astype(np.int64)
-        terms = np.frombuffer(row["terms"], dtype=np.uint64)
-        counts = np.frombuffer(row["counts"], dtype=np.int64)
-        query = np.repeat(np.arange(len(row["items"])), np.frombuffer(row["sizes"], dtype=np.int32))
+        terms = np.frombuffer(row["q_terms"], dtype=np.uint64)
+        counts = np.frombuffer(row["q_counts"], dtype=np.int64)
+        query = np.repeat(np.arange(len(row["items"])), np.frombuffer(row["q_sizes"], dtype=np.int32))
         place = np.searchsorted(self.vocabulary, terms)
         there = np.flatnonzero(self.vocabulary[np.minimum(place, len(known) - 1)] == terms) if known else np.empty(0, dtype=np.int64)
         self.place, self.count, query = place[there], counts[there], query[there]
@@ -216,6 +218,7 @@ def _meet(documents: _Documents, queries: _Queries, best: list[_Best], width: in
     """Score documents for all queries by falling bound, each query until the bound is below
     the score of its k-th best."""
     bounds = documents.sketches(queries.coordinate, width) @ queries.lookup
+    bounds *= SLACK
     ids = np.array([0 if i is None else i for i in documents.ids], dtype=np.int64)
     bounds[np.array([i is None for i in documents.ids], dtype=bool)] = 0
     least = np.array([b.least for b in best], dtype=np.float64)
@@ -241,18 +244,23 @@ def _found(pairs: DataFrame, n_docs: int, n_terms: int, k: int, width: int) -> D
         best: dict[int, list[_Best]] = {}
         items: dict[int, list] = {}
         for batch in batches:
-            for row in batch.to_pylist():
-                block = row["block"]
+            columns = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+
+            def values(i: int, *names: str) -> dict:
+                return {name: columns[name][i].as_py() for name in names}  # noqa: B023
+
+            for i, block in enumerate(columns["block"].to_pylist()):
                 if block not in best:
+                    row = values(i, "items", "floor")
                     floor = row["floor"] or [0] * len(row["items"])
                     best[block], items[block] = [_Best(k, f or 0) for f in floor], row["items"]
                 if block not in ready:
-                    asked = {"known": row["known"], "items": row["items"], "terms": row["q_terms"], "sizes": row["q_sizes"], "counts": row["q_counts"]}
-                    ready[block] = _Queries(asked, n_docs, width)
+                    ready[block] = _Queries(values(i, "known", "items", "q_terms", "q_sizes", "q_counts"), n_docs, width)
                     while len(ready) > READY:
                         ready.popitem(last=False)
                 queries = ready[block]
                 if len(queries.vocabulary):
+                    row = values(i, "ids", "lengths", "sizes", "vocabulary", "places", "counts")
                     _meet(_Documents(row, queries, n_docs, n_terms), queries, best[block], width)
         for block, found in best.items():
             n = [len(b.ids) for b in found]
@@ -322,11 +330,11 @@ def ranked(
     asked = queries.select(F.col(item_col).cast("long").alias("item_id"), F.col(query_col).alias("text")).mapInArrow(partial(_asked, most_queries=query_block[0], most_terms=query_block[1]), _QUERIES)
     asked = materialize(asked.withColumn("block", F.monotonically_increasing_id()), "search-queries")
     n_docs, n_terms = index.agg(F.sum("n_docs"), F.sum("n_terms")).first()
-    wanted = asked.select("block", "terms").mapInArrow(_distinct_terms, "block long, term long")
+    wanted = asked.select("block", "q_terms").mapInArrow(_distinct_terms, "block long, term long")
     df = index.select("vocabulary", "spread").mapInArrow(_spread, "term long, n long").join(wanted.select("term").distinct(), "term", "left_semi")
     df = df.groupBy("term").agg(F.sum("n").alias("df"))
     known = wanted.join(df, "term").groupBy("block").agg(F.collect_list(F.struct("term", "df")).alias("known"))  # of one block of queries
-    asked = asked.withColumnsRenamed({"sizes": "q_sizes", "terms": "q_terms", "counts": "q_counts"}).join(known, "block", "left")
+    asked = asked.join(known, "block", "left")
     asked = materialize(asked.withColumn("floor", F.lit(None).cast("array<long>")), "search-weights")
     forward = index.select("ids", "lengths", "sizes", "vocabulary", "places", "counts", "lot")
 

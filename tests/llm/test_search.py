@@ -6,6 +6,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
+from pitchlake.llm.shared import shared_folder
 from pitchlake.llm.topk import Blocks, nearest
 
 SCHEMA = "vec_id long, embedding array<float>, label int, score string"
@@ -66,3 +67,29 @@ def test_blocks_are_skipped_below_the_kth_score():
     blocks.matrix = blocks.matrix.view(Watched)
     assert blocks.best(-1, asked[0], blocks.bounds(asked)[0], 10) == [(400, i) for i in range(10)]
     assert scored == [1024]
+
+
+def test_queries_go_to_few_cells_where_vectors_have_structure(spark):
+    """Sixteen kinds of vectors, in order of their ids: a query is sent to cells of its own kind."""
+    rng = np.random.default_rng(5)
+    kind = np.arange(4096) // 256
+    matrix = (np.eye(16)[kind] + rng.normal(0, 0.02, (4096, 16))).astype(np.float32)
+    rows = [(i, [float(x) for x in v], 0, "") for i, v in enumerate(matrix)]
+    table = spark.createDataFrame(rows, SCHEMA)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def pairs():
+        return {f.getPath().toString() for f in system.listStatus(folder) if f.getPath().getName().startswith("search-pairs")}
+
+    before = pairs()
+    found = nearest(table, table.where(F.col("vec_id") % 64 == 0), 5, 16, 1, 2048).collect()
+    whole = np.floor(1024 * matrix.astype(np.float64)).astype(np.int64)
+    for q in range(0, 4096, 64):
+        score = whole @ whole[q]
+        best = sorted((-int(s), i) for i, s in enumerate(score) if i != q)[:5]
+        assert [(-r.score, r.vec_id) for r in sorted((r for r in found if r.query_id == q), key=lambda r: r.rank)] == best
+    n_cells, n_queries = 4096 // 16, 64
+    sent = [spark.read.parquet(p).count() for p in pairs() - before]
+    assert len(sent) == 2 and n_queries in sent
+    assert sum(sent) < 0.1 * n_cells * n_queries

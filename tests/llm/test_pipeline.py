@@ -9,6 +9,7 @@ import pytest
 import __spark_entry__
 from pitchlake.llm.quality import accepted_documents, quality_scores
 from pitchlake.llm.queries import ORACLES, QUERIES
+from pitchlake.llm.shared import materialize
 
 from .conftest import awkward_rows
 from .test_dedup import near_by_hand
@@ -76,10 +77,15 @@ def _folder(spark, tmp_path, docs, labels):
 
 def test_awkward_tables_run_to_the_end(spark, tmp_path):
     docs = [(r[0], r[1], r[2], r[3], r[4]) for r in awkward_rows()]
-    pieces = corpus_pipeline.run(spark, _folder(spark, tmp_path, docs, [])).collect()
-    kept = {r.doc_id for r in pieces}
-    # 2 and 3 are near 1, and 12 near 11; 15 copies 14; 6, 7 and 8 have no words; a row without an id has the text of 1.
-    assert kept == {-3, 1, 4, 5, 9, 11, 13, 14}
+    folder = _folder(spark, tmp_path, docs, [])
+    kept = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        kept = materialize(stage(spark, kept, folder), "awkward")
+    # 3 and a row without an id have the text of 1, 7 that of 6, and 15 that of 14; 2 is near 1, 10 near 9, and 12 near 11.
+    assert sorted(r.doc_id for r in kept.collect()) == [-3, 1, 4, 5, 6, 8, 9, 11, 13, 14]
+    pieces = corpus_pipeline.run(spark, folder).collect()
+    # The mix takes less than all of the source with the very long text, and no text without words.
+    assert {1, 4, 5, 9, 11, 13} <= {r.doc_id for r in pieces} <= {-3, 1, 4, 5, 9, 11, 13, 14}
     check_packing(pieces, [(i, next(d[1] for d in docs if d[0] == i)) for r in pieces if r.start == 0 for i in [r.doc_id]], 2048)
 
 
@@ -88,10 +94,13 @@ def test_empty_tables_run_to_the_end(spark, tmp_path):
 
 
 def test_accepted_documents_of_empty_and_clashing_tables(spark, awkward, nothing):
-    labels = spark.read.parquet(f"{SF}/labels.parquet")
-    assert accepted_documents(nothing, labels).collect() == []
-    kept = accepted_documents(awkward, labels)
-    assert kept.columns == awkward.columns and 0 < kept.count() < awkward.count() and {r.score for r in kept.collect()} == {"score"}
+    def labels(quality):
+        return spark.createDataFrame([(i, quality, 0) for i in range(1, 16)], "doc_id long, quality int, toxic int")
+
+    assert accepted_documents(nothing, labels(1)).collect() == []
+    kept = accepted_documents(awkward, labels(1))
+    assert kept.columns == awkward.columns and sorted(map(repr, kept.collect())) == sorted(map(repr, awkward.collect()))
+    assert accepted_documents(awkward, labels(0)).collect() == []
 
 
 def test_everything_is_registered():

@@ -162,6 +162,21 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], *kinds.values()], names=["doc", "comp", "minor", *kinds])
 
 
+def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, comp, n, doc): of rows (doc, comp, grams), in how many of a batch's rows of one
+    component a shingle is, and the least of their ids. Edited copies share most shingles,
+    so these are far fewer than all."""
+    for batch in batches:
+        sizes = np.array([len(g) for g in batch.column(2)], dtype=np.int64)
+        grams = batch.column(2).flatten().to_numpy(zero_copy_only=False)
+        doc, comp = (np.repeat(batch.column(i).to_numpy(zero_copy_only=False), sizes) for i in (0, 1))
+        order = np.lexsort((doc, comp, grams))
+        grams, comp, doc = grams[order], comp[order], doc[order]
+        first = np.flatnonzero(np.concatenate([[True], (grams[1:] != grams[:-1]) | (comp[1:] != comp[:-1])])) if len(grams) else order
+        n = np.diff(np.append(first, len(grams)))
+        yield pa.RecordBatch.from_pydict({"gram": pa.array(grams[first]), "comp": pa.array(comp[first]), "n": pa.array(n, pa.int64()), "doc": pa.array(doc[first])})
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept.
 
@@ -273,7 +288,8 @@ def _candidates(by_doc: DataFrame, members: DataFrame) -> DataFrame:
     sets = members.join(by_doc, "doc").select("doc", "comp", "minor", "packed")
     sets = materialize(sets.mapInArrow(_grams, "doc long, comp long, minor boolean, size long, grams array<long>"), "near-grams")
     each = sets.select("doc", "comp", "size", F.explode("grams").alias("gram"))
-    known = each.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("doc").alias("doc"))
+    counts = sets.select("doc", "comp", "grams").mapInArrow(_gram_counts, "gram long, comp long, n long, doc long")
+    known = counts.groupBy("gram").agg(F.sum("n").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("doc").alias("doc"))
     known = materialize(known, "near-known")
     # A quarter of shingles that no other member has is found without a look at the rest.
     alone = known.where("n = 1").groupBy("doc").agg(F.count(F.lit(1)).alias("alone"))

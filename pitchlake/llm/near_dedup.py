@@ -23,6 +23,9 @@ PERCENT = 75
 BLOCK = 256
 #: Buckets of at most so many classes are settled pair by pair, each in one group of a task.
 SMALL = 64
+#: Members of one leader whose shingles are counted in one group of a task, and the shingles
+#: of these, both on average over the leader's groups.
+LOT, LOT_SHINGLES = 128, 1 << 20
 
 _EMPTY = U64(0xFFFFFFFFFFFFFFFF)
 _LOW = U64((1 << 40) - 1)
@@ -155,26 +158,44 @@ def _within_bucket(_: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch])
 
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of (doc, comp, minor, packed) with the text's set instead of the text."""
+    """Rows of (doc, comp, minor, lead, packed) with the text's set instead of the text."""
     for batch in batches:
-        sets = [s.view(np.int64) for s in _sets(batch.column(3))]
+        sets = [s.view(np.int64) for s in _sets(batch.column(4))]
         kinds = {"size": pa.array([len(s) for s in sets], pa.int64()), "grams": pa.array(sets, pa.list_(pa.int64()))}
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], *kinds.values()], names=["doc", "comp", "minor", *kinds])
-
-
-def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, comp, n, doc): of rows (doc, comp, grams), in how many of a batch's rows of one
-    component a shingle is, and the least of their ids. Edited copies share most shingles,
-    so these are far fewer than all."""
-    for batch in batches:
-        sizes = np.array([len(g) for g in batch.column(2)], dtype=np.int64)
-        grams = batch.column(2).flatten().to_numpy(zero_copy_only=False)
-        doc, comp = (np.repeat(batch.column(i).to_numpy(zero_copy_only=False), sizes) for i in (0, 1))
-        order = np.lexsort((doc, comp, grams))
-        grams, comp, doc = grams[order], comp[order], doc[order]
-        first = np.flatnonzero(np.concatenate([[True], (grams[1:] != grams[:-1]) | (comp[1:] != comp[:-1])])) if len(grams) else order
-        n = np.diff(np.append(first, len(grams)))
-        yield pa.RecordBatch.from_pydict({"gram": pa.array(grams[first]), "comp": pa.array(comp[first]), "n": pa.array(n, pa.int64()), "doc": pa.array(doc[first])})
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], *kinds.values()], names=["doc", "comp", "minor", "lead", *kinds])
+
+
+def _lot_grams(lot: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+    """The distinct shingles of a lot: in how many of its sets each is, and the least and
+    greatest component of these. Edited copies share most shingles, which come once here."""
+    grams = rows["grams"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    comps = np.repeat(rows["comp"].to_numpy(), rows["size"].to_numpy())
+    order = np.lexsort((comps, grams))
+    grams, comps = grams[order], comps[order]
+    first = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))
+    after = np.append(first[1:], len(grams))
+    lead, salt = (np.full(len(first), k.as_py(), dtype=np.int64) for k in lot)
+    return pa.table({"lead": lead, "salt": salt, "gram": grams[first], "n": after - first, "low": comps[first], "high": comps[after - 1]})
+
+
+def _prefixes(rows: pa.Table, shared: pa.Table) -> pa.Table:
+    """Of the sets of a lot, given its shingles that several components have with their
+    numbers: the rarest that can be the first one in common with a linked set."""
+    order = np.argsort(shared["gram"].to_numpy())
+    known, numbers = shared["gram"].to_numpy()[order], shared["n"].to_numpy()[order]
+    out = {c: [np.empty(0, np.int64)] for c in ("row", "rest", "gram")}
+    for i, size in enumerate(rows["size"].to_pylist() if len(known) else []):
+        grams = rows["grams"][i].values.to_numpy()
+        at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+        at = at[known[at] == grams]
+        # A linked set has three quarters of this one, none of them what only its component has.
+        first = at[np.lexsort((known[at], numbers[at]))][: max(0, len(at) - (3 * size + 3) // 4 + 1)]
+        out["row"].append(np.full(len(first), i))
+        out["rest"].append(len(at) - np.arange(len(first)))
+        out["gram"].append(known[first])
+    out = {c: np.concatenate(parts) for c, parts in out.items()}
+    kept = rows.select(["doc", "comp", "minor", "size"]).take(pa.array(out["row"]))
+    return kept.append_column("rest", pa.array(out["rest"])).append_column("gram", pa.array(out["gram"]))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -230,15 +251,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .groupBy("lead", "n", "print")  # of buckets of the same classes, one is enough
         .agg(F.min("key").alias("key"))
     )
-    still = materialize(labelled.join(open_.select("key"), "key").select("key", "doc", "comp", "n"), "near-open")
+    still = materialize(labelled.join(open_.select("key"), "key").select("key", "lead", "doc", "comp", "n"), "near-open")
     by_doc = squeezed.withColumnRenamed("doc_id", "doc")
     within = still.where(F.col("n") <= SMALL).join(by_doc, "doc").select("key", "doc", "comp", "packed")
     within = within.groupBy("key").applyInArrow(_within_bucket, "a long, b long")
-    large = still.where(F.col("n") > SMALL).select("key", "doc", "comp")
+    large = still.where(F.col("n") > SMALL)
     shares = large.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("docs"))
     major = shares.groupBy("key").agg(F.max_by("comp", F.struct("docs", "comp")).alias("major"))
     minor = F.max(F.col("comp") != F.col("major")).alias("minor")
-    across = _verified(squeezed, _candidates(by_doc, large.join(major, "key").groupBy("doc", "comp").agg(minor)))
+    lead = F.max_by("lead", F.struct("n", "lead")).alias("lead")
+    across = _verified(squeezed, _candidates(by_doc, large.join(major, "key").groupBy("doc", "comp").agg(minor, lead)))
     more = materialize(within.unionByName(across), "near-more")
     if more.limit(1).count():
         named = comps.select("node", "comp")
@@ -274,41 +296,34 @@ def _verified(texts: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _candidates(by_doc: DataFrame, members: DataFrame) -> DataFrame:
-    """The pairs (lead, doc) of members (doc, comp, minor) of different components that can
-    be linked; minor are those outside the commonest component of some bucket, of which each
-    pair that shares a bucket has one.
-
-    The set of each minor member is ordered: first the shingles that only its own component
-    has, then by rarity. Linked sets x and y have 3/7 of |x| + |y| shingles in common, so the
-    first common one is among the first quarter of x, and as many are from there on (prefix
-    and position filters: Bayardo et al. 2007, Xiao et al. 2008). Documents that differ in
-    their own shingles, as edits or pages of one template do, have no rows here.
+    """The pairs (lead, doc) of members (doc, comp, minor, lead) of different components that
+    can be linked; minor are those outside the commonest component of some bucket, of which
+    each pair that shares a bucket has one. Members of a leader are dealt out in lots.
+
+    Shingles that only one component has are left out of its sets, the rest is ordered by
+    rarity. Linked sets x and y have 3/7 of |x| + |y| shingles in common, at least three
+    quarters of either, so the first common one is among the first quarter of x and of y, less
+    those left out, and as many are from there on (prefix and position filters: Bayardo et al.
+    2007, Xiao et al. 2008). A lot has one row for each of its distinct shingles, however many
+    of its sets have it, and each set at most a quarter of its shingles.
     """
     members = materialize(members, "near-large")
-    sets = members.join(by_doc, "doc").select("doc", "comp", "minor", "packed")
-    sets = materialize(sets.mapInArrow(_grams, "doc long, comp long, minor boolean, size long, grams array<long>"), "near-grams")
-    each = sets.select("doc", "comp", "size", F.explode("grams").alias("gram"))
-    counts = sets.select("doc", "comp", "grams").mapInArrow(_gram_counts, "gram long, comp long, n long, doc long")
-    known = counts.groupBy("gram").agg(F.sum("n").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("doc").alias("doc"))
-    known = materialize(known, "near-known")
-    # A quarter of shingles that no other member has is found without a look at the rest.
-    alone = known.where("n = 1").groupBy("doc").agg(F.count(F.lit(1)).alias("alone"))
-    quarter = F.expr("size - (3 * size + 3) div 4 + 1")
-    few = sets.where("minor").join(alone, "doc", "left").where(F.coalesce("alone", F.lit(0)) < quarter)
-    few = materialize(few.select("doc", "comp", "size", "grams"), "near-few")
-    common = few.select("doc", F.explode("grams").alias("gram")).join(known.where("low < high").select("gram", "n"), "gram")
-    common = common.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("common"))  # of one text
-    ranked = few.select("doc", "comp", "size").join(common, "doc").withColumn("own", F.col("size") - F.size("common"))
-    first = F.slice("common", F.lit(1), F.greatest(F.lit(0), quarter - F.col("own")).cast("int"))
-    posts = ranked.select("doc", "comp", "size", "own", F.posexplode(first).alias("at", "c"))
-    posts = materialize(posts.select("doc", "comp", (F.col("size") - F.col("own") - F.col("at")).alias("rest"), "size", F.col("c.gram").alias("gram")), "near-posts")
-    x, y = posts.alias("x"), each.alias("y")
+    sets = members.join(by_doc, "doc").select("doc", "comp", "minor", "lead", "packed")
+    sets = materialize(sets.mapInArrow(_grams, "doc long, comp long, minor boolean, lead long, size long, grams array<long>"), "near-grams")
+    lots = sets.groupBy("lead").agg(F.ceil(F.greatest(F.count(F.lit(1)) / LOT, F.sum("size") / LOT_SHINGLES)).alias("lots"))
+    lot = sets.join(lots, "lead").withColumn("salt", F.pmod(F.xxhash64("doc"), F.col("lots"))).drop("lots").groupBy("lead", "salt")
+    grams = materialize(lot.applyInArrow(_lot_grams, "lead long, salt long, gram long, n long, low long, high long"), "near-lot-grams")
+    known = grams.groupBy("gram").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    shared = grams.select("lead", "salt", "gram").join(known.where("low < high").select("gram", "n"), "gram")
+    posts = lot.cogroup(shared.groupBy("lead", "salt")).applyInArrow(_prefixes, "doc long, comp long, minor boolean, size long, rest long, gram long")
+    posts = materialize(posts, "near-posts")
+    x, y = posts.where("minor").alias("x"), posts.alias("y")
     low, high = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
     can = (
         (F.col("x.gram") == F.col("y.gram"))
         & (F.col("x.comp") != F.col("y.comp"))
         & (100 * low >= PERCENT * high)
-        & (7 * F.least("x.rest", "y.size") >= 3 * (low + high))
+        & (7 * F.least("x.rest", "y.rest") >= 3 * (low + high))
     )
     return x.join(y, can).select(F.least("x.doc", "y.doc").alias("lead"), F.greatest("x.doc", "y.doc").alias("doc")).distinct()
 

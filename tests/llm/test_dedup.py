@@ -128,6 +128,46 @@ def test_a_hot_group_of_edited_copies_equals_brute_force(spark):
     assert all(r.n_shingles == 96 for r in found)
 
 
+def rows_made(spark, since=-1):
+    """The last execution's id, and rows out of each join, generator and Arrow node after since."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    store, made, last = spark._jsparkSession.sharedState().statusStore(), {}, since
+
+    def each(found):
+        it = found.iterator()
+        while it.hasNext():
+            yield it.next()
+
+    for execution in each(store.executionsList()):
+        if (number := execution.executionId()) <= since:
+            continue
+        last, values = max(last, number), {m._1(): m._2() for m in each(store.executionMetrics(number))}
+        for node in each(store.planGraph(number).allNodes()):
+            if re.search("Join|Generate|Arrow", node.name()):
+                for m in each(node.metrics()):
+                    if m.name() == "number of output rows" and m.accumulatorId() in values:
+                        made[number, node.id(), node.desc()[:200]] = int(values[m.accumulatorId()].replace(",", ""))
+    return last, made
+
+
+def test_shingles_that_edited_copies_share_are_not_rows_of_each(spark):
+    """700 edits of one text in one bucket or more, of which many are linked with no other."""
+    rng, base, rows = random.Random(8), words(400, 300).split(), []
+    for d in range(700):
+        edited = list(base)
+        for at in rng.sample(range(300), rng.randint(0, 16)):
+            edited[at] = f"w{d}x{at}"
+        rows.append((d, " ".join(edited)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
+    since, _ = rows_made(spark)
+    found = sorted(map(tuple, near_duplicates(docs).collect()))
+    assert found == sorted(near_by_hand(rows)) and len({f[2] for f in found}) > 50
+    _, made = rows_made(spark, since)
+    sets = [shingles(t) for _, t in rows]
+    assert max(made.values()) < sum(map(len, sets)) / 2, max(made.items(), key=lambda m: m[1])
+    assert any("_lot_grams" in desc and n > 1.1 * len(sets[0]) for (*_, desc), n in made.items())  # this step was taken
+
+
 def test_near_copies_of_a_shared_template_and_repeated_rows(spark):
     """Pages that share two thirds of their words are not alike; repeated rows are one class."""
     template = words(300, 80)

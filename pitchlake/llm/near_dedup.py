@@ -311,7 +311,9 @@ def _candidates(by_doc: DataFrame, members: DataFrame) -> DataFrame:
     sets = members.join(by_doc, "doc").select("doc", "comp", "minor", "lead", "packed")
     sets = materialize(sets.mapInArrow(_grams, "doc long, comp long, minor boolean, lead long, size long, grams array<long>"), "near-grams")
     lots = sets.groupBy("lead").agg(F.ceil(F.greatest(F.count(F.lit(1)) / LOT, F.sum("size") / LOT_SHINGLES)).alias("lots"))
-    lot = sets.join(lots, "lead").withColumn("salt", F.pmod(F.xxhash64("doc"), F.col("lots"))).drop("lots").groupBy("lead", "salt")
+    dealt = sets.join(lots, "lead").withColumn("salt", F.pmod(F.xxhash64("doc"), F.col("lots"))).drop("lots")
+    # Else the join's dealing by lead alone is enough for Spark, with all lots of one in a task.
+    lot = dealt.repartition("lead", "salt").groupBy("lead", "salt")
     grams = materialize(lot.applyInArrow(_lot_grams, "lead long, salt long, gram long, n long, low long, high long"), "near-lot-grams")
     known = grams.groupBy("gram").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
     shared = grams.select("lead", "salt", "gram").join(known.where("low < high").select("gram", "n"), "gram")
